@@ -78,7 +78,7 @@ def _clean(spark, d, extra=()):
 
 @query(
     "k01_retail_clean",
-    "invoice:str, stock_code:str, quantity:double, price:double, total_price:double2, customer_id:long, country:str",
+    "invoice:str, stock_code:str, quantity:double, price:double8, total_price:double2, customer_id:long, country:str",
     f"WITH {CLEAN_SQL} SELECT * FROM clean",
 )
 def k01(spark, d):
@@ -166,7 +166,7 @@ def _formula(spark, d, transactions="invoices"):
 
 @query(
     "k08_cltv_formula",
-    "customer_id:long, total_transaction:long, total_unit:double2, total_price:double2, avg_order_value:double, "
+    "customer_id:long, total_transaction:long, total_unit:double2, total_price:double2, avg_order_value:double7, "
     "purchase_frequency:double8, profit_margin:double, cv:double, cltv:double-3",
     f"WITH {CLTV_SQL} SELECT * FROM formula",
 )
@@ -176,7 +176,7 @@ def k08(spark, d):
 
 @query(
     "k08_cltv_line_counts",
-    "customer_id:long, total_transaction:long, avg_order_value:double, purchase_frequency:double8, cltv:double-3",
+    "customer_id:long, total_transaction:long, avg_order_value:double7, purchase_frequency:double8, cltv:double-3",
     f"""WITH {SALES_SQL}, p AS (SELECT customer_id, count(*) AS total_transaction, sum(total_price) AS total_price
           FROM sales WHERE quantity > 0 GROUP BY customer_id),
         s AS (SELECT count(*) AS n, 1 - count(*) FILTER (WHERE total_transaction > 1) / count(*) AS churn FROM p)
@@ -440,10 +440,10 @@ def n02(spark, d):
 TYPES_SQL = f"""{BASKET_SQL.format(item='p_type')},
 masks AS (SELECT basket, list(item ORDER BY item) AS items FROM held GROUP BY basket),
 kinds AS (SELECT list(DISTINCT item ORDER BY item) AS all_items FROM held),
-subsets AS (SELECT list_filter(all_items, (x, i) -> (m // CAST(pow(2, i - 1) AS BIGINT)) % 2 = 1) AS items FROM kinds, range(1, 64) r(m)),
+subsets AS (SELECT list_filter(all_items, lambda x, i: (m // CAST(pow(2, i - 1) AS BIGINT)) % 2 = 1) AS items FROM kinds, range(1, 64) r(m)),
 support AS (SELECT s.items, count(*) AS f FROM subsets s JOIN masks b ON list_has_all(b.items, s.items) GROUP BY s.items
             HAVING count(*) >= 0.01 * (SELECT n FROM n)),
-split AS (SELECT u.f, a.items AS antecedents, a.f AS af, list_filter(u.items, x -> NOT list_contains(a.items, x)) AS consequents
+split AS (SELECT u.f, a.items AS antecedents, a.f AS af, list_filter(u.items, lambda x: NOT list_contains(a.items, x)) AS consequents
           FROM support u JOIN support a ON list_has_all(u.items, a.items) AND len(a.items) < len(u.items)),
 measured AS (
   SELECT array_to_string(s.antecedents, '|') AS antecedents, array_to_string(s.consequents, '|') AS consequents,
@@ -474,10 +474,10 @@ bought AS (SELECT DISTINCT t.tier, s.invoice AS basket, p_type AS item FROM sale
 nb AS (SELECT tier, count(DISTINCT basket) AS n FROM bought GROUP BY tier),
 lists AS (SELECT tier, basket, list(item ORDER BY item) AS items FROM bought GROUP BY tier, basket),
 kinds AS (SELECT list(DISTINCT item ORDER BY item) AS all_items FROM bought),
-subsets AS (SELECT list_filter(all_items, (x, i) -> (m // CAST(pow(2, i - 1) AS BIGINT)) % 2 = 1) AS items FROM kinds, range(1, 64) r(m)),
+subsets AS (SELECT list_filter(all_items, lambda x, i: (m // CAST(pow(2, i - 1) AS BIGINT)) % 2 = 1) AS items FROM kinds, range(1, 64) r(m)),
 support AS (SELECT b.tier, s.items, count(*) / any_value(nb.n) AS s FROM subsets s JOIN lists b ON list_has_all(b.items, s.items)
             JOIN nb ON nb.tier = b.tier GROUP BY b.tier, s.items HAVING count(*) >= 0.01 * any_value(nb.n)),
-split AS (SELECT u.tier, u.s, a.items AS antecedents, a.s AS sa, list_filter(u.items, x -> NOT list_contains(a.items, x)) AS consequents
+split AS (SELECT u.tier, u.s, a.items AS antecedents, a.s AS sa, list_filter(u.items, lambda x: NOT list_contains(a.items, x)) AS consequents
           FROM support u JOIN support a ON u.tier = a.tier AND list_has_all(u.items, a.items) AND len(a.items) < len(u.items)),
 ranked AS (SELECT q.tier, q.consequents, row_number() OVER (PARTITION BY q.tier ORDER BY round(q.s / sa / c.s, 9) DESC, q.s DESC, q.antecedents, q.consequents) AS rn
            FROM split q JOIN support c ON c.tier = q.tier AND c.items = q.consequents),
@@ -524,10 +524,10 @@ def k21(spark, d):
         nb AS (SELECT count(DISTINCT basket) AS n FROM bought),
         lists AS (SELECT basket, list(item ORDER BY item) AS items FROM bought GROUP BY basket),
         kinds AS (SELECT list(DISTINCT item ORDER BY item) AS all_items FROM bought),
-        subsets AS (SELECT list_filter(all_items, (x, i) -> (m // CAST(pow(2, i - 1) AS BIGINT)) % 2 = 1) AS items FROM kinds, range(1, 64) r(m)),
+        subsets AS (SELECT list_filter(all_items, lambda x, i: (m // CAST(pow(2, i - 1) AS BIGINT)) % 2 = 1) AS items FROM kinds, range(1, 64) r(m)),
         support AS (SELECT s.items, count(*) AS f FROM subsets s JOIN lists b ON list_has_all(b.items, s.items) GROUP BY s.items
                     HAVING count(*) >= 0.01 * (SELECT n FROM nb)),
-        split AS (SELECT u.f, a.items AS antecedents, a.f AS af, list_filter(u.items, x -> NOT list_contains(a.items, x)) AS consequents
+        split AS (SELECT u.f, a.items AS antecedents, a.f AS af, list_filter(u.items, lambda x: NOT list_contains(a.items, x)) AS consequents
                   FROM support u JOIN support a ON list_has_all(u.items, a.items) AND len(a.items) < len(u.items))
         SELECT array_to_string(s.antecedents, '|') AS antecedents, array_to_string(s.consequents, '|') AS consequents,
                af / n AS antecedent_support, c.f / n AS consequent_support, s.f / n AS support, s.f / af AS confidence,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import special
 
@@ -14,21 +15,21 @@ def _apply(fn, *series: pd.Series) -> pd.Series:
     return pd.Series([None if any(np.isnan(r)) else fn(*r) for r in rows], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_upper(z: pd.Series) -> pd.Series:
     return _apply(lambda v: float(special.normal_sf(v)), z)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
     return _apply(special.t_two_sided, t, df)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def f_upper(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
     return _apply(special.f_upper, f, df1, df2)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_quantile(p: pd.Series, df: pd.Series) -> pd.Series:
     return _apply(lambda q, d: special.t_quantile(q, d) if d > 0 else None, p, df)

@@ -61,50 +61,52 @@ def exact_quantiles(
         *[F.expr(f"percentile_approx(_v{i}, array({edges}), {accuracy}) AS _e{i}") for i in range(len(cols))]
     )
     if by:
-        names = [f"_k{i}" for i in range(len(by))]
+        names = [f"_qk{i}" for i in range(len(by))]
         sketch = broadcast_if_small(sketch.withColumnsRenamed(dict(zip(by, names))))
         located = base.join(sketch, on=F.expr(" AND ".join(f"{b} <=> {n}" for b, n in zip(keys, names))))
     else:
         located = base.crossJoin(F.broadcast(sketch))  # the sketch is exactly one row
 
     # 2. one (segment, value) per cell: the value inside a bracket, NULL in the gap below it
-    cells = ", ".join(f"struct({_literal(c)} AS {_NAME}, _v{i} AS v, _e{i} AS e)" for i, c in enumerate(cols))
+    cells = ", ".join(f"struct({_literal(c)} AS {_NAME}, _v{i} AS _qv, _e{i} AS _qe)" for i, c in enumerate(cols))
     if len(cols) == 1:
-        long = located.selectExpr(*keys, f"{_literal(cols[0])} AS {_NAME}", "_v0 AS v", "_e0 AS e")
+        long = located.selectExpr(*keys, f"{_literal(cols[0])} AS {_NAME}", "_v0 AS _qv", "_e0 AS _qe")
     else:
         long = located.selectExpr(*keys, f"inline(array({cells}))")
-    segment = " ".join(f"WHEN v <= e[{2 * i + 1}] THEN {i}" for i in range(k))
-    low = " ".join(f"WHEN {i} THEN e[{2 * i}]" for i in range(k))
-    long = long.where("v IS NOT NULL").selectExpr(*keys, _NAME, "v", "e", f"CASE {segment} ELSE {k} END AS seg")
-    long = long.selectExpr(*keys, _NAME, "v", "seg", f"CASE WHEN v >= CASE seg {low} END THEN v END AS bin")
-    counts = long.groupBy(*by, _NAME, "seg", "bin").agg(F.expr("count(1) AS cnt"), F.expr("min(v) AS lo"), F.expr("max(v) AS hi"))
+    segment = " ".join(f"WHEN _qv <= _qe[{2 * i + 1}] THEN {i}" for i in range(k))
+    low = " ".join(f"WHEN {i} THEN _qe[{2 * i}]" for i in range(k))
+    long = long.where("_qv IS NOT NULL").selectExpr(*keys, _NAME, "_qv", "_qe", f"CASE {segment} ELSE {k} END AS _seg")
+    long = long.selectExpr(*keys, _NAME, "_qv", "_seg", f"CASE WHEN _qv >= CASE _seg {low} END THEN _qv END AS _bin")
+    counts = long.groupBy(*by, _NAME, "_seg", "_bin").agg(
+        F.expr("count(1) AS _cnt"), F.expr("min(_qv) AS _lo"), F.expr("max(_qv) AS _hi")
+    )
 
     # 3. ranks over the few bins, then the values at the wanted ranks
     part = ", ".join([*keys, _NAME])
     placed = counts.selectExpr(
         *keys,
         _NAME,
-        "cnt",
-        "lo",
-        "hi",
-        f"sum(cnt) OVER (PARTITION BY {part} ORDER BY seg, bin NULLS FIRST ROWS UNBOUNDED PRECEDING) AS end",
-        f"sum(cnt) OVER (PARTITION BY {part}) AS n",
+        "_cnt",
+        "_lo",
+        "_hi",
+        f"sum(_cnt) OVER (PARTITION BY {part} ORDER BY _seg, _bin NULLS FIRST ROWS UNBOUNDED PRECEDING) AS _end",
+        f"sum(_cnt) OVER (PARTITION BY {part}) AS _n",
     )
     missed = "CAST(raise_error('quantile sketch missed its bracket; raise accuracy') AS DOUBLE)"
-    picks = ["max(n) AS n"]
+    picks = ["max(_n) AS _n"]
     for i, p in enumerate(ranked):
-        for side, rank in (("lo", f"floor((n - 1) * {p!r}D)"), ("hi", f"ceil((n - 1) * {p!r}D)")):
+        for side, rank in (("lo", f"floor((_n - 1) * {p!r}D)"), ("hi", f"ceil((_n - 1) * {p!r}D)")):
             picks.append(
-                f"max(CASE WHEN end - cnt <= {rank} AND {rank} < end THEN CASE WHEN lo = hi OR {rank} = end - cnt THEN lo "
-                f"WHEN {rank} = end - 1 THEN hi ELSE {missed} END END) AS {side}{i}"
+                f"max(CASE WHEN _end - _cnt <= {rank} AND {rank} < _end THEN CASE WHEN _lo = _hi OR {rank} = _end - _cnt THEN _lo "
+                f"WHEN {rank} = _end - 1 THEN _hi ELSE {missed} END END) AS _{side}{i}"
             )
     best = placed.groupBy(*by, _NAME).agg(*[F.expr(e) for e in picks])
     slot = {original: i for i, original in enumerate(order)}
     q = ", ".join(
-        f"lo{i} + (hi{i} - lo{i}) * ((n - 1) * {p!r}D - floor((n - 1) * {p!r}D))"
+        f"_lo{i} + (_hi{i} - _lo{i}) * ((_n - 1) * {p!r}D - floor((_n - 1) * {p!r}D))"
         for i, p in ((slot[j], float(probs[j])) for j in range(k))
     )
-    return best.selectExpr(*keys, _NAME, "n", f"array({q}) AS q")
+    return best.selectExpr(*keys, _NAME, "_n AS n", f"array({q}) AS q")
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:

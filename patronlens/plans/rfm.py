@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import contains_or_false, elapsed_days
+from ..functions.columns import contains_or_false, elapsed_days, mapped
 from ..operators.binning import qcut
 from ..operators.outliers import cap_upper
 from ..session import materialise
@@ -86,11 +88,10 @@ def rfm_scores(rfm: DataFrame) -> DataFrame:
 
 
 def segment_name(rf: Column) -> Column:
-    expr = None
-    for pattern, name in SEGMENT_PATTERNS:
-        hit = rf.rlike(f"^{pattern}$")
-        expr = F.when(hit, name) if expr is None else expr.when(hit, name)
-    return expr.otherwise(rf)
+    """Segment of a two-digit score; the 25 codes become one literal map, so ``rf`` is evaluated once."""
+    codes = [f"{r}{f}" for r in range(1, 6) for f in range(1, 6)]
+    names = {code: next(name for pattern, name in SEGMENT_PATTERNS if re.fullmatch(pattern, code)) for code in codes}
+    return mapped(rf, names)
 
 
 def rfm_segments(scored: DataFrame) -> DataFrame:
