@@ -323,13 +323,22 @@ def _normal_upper_sql(z: str) -> str:
     return f"CASE WHEN {z} = 0 THEN 0.5 ELSE 0.5 - exp(-{z} * {z} / 2) / sqrt(2 * pi()) * {series} END"
 
 
-@query(
-    "l01_mean_intervals",
-    "event_type:str, n:long, mean:double4, std:double4",
-    "SELECT event_type, count(value) AS n, avg(value) AS mean, stddev_samp(value) AS std FROM events GROUP BY 1",
+# 0.975 quantile of Student's t by its expansion around the normal quantile, exact to 1e-9 above 500 degrees of freedom
+_Z = "1.959963984540054"
+_T_SQL = (
+    f"({_Z} + (pow({_Z}, 3) + {_Z}) / (4 * (n - 1)) + (5 * pow({_Z}, 5) + 16 * pow({_Z}, 3) + 3 * {_Z}) / (96 * pow(n - 1, 2))"
+    f" + (3 * pow({_Z}, 7) + 19 * pow({_Z}, 5) + 17 * pow({_Z}, 3) - 15 * {_Z}) / (384 * pow(n - 1, 3)))"
 )
+
+
+def _interval_sql(by: str, source: str) -> str:
+    return f"""WITH s AS (SELECT {by}, count(value) AS n, avg(value) AS mean, stddev_samp(value) AS std FROM {source} GROUP BY 1)
+        SELECT *, mean - {_T_SQL} * std / sqrt(n) AS low, mean + {_T_SQL} * std / sqrt(n) AS high FROM s"""
+
+
+@query("l01_mean_intervals", "grp:str, n:long, mean:double4, std:double4, low:double4, high:double4", _interval_sql("grp", f"({_EV})"))
 def l01(spark, d):
-    return abtest.mean_intervals(table(spark, d, "events"), "event_type", "value")
+    return abtest.mean_intervals(groups(spark, d), "grp", "value")
 
 
 @query("l02_normality_shapiro", "event_type:str, statistic:double6, p_value:double6, method:str")
@@ -439,7 +448,7 @@ def k23(spark, d):
     return pricing.fixed_price(table(spark, d, "events"), "event_type", "value")
 
 
-@query("k24_price_bands", "event_type:str, n:long, mean:double4, low:double4, high:double4")
+@query("k24_price_bands", "event_type:str, n:long, mean:double4, low:double4, high:double4", _interval_sql("event_type", "events"))
 def k24(spark, d):
     return pricing.price_bands(table(spark, d, "events"), "event_type", "value")
 

@@ -53,10 +53,13 @@ def label_encode(df: DataFrame, cols: Sequence[str], levels: dict[str, list[str]
 def one_hot(
     df: DataFrame, cols: Sequence[str], levels: dict[str, list[str]] | None = None, drop_first: bool = False
 ) -> DataFrame:
-    """Named 0/1 columns ``<col>_<value>`` in place of each column; NULL gives all zeros."""
+    """Named 0/1 columns ``<col>_<value>`` in place of each column; NULL gives all zeros.
+
+    A dot in a value becomes '_' in the name, since a dot in a column name means a field.
+    """
     levels = levels if levels is not None else category_levels(df, cols)
     made = {
-        f"{c}_{v}": F.coalesce((F.col(c).cast("string") == v).cast("int"), F.lit(0))
+        f"{c}_{v}".replace(".", "_"): F.coalesce((F.col(c).cast("string") == v).cast("int"), F.lit(0))
         for c in cols
         for v in levels[c][1 if drop_first else 0 :]
     }
