@@ -25,8 +25,8 @@ SELECT c_custkey AS PassengerId,
        CASE WHEN c_acctbal >= 0 THEN floor(c_acctbal / 125) END AS Age,
        c_nationkey % 4 AS SibSp, c_custkey % 3 AS Parch, c_name AS Ticket,
        CASE WHEN c_acctbal > 6000 THEN concat('C', n_name) END AS Cabin, coalesce(spent, 0) / 1000 AS Fare, r_name AS Embarked
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-     LEFT JOIN (SELECT o_custkey, sum(o_totalprice) AS spent FROM orders GROUP BY o_custkey) o ON o_custkey = c_custkey"""
+FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
+     LEFT JOIN (SELECT o_custkey, sum(o_totalprice) AS spent FROM {orders} GROUP BY o_custkey) o ON o_custkey = c_custkey"""
 
 PATIENTS = """
 SELECT c_custkey AS Id, n AS Pregnancies, CASE WHEN c_nationkey = 3 THEN 0 ELSE round(s / n / 1500) END AS Glucose,
@@ -36,7 +36,7 @@ SELECT c_custkey AS Id, n AS Pregnancies, CASE WHEN c_nationkey = 3 THEN 0 ELSE
        CASE WHEN c_acctbal BETWEEN 0 AND 300 THEN 0 ELSE 15 + (c_acctbal + 1000) / 350 END AS BMI,
        (c_acctbal + 1000) / 5000 AS DiabetesPedigreeFunction, 21 + c_custkey % 60 AS Age,
        CASE WHEN s / n > 240000 OR c_acctbal > 8000 THEN 1 ELSE 0 END AS Outcome
-FROM customer JOIN (SELECT o_custkey, count(*) AS n, sum(o_totalprice) AS s FROM orders GROUP BY o_custkey) o ON o_custkey = c_custkey"""
+FROM {customer} JOIN (SELECT o_custkey, count(*) AS n, sum(o_totalprice) AS s FROM {orders} GROUP BY o_custkey) o ON o_custkey = c_custkey"""
 
 PLAYERS = """
 SELECT p_partkey AS Id, n AS AtBat, q AS Hits, d AS HmRun, x AS Runs, n + d AS RBI, n + x AS Walks, 1 + p_size % 20 AS Years,
@@ -45,8 +45,8 @@ SELECT p_partkey AS Id, n AS AtBat, q AS Hits, d AS HmRun, x AS Runs, n + d AS R
        CASE WHEN p_type IN ('SMALL', 'LARGE') THEN 'A' ELSE 'N' END AS League, CASE WHEN p_size > 25 THEN 'E' ELSE 'W' END AS Division,
        CASE WHEN p_type IN ('SMALL', 'PROMO') THEN 'A' ELSE 'N' END AS NewLeague,
        CASE WHEN p_brand <> 'Brand#7' THEN q * 2.0 + p_size * 10 END AS Salary
-FROM part JOIN (SELECT l_partkey, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS q, count(CASE WHEN l_discount > 0.05 THEN 1 END) AS d,
-                       count(CASE WHEN l_tax > 0.04 THEN 1 END) AS x FROM lineitem GROUP BY l_partkey) l ON l_partkey = p_partkey"""
+FROM {part} JOIN (SELECT l_partkey, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS q, count(CASE WHEN l_discount > 0.05 THEN 1 END) AS d,
+                       count(CASE WHEN l_tax > 0.04 THEN 1 END) AS x FROM {lineitem} GROUP BY l_partkey) l ON l_partkey = p_partkey"""
 
 HOUSES = """
 SELECT o_orderkey AS Id, floor(l_qty) AS GrLivArea, floor(o_totalprice / 400) AS `1stFlrSF`, CASE WHEN c_acctbal > 5000 THEN floor(c_acctbal / 10) ELSE 0 END AS `2ndFlrSF`,
@@ -62,16 +62,22 @@ SELECT o_orderkey AS Id, floor(l_qty) AS GrLivArea, floor(o_totalprice / 400) AS
        'Pave' AS Street, 'AllPub' AS Utilities, CASE WHEN o_custkey % 211 = 0 THEN 'Sev' ELSE 'Gtl' END AS LandSlope,
        CASE WHEN o_orderstatus = 'P' THEN 'C (all)' WHEN c_nationkey = 24 AND n_lines = 6 THEN 'RH' ELSE 'RL' END AS MSZoning,
        CASE WHEN o_orderstatus <> 'O' OR c_nationkey > 3 THEN o_totalprice + l_qty * 100 END AS SalePrice
-FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-     JOIN (SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS l_qty, sum(l_extendedprice) AS l_ext FROM lineitem GROUP BY l_orderkey) l ON l_orderkey = o_orderkey"""
+FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
+     JOIN (SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS l_qty, sum(l_extendedprice) AS l_ext FROM {lineitem} GROUP BY l_orderkey) l ON l_orderkey = o_orderkey"""
+
+
+_TABLES = ("customer", "nation", "region", "orders", "lineitem", "part")
+
+
+def plain(sql: str) -> str:
+    """The definition with plain table names and standard quotes."""
+    return sql.format(**{name: name for name in _TABLES}).replace("`", '"')
 
 
 def derive(spark, d, sql: str):
-    """Run one of the table definitions over the given files."""
-    for name in ("customer", "nation", "region", "orders", "lineitem", "part"):
-        if f"{name} " in sql or f"{name}\n" in sql or sql.rstrip().endswith(name):
-            table(spark, d, name).createOrReplaceTempView(name)
-    out = spark.sql(sql)
+    """Run one of the table definitions over the given files and keep the result."""
+    used = {name: table(spark, d, name) for name in _TABLES if f"{{{name}}}" in sql}
+    out = spark.sql(sql, **used)
     whole = [f.name for f in out.schema if f.dataType.typeName() == "decimal"]
     return materialise(out.withColumns({c: F.col(c).cast("double") for c in whole}))
 
@@ -86,7 +92,7 @@ def _cap(c: str, source: str) -> str:
     "o10_passenger_features",
     "PASSENGERID:long, AGE:double, FARE:double6, NEW_AGE_PCLASS:double, SEX:int, NEW_ALONE:int, NEW_CABIN_BOOL:int, NEW_FAMILY_SIZE_1:int, NEW_NAME_WORD_COUNT:int, "
     "NEW_TITLE_Dr:int, NEW_TITLE_Mr:int, NEW_AGE_CAT_young:int, NEW_AGE_CAT_senior:int, NEW_SEX_CAT_maturemale:int, NEW_SEX_CAT_youngfemale:int, PCLASS_1:int, EMBARKED_ASIA:int",
-    f"""WITH p AS ({PASSENGERS}), t AS (SELECT *, regexp_extract(Name, ' ([A-Za-z]+)\\.', 1) AS title FROM p),
+    f"""WITH p AS ({plain(PASSENGERS)}), t AS (SELECT *, regexp_extract(Name, ' ([A-Za-z]+)\\.', 1) AS title FROM p),
         m AS (SELECT title, quantile_cont(Age, 0.5) AS med FROM t GROUP BY 1),
         f AS (SELECT t.* REPLACE (coalesce(Age, med) AS Age) FROM t JOIN m USING (title)),
         g AS (SELECT *, Age * Pclass AS age_pclass, CASE WHEN Age < 18 THEN 'young' WHEN Age < 56 THEN 'mature' ELSE 'senior' END AS age_cat,
@@ -116,7 +122,7 @@ def _scaled(c: str, source: str) -> str:
     "o11_patient_features",
     "Id:long, Glucose:double8, BloodPressure:double8, SkinThickness:double8, Insulin:double8, BMI:double8, Pregnancies:double8, NEW_AGE_3:double, NEW_AGE_0:double, "
     "NEW_BMI_0:double, NEW_BMI_1:double, NEW_GLUCOSE_0:double, Outcome:int",
-    f"""WITH p AS ({PATIENTS}),
+    f"""WITH p AS ({plain(PATIENTS)}),
         z AS (SELECT * REPLACE (nullif(Glucose, 0) AS Glucose, nullif(BloodPressure, 0) AS BloodPressure, nullif(SkinThickness, 0) AS SkinThickness, nullif(Insulin, 0) AS Insulin, nullif(BMI, 0) AS BMI) FROM p),
         f AS (SELECT * REPLACE (coalesce(Glucose, (SELECT avg(Glucose) FROM z)) AS Glucose, coalesce(BloodPressure, (SELECT avg(BloodPressure) FROM z)) AS BloodPressure,
               coalesce(SkinThickness, (SELECT quantile_cont(SkinThickness, 0.5) FROM z)) AS SkinThickness, coalesce(Insulin, (SELECT quantile_cont(Insulin, 0.5) FROM z)) AS Insulin,
@@ -137,7 +143,7 @@ def _patients(spark, d):
 @query(
     "o12_player_features",
     "ID:long, SALARY:double, LEAGUE:int, DIVISION:int, ATBAT:double8, RATIO_CATBAT:double8, CHITS_AVERAGE:double8, EXPERIENCE_senior:int, PERFORMANCE_Good:int",
-    f"""WITH p AS ({PLAYERS}), f AS (SELECT *, PutOuts + Assists - Errors AS gp, AtBat / nullif(CAtBat, 0) AS r1, CHits / nullif(Years, 0) AS a1 FROM p),
+    f"""WITH p AS ({plain(PLAYERS)}), f AS (SELECT *, PutOuts + Assists - Errors AS gp, AtBat / nullif(CAtBat, 0) AS r1, CHits / nullif(Years, 0) AS a1 FROM p),
         b AS (SELECT *, (SELECT avg(Years) FROM f) AS my, (SELECT avg(gp) FROM f) AS mg FROM f),
         s AS (SELECT Id AS "ID", Salary AS "SALARY", CASE League WHEN 'A' THEN 0 ELSE 1 END AS "LEAGUE", CASE Division WHEN 'E' THEN 0 ELSE 1 END AS "DIVISION",
                {_scaled('AtBat', 'f')} AS "ATBAT", r1 AS "RATIO_CATBAT", {_scaled('a1', 'f')} AS "CHITS_AVERAGE",
@@ -156,7 +162,7 @@ def _players(spark, d):
     "o13_house_features",
     "Id:long, GrLivArea:double, TotalBsmtSF:double, GarageArea:double, TotalSF:double2, Restoration_interval:double, OverallMultp:double, ExterQual:int, GarageQual:int, "
     "Total_bath:double, 1stFlrSF_cat:int, Yearbuilt_cat:int, Foundation_types_16:int, SalePrice:double2, Alley_Grvl:int, MSZoning_RL:int",
-    f"""WITH h AS ({HOUSES.replace('`', '"')}),
+    f"""WITH h AS ({plain(HOUSES)}),
         f AS (SELECT *, GrLivArea + TotalBsmtSF + "1stFlrSF" + "2ndFlrSF" AS TotalSF, (YearRemodAdd - YearBuilt)::DOUBLE AS Restoration_interval, OverallCond * OverallQual AS OverallMultp, FullBath + HalfBath * 0.5 AS Total_bath FROM h),
         g AS (SELECT * REPLACE (coalesce(TotalBsmtSF, (SELECT quantile_cont(TotalBsmtSF, 0.5) FROM f)) AS TotalBsmtSF, coalesce(GarageArea, (SELECT quantile_cont(GarageArea, 0.5) FROM f)) AS GarageArea,
               coalesce(TotalSF, (SELECT quantile_cont(TotalSF, 0.5) FROM f)) AS TotalSF) FROM f)
@@ -177,7 +183,7 @@ def _houses(spark, d):
 
 
 @query("i16_threshold_bands", "Id:long, NEW_BMI:str, NEW_BP:str, NEW_GLUCOSE:str, NEW_AGE:str",
-       f"""WITH p AS ({PATIENTS}) SELECT Id, CASE WHEN BMI > 29.9 THEN 'Obesity' WHEN BMI > 24.9 THEN 'Overweight' WHEN BMI > 18 THEN 'Normal weight' ELSE 'Underweight' END AS NEW_BMI,
+       f"""WITH p AS ({plain(PATIENTS)}) SELECT Id, CASE WHEN BMI > 29.9 THEN 'Obesity' WHEN BMI > 24.9 THEN 'Overweight' WHEN BMI > 18 THEN 'Normal weight' ELSE 'Underweight' END AS NEW_BMI,
            CASE WHEN BloodPressure > 89 THEN 'High Blood Pressure 2' WHEN BloodPressure >= 80 THEN 'High Blood Pressure 1' ELSE 'Normal' END AS NEW_BP,
            CASE WHEN Glucose <= 115 THEN 'Excellent' WHEN Glucose <= 180 THEN 'Good' ELSE 'Action Suggested' END AS NEW_GLUCOSE,
            CASE WHEN Age <= 24 THEN 'Young' WHEN Age <= 40 THEN 'Adult' WHEN Age <= 60 THEN 'Mature' ELSE 'Senior' END AS NEW_AGE FROM p""")
@@ -186,7 +192,7 @@ def i16(spark, d):
 
 
 @query("i17_performance_bands", "Id:long, Experience:str, band:str",
-       f"""WITH p AS ({PLAYERS}), m AS (SELECT avg(Years) AS y, avg(PutOuts + Assists - Errors) AS g FROM p)
+       f"""WITH p AS ({plain(PLAYERS)}), m AS (SELECT avg(Years) AS y, avg(PutOuts + Assists - Errors) AS g FROM p)
            SELECT Id, CASE WHEN Years < 5 THEN 'inexperienced' WHEN Years < 10 THEN 'experienced' ELSE 'senior' END AS Experience,
                   CASE WHEN Years > y AND PutOuts + Assists - Errors > g THEN 'Reasonable' WHEN Years < y AND PutOuts + Assists - Errors > g THEN 'Good'
                        WHEN Years < y AND PutOuts + Assists - Errors < g THEN 'Bad' END AS band FROM p, m""")
@@ -198,7 +204,7 @@ def i17(spark, d):
 
 
 @query("i18_age_and_sex_bands", "PassengerId:long, alone:str, age_band:str, sex_band:str",
-       f"""WITH p AS ({PASSENGERS}) SELECT PassengerId, CASE WHEN SibSp + Parch > 0 THEN 'NO' ELSE 'YES' END AS alone,
+       f"""WITH p AS ({plain(PASSENGERS)}) SELECT PassengerId, CASE WHEN SibSp + Parch > 0 THEN 'NO' ELSE 'YES' END AS alone,
            CASE WHEN Age < 18 THEN 'young' WHEN Age < 56 THEN 'mature' WHEN Age >= 56 THEN 'senior' END AS age_band,
            CASE WHEN Age <= 21 THEN 'young' || Sex WHEN Age < 50 THEN 'mature' || Sex WHEN Age > 50 THEN 'senior' || Sex END AS sex_band FROM p""")
 def i18(spark, d):
@@ -210,7 +216,7 @@ def i18(spark, d):
 
 
 @query("i19_house_sums", "Id:long, TotalSF:double2, OutArea:double2, OverallMultp:double2, Total_bath:double2",
-       f"""WITH h AS ({HOUSES.replace('`', '"')}) SELECT Id, GrLivArea + TotalBsmtSF + "1stFlrSF" + "2ndFlrSF" AS TotalSF, OpenPorchSF + PoolArea + WoodDeckSF + GarageArea AS OutArea,
+       f"""WITH h AS ({plain(HOUSES)}) SELECT Id, GrLivArea + TotalBsmtSF + "1stFlrSF" + "2ndFlrSF" AS TotalSF, OpenPorchSF + PoolArea + WoodDeckSF + GarageArea AS OutArea,
            OverallCond * OverallQual AS OverallMultp, FullBath + HalfBath * 0.5 AS Total_bath FROM h""")
 def i19(spark, d):
     return recipes.house_columns(derive(spark, d, HOUSES))

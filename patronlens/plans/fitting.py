@@ -43,7 +43,7 @@ def fit(
     penalizer: float = 0.0,
     tolerance: float = 1e-5,
     max_passes: int = 60,
-    bound: float = 14.0,
+    bound: float = 12.0,
 ) -> np.ndarray:
     """Positive parameters that minimise ``-mean log-likelihood + penalizer * sum(parameters ** 2)``.
 
@@ -76,14 +76,18 @@ def fit(
     for _ in range(max_passes):
         f0 = values[0]
         gradient = np.array([(values[1 + 2 * i] - values[2 + 2 * i]) / (2 * h) for i in range(d)])
-        if np.abs(gradient).max() < tolerance:
+        # parameters that rest on a bound and would leave it stay there
+        held = ((point >= bound) & (gradient < 0)) | ((point <= -bound) & (gradient > 0))
+        free = np.flatnonzero(~held)
+        if not free.size or np.abs(gradient[free]).max() < tolerance:
             break
         curve = np.diag([(values[1 + 2 * i] - 2 * f0 + values[2 + 2 * i]) / h**2 for i in range(d)])
         for k, (i, j) in enumerate(pairs):
             pp, pm, mp, mm = values[1 + 2 * d + 4 * k : 5 + 2 * d + 4 * k]
             curve[i, j] = curve[j, i] = (pp - pm - mp + mm) / (4 * h * h)
-        size, axes = np.linalg.eigh(curve)
-        step = -axes @ ((axes.T @ gradient) / np.maximum(np.abs(size), 1e-6))
+        size, axes = np.linalg.eigh(curve[np.ix_(free, free)])
+        step = np.zeros(d)
+        step[free] = -axes @ ((axes.T @ gradient[free]) / np.maximum(np.abs(size), 1e-6))
         accepted = False
         while not accepted and radius > 1e-7:
             scaled = step * min(1.0, radius / max(np.linalg.norm(step), 1e-300))
@@ -92,9 +96,9 @@ def fit(
             if fresh[0] < f0:
                 accepted = True
                 point, values = trial, fresh
-                radius = min(radius * 2.0, 4.0)
+                radius = min(radius * 3.0, 6.0)
             else:
                 radius = min(radius, float(np.linalg.norm(scaled))) / 4.0
-        if not accepted or abs(f0 - values[0]) < 1e-12 * max(abs(f0), 1.0):
+        if not accepted or abs(f0 - values[0]) < 1e-9 * max(abs(f0), 1.0):
             break
     return np.exp(point)

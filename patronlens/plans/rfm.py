@@ -41,10 +41,15 @@ def sales_lines(lines: DataFrame) -> DataFrame:
     return with_total_price(drop_cancelled(lines).na.drop("any"))
 
 
-def clean_retail(lines: DataFrame) -> DataFrame:
-    """Complete, uncancelled, positive lines with quantity and price capped."""
+def clean_retail(lines: DataFrame, stored: bool = False) -> DataFrame:
+    """Complete, uncancelled, positive lines with quantity and price capped.
+
+    The limits read the kept lines twice and the result reads them again. When
+    ``lines`` come out of joins, the kept lines are written once instead of being
+    joined three times; ``stored`` says that they are a plain table already.
+    """
     kept = drop_cancelled(lines.na.drop("any")).where(F.col("quantity") > 0)
-    return with_total_price(cap_upper(kept, ["quantity", "price"]))
+    return with_total_price(cap_upper(kept if stored else materialise(kept), ["quantity", "price"]))
 
 
 def analysis_date(latest: Column, days: int = 2) -> Column:
