@@ -159,7 +159,8 @@ def _mann_whitney(sums: DataFrame) -> DataFrame:
     z = F.greatest(F.try_divide(mu - u - 0.5, F.sqrt(F.greatest(var, F.lit(0.0)))), F.lit(0.0))
     tested = sums.select("first", "second", "n1", "n2", u.alias("statistic"), F.when(var > 0, z).alias("z"))
     tested = tested.withColumn("p_one_sided", P.normal_upper("z"))
-    return tested.withColumn("p_two_sided", F.least(F.col("p_one_sided") * 2, F.lit(1.0)))
+    both = F.col("p_one_sided") * 2
+    return tested.withColumn("p_two_sided", F.when(both > 1.0, 1.0).otherwise(both))  # least() would hide a NULL
 
 
 def mann_whitney(df: DataFrame, group: str, value: str, first, second) -> DataFrame:
