@@ -13,20 +13,20 @@ _STIRLING = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188)
 
 
 def log_gamma(x) -> np.ndarray:
-    """log Gamma for positive arguments: shift above 10, then the Stirling series."""
-    z = np.array(x, dtype=float, copy=True)
-    shift = np.zeros_like(z)
-    for _ in range(10):
-        low = z < 10.0
-        if not low.any():
-            break
-        shift = np.where(low, shift + np.log(z), shift)
-        z = np.where(low, z + 1.0, z)
-    series, power = np.zeros_like(z), 1.0 / z
-    for c in _STIRLING:
-        series += c * power
-        power = power / (z * z)
-    return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + series - shift
+    """log Gamma for positive arguments: recurrence up by 8, then the Stirling series."""
+    x = np.asarray(x, dtype=float)
+    small = np.minimum(x, 1e6)  # far out the series needs no recurrence
+    product = np.ones_like(small)
+    for i in range(8):
+        product = product * (small + i)
+    far = x > 1e6
+    z = np.where(far, x, x + 8.0)
+    inverse = 1.0 / z
+    square, series = inverse * inverse, np.zeros_like(z)
+    for c in reversed(_STIRLING):
+        series = series * square + c
+    stirling = (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + series * inverse
+    return stirling - np.where(far, 0.0, np.log(product))
 
 
 def hyp2f1(a, b, c, z, max_terms: int = 200_000, tolerance: float = 1e-14) -> np.ndarray:

@@ -3,8 +3,9 @@
 The built-in exact percentile keeps every distinct value of a column in one
 reducer. Here a mergeable sketch first brackets each wanted rank; then the rows
 outside the brackets are only counted (map-side) and the few distinct values
-inside them are ranked. With accuracy A at most about 4 * len(probs) / A of the
-rows reach the ranking step; equal values collapse to one row before the shuffle.
+inside them are ranked, in slices. With accuracy A at most about 4 * len(probs) / A
+of the rows reach the ranking step, equal values collapse to one row before the
+shuffle, and one task ranks one slice of one bracket.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from ..session import broadcast_if_small
 
 ACCURACY = 20_000
+#: Parts into which each bracket is cut before ranking.
+SLICES = 256
 _NAME = "column_name"
 
 
@@ -74,23 +77,44 @@ def exact_quantiles(
     else:
         long = located.selectExpr(*keys, f"inline(array({cells}))")
     segment = " ".join(f"WHEN _qv <= _qe[{2 * i + 1}] THEN {i}" for i in range(k))
-    low = " ".join(f"WHEN {i} THEN _qe[{2 * i}]" for i in range(k))
+    low = "CASE _seg " + " ".join(f"WHEN {i} THEN _qe[{2 * i}]" for i in range(k)) + " END"
+    high = "CASE _seg " + " ".join(f"WHEN {i} THEN _qe[{2 * i + 1}]" for i in range(k)) + " END"
     long = long.where("_qv IS NOT NULL").selectExpr(*keys, _NAME, "_qv", "_qe", f"CASE {segment} ELSE {k} END AS _seg")
-    long = long.selectExpr(*keys, _NAME, "_qv", "_seg", f"CASE WHEN _qv >= CASE _seg {low} END THEN _qv END AS _bin")
-    counts = long.groupBy(*by, _NAME, "_seg", "_bin").agg(
+    long = long.selectExpr(*keys, _NAME, "_qv", "_seg", f"{low} AS _low", f"{high} - {low} AS _width")
+    long = long.selectExpr(
+        *keys,
+        _NAME,
+        "_qv",
+        "_seg",
+        f"CASE WHEN _qv < _low OR _low IS NULL THEN -1 WHEN _width > 0 AND _width < 1e300D "
+        f"THEN CAST(floor((_qv - _low) / _width * {SLICES}) AS INT) ELSE 0 END AS _slice",
+    )
+    long = long.selectExpr(*keys, _NAME, "_qv", "_seg", "_slice", "CASE WHEN _slice >= 0 THEN _qv END AS _bin")
+    place = [*by, _NAME, "_seg", "_slice"]
+    counts = long.groupBy(*place, "_bin").agg(
         F.expr("count(1) AS _cnt"), F.expr("min(_qv) AS _lo"), F.expr("max(_qv) AS _hi")
     )
 
-    # 3. ranks over the few bins, then the values at the wanted ranks
+    # 3. ranks: every slice of a bracket is ranked on its own and shifted by the slices before it
     part = ", ".join([*keys, _NAME])
-    placed = counts.selectExpr(
+    totals = counts.groupBy(*place).agg(F.expr("sum(_cnt) AS _t")).selectExpr(
+        *[quoted(c) for c in place],
+        f"sum(_t) OVER (PARTITION BY {part} ORDER BY _seg, _slice ROWS UNBOUNDED PRECEDING) - _t AS _before",
+        f"sum(_t) OVER (PARTITION BY {part}) AS _n",
+    )
+    pairs = [(quoted(c), f"_j{i}") for i, c in enumerate(place)]
+    totals = totals.toDF(*[j for _, j in pairs], "_before", "_n")
+    if not by:
+        totals = F.broadcast(totals)  # at most one row per column, bracket and slice
+    shifted = counts.join(totals, on=F.expr(" AND ".join(f"{c} <=> {j}" for c, j in pairs)))
+    placed = shifted.selectExpr(
         *keys,
         _NAME,
         "_cnt",
         "_lo",
         "_hi",
-        f"sum(_cnt) OVER (PARTITION BY {part} ORDER BY _seg, _bin NULLS FIRST ROWS UNBOUNDED PRECEDING) AS _end",
-        f"sum(_cnt) OVER (PARTITION BY {part}) AS _n",
+        f"_before + sum(_cnt) OVER (PARTITION BY {part}, _seg, _slice ORDER BY _bin ROWS UNBOUNDED PRECEDING) AS _end",
+        "_n",
     )
     missed = "CAST(raise_error('quantile sketch missed its bracket; raise accuracy') AS DOUBLE)"
     picks = ["max(_n) AS _n"]
