@@ -135,21 +135,49 @@ def role_table(df: DataFrame, low_levels: int = 10, car_th: int = 20) -> DataFra
     return distinct_counts(df).select("column_name", "n_distinct", role.alias("role"))
 
 
+def distinct_up_to(df: DataFrame, cols: Sequence[str], limit: int, nulls: bool = False) -> dict[str, int | None]:
+    """Exact number of distinct values per column, or None when it is above ``limit``.
+
+    A sketch of all columns, one small aggregate, first sets aside the columns that
+    hold far more values than the limit. Only the others are counted exactly, so
+    identifiers and amounts never cross the shuffle.
+    """
+    cols = list(cols)
+    if not cols:
+        return {}
+    sketch = df.agg(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    near = [c for i, c in enumerate(cols) if sketch[f"n{i}"] <= 4 * limit + 100]
+    counted = {}
+    if near:
+        for r in distinct_counts(df, near).collect():  # one row per column
+            counted[r.column_name] = r.n_levels if nulls else r.n_distinct
+    found = {c: counted.get(c, 0) if c in near else None for c in cols}
+    return {c: None if n is not None and n > limit else n for c, n in found.items()}
+
+
 def column_roles(df: DataFrame, low_levels: int = 10, car_th: int = 20) -> Roles:
-    found = {r.column_name: r.role for r in role_table(df, low_levels, car_th).collect()}  # one row per column
-    pick = lambda *roles: [c for c in df.columns if found.get(c) in roles]
-    return Roles(pick("cat", "num_but_cat"), pick("cat_but_car"), pick("num"), pick("num_but_cat"))
+    """The roles of ``role_table`` as column lists, without counting columns that have many values."""
+    n = distinct_up_to(df, df.columns, max(low_levels, car_th))
+    numeric = set(numeric_columns(df))
+    few = [c for c in df.columns if c in numeric and n[c] is not None and n[c] < low_levels]
+    cardinal = [c for c in df.columns if c not in numeric and (n[c] is None or n[c] > car_th)]
+    return Roles(
+        [c for c in df.columns if c in few or (c not in numeric and c not in cardinal)],
+        cardinal,
+        [c for c in df.columns if c in numeric and c not in few],
+        few,
+    )
 
 
-def columns_by_levels(df: DataFrame, low: int, high: int, kind: str | None = None, cols=None) -> list[str]:
-    """Columns whose number of levels (NULL counts as one) lies in [low, high]."""
+def columns_by_levels(df: DataFrame, low: int, high: int | None, kind: str | None = None, cols=None) -> list[str]:
+    """Columns with ``low`` to ``high`` levels (NULL counts as one); no ``high`` means at least ``low``."""
     chosen = {"text": text_columns(df), "numeric": numeric_columns(df), None: df.columns}[kind]
     if cols is not None:
         chosen = [c for c in chosen if c in cols]
-    if not chosen:
-        return []
-    levels = {r.column_name: r.n_levels for r in distinct_counts(df, chosen).collect()}  # one row per column
-    return [c for c in chosen if low <= levels.get(c, 0) <= high]
+    n = distinct_up_to(df, chosen, high if high is not None else low - 1, nulls=True)
+    if high is None:
+        return [c for c in chosen if n[c] is None]
+    return [c for c in chosen if n[c] is not None and n[c] >= low]
 
 
 def category_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -151,7 +151,7 @@ def passenger_recipe(train: DataFrame, target: str = "SURVIVED", key: str = "PAS
 
     recipe.add(ages).settle()
     recipe.fill_modes(profile.columns_by_levels(recipe.train, 1, 10, "text"))
-    numbers = profile.columns_by_levels(recipe.train, 21, 1 << 62, "numeric")
+    numbers = profile.columns_by_levels(recipe.train, 21, None, "numeric")
     recipe.cap([c for c in numbers if c != key]).settle()
     recipe.label_encode(profile.columns_by_levels(recipe.train, 2, 2, "text"))
     recipe.rare_encode(profile.text_columns(recipe.train), 0.01).settle()
@@ -237,13 +237,13 @@ def player_recipe(train: DataFrame, target: str = "SALARY", key: str | None = No
     band = performance_band(F.col("Years"), F.col("General Performance"), F.lit(means.y), F.lit(means.g))
     recipe.add(lambda df: upper_names(df.withColumn("PERFORMANCE", band))).settle()
     text = profile.text_columns(recipe.train)
-    distinct = {r.column_name: r.n_distinct for r in profile.distinct_counts(recipe.train, text).collect()}
-    recipe.label_encode([c for c in text if distinct.get(c) == 2]).settle()
+    distinct = profile.distinct_up_to(recipe.train, text, 2)
+    recipe.label_encode([c for c in text if distinct[c] == 2]).settle()
     kept = {target, key}
     recipe.one_hot([c for c in profile.columns_by_levels(recipe.train, 3, 10) if c not in kept]).settle()
     numbers = profile.numeric_columns(recipe.train)
-    distinct = {r.column_name: r.n_distinct for r in profile.distinct_counts(recipe.train, numbers).collect()}
-    recipe.minmax([c for c in numbers if distinct[c] > 20 and c not in kept])
+    distinct = profile.distinct_up_to(recipe.train, numbers, 20)
+    recipe.minmax([c for c in numbers if distinct[c] is None and c not in kept])
     return recipe.add(lambda df: df.na.drop("any"))
 
 

@@ -154,6 +154,13 @@ def test_levels_count_null_as_a_value(spark):
     assert (row.n_distinct, row.n_levels) == (2, 3)
 
 
+def test_level_counts_stop_at_the_limit(spark):
+    df = spark.range(5000).selectExpr("id", "id % 21 as edge", "id % 20 as k", "if(id % 3 = 0, null, id % 2) as holes", "cast(null as int) as empty")
+    assert profile.distinct_up_to(df, df.columns, 20) == {"id": None, "edge": None, "k": 20, "holes": 2, "empty": 0}
+    assert profile.columns_by_levels(df, 3, 10) == ["holes"]
+    assert profile.columns_by_levels(df, 21, None, "numeric") == ["id", "edge"]
+
+
 def test_roles(spark):
     df = spark.createDataFrame([(i, i % 3, f"t{i}", "ab"[i % 2]) for i in range(30)], "n int, k int, free string, kind string")
     roles = profile.column_roles(df)
