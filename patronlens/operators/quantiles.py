@@ -95,39 +95,45 @@ def exact_quantiles(
         F.expr("count(1) AS _cnt"), F.expr("min(_qv) AS _lo"), F.expr("max(_qv) AS _hi")
     )
 
-    # 3. ranks: every slice of a bracket is ranked on its own and shifted by the slices before it
+    # 3. ranks: slice totals tell which slices hold a wanted rank; only those are ranked
     part = ", ".join([*keys, _NAME])
-    totals = counts.groupBy(*place).agg(F.expr("sum(_cnt) AS _t")).selectExpr(
-        *[quoted(c) for c in place],
+    ranks = [(f"_{side}{i}", f"{side}((_n - 1) * {p!r}D)") for i, p in enumerate(ranked) for side in ("floor", "ceil")]
+    totals = counts.groupBy(*place).agg(
+        F.expr("sum(_cnt) AS _t"), F.expr("min(_lo) AS _first"), F.expr("max(_hi) AS _last")
+    ).selectExpr(
+        *[f"{quoted(c)} AS _j{i}" for i, c in enumerate(place)],
+        "_t",
+        "_first",
+        "_last",
         f"sum(_t) OVER (PARTITION BY {part} ORDER BY _seg, _slice ROWS UNBOUNDED PRECEDING) - _t AS _before",
         f"sum(_t) OVER (PARTITION BY {part}) AS _n",
     )
-    pairs = [(quoted(c), f"_j{i}") for i, c in enumerate(place)]
-    totals = totals.toDF(*[j for _, j in pairs], "_before", "_n")
+    totals = totals.where(" OR ".join(f"(_before <= {r} AND {r} < _before + _t)" for _, r in ranks))
     if not by:
-        totals = F.broadcast(totals)  # at most one row per column, bracket and slice
-    shifted = counts.join(totals, on=F.expr(" AND ".join(f"{c} <=> {j}" for c, j in pairs)))
-    placed = shifted.selectExpr(
+        totals = F.broadcast(totals)  # at most two slices per column and quantile
+    same = F.expr(" AND ".join(f"{quoted(c)} <=> _j{i}" for i, c in enumerate(place)))
+    placed = counts.join(totals, on=same).selectExpr(
         *keys,
         _NAME,
         "_cnt",
         "_lo",
         "_hi",
+        "_first",
+        "_last",
         f"_before + sum(_cnt) OVER (PARTITION BY {part}, _seg, _slice ORDER BY _bin ROWS UNBOUNDED PRECEDING) AS _end",
         "_n",
     )
     missed = "CAST(raise_error('quantile sketch missed its bracket; raise accuracy') AS DOUBLE)"
     picks = ["max(_n) AS _n"]
-    for i, p in enumerate(ranked):
-        for side, rank in (("lo", f"floor((_n - 1) * {p!r}D)"), ("hi", f"ceil((_n - 1) * {p!r}D)")):
-            picks.append(
-                f"max(CASE WHEN _end - _cnt <= {rank} AND {rank} < _end THEN CASE WHEN _lo = _hi OR {rank} = _end - _cnt THEN _lo "
-                f"WHEN {rank} = _end - 1 THEN _hi ELSE {missed} END END) AS _{side}{i}"
-            )
+    for name, rank in ranks:
+        picks.append(
+            f"max(CASE WHEN _end - _cnt <= {rank} AND {rank} < _end THEN CASE WHEN _first = _last THEN _first "
+            f"WHEN _lo = _hi OR {rank} = _end - _cnt THEN _lo WHEN {rank} = _end - 1 THEN _hi ELSE {missed} END END) AS {name}"
+        )
     best = placed.groupBy(*by, _NAME).agg(*[F.expr(e) for e in picks])
     slot = {original: i for i, original in enumerate(order)}
     q = ", ".join(
-        f"_lo{i} + (_hi{i} - _lo{i}) * ((_n - 1) * {p!r}D - floor((_n - 1) * {p!r}D))"
+        f"_floor{i} + (_ceil{i} - _floor{i}) * ((_n - 1) * {p!r}D - floor((_n - 1) * {p!r}D))"
         for i, p in ((slot[j], float(probs[j])) for j in range(k))
     )
     return best.selectExpr(*keys, _NAME, "_n AS n", f"array({q}) AS q")
