@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .encoding import frequency_table
-from .quantiles import ACCURACY, exact_quantiles
+from .quantiles import ACCURACY, exact_quantiles, literal, quoted
 
 PROFILE_PROBS = (0.0, 0.05, 0.50, 0.95, 0.99, 1.0)
 
@@ -27,29 +27,30 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
 
 
-def _per_column(df: DataFrame, cols: Sequence[str], measures: dict[str, object]) -> DataFrame:
-    """One aggregate over the table, turned into one row per column."""
+def _per_column(df: DataFrame, cols: Sequence[str], measures: dict[str, str]) -> DataFrame:
+    """One aggregate over the table, turned into one row per column.
+
+    ``measures`` are SQL templates in which ``{c}`` stands for the column.
+    """
     if not cols:
         raise ValueError("no columns to profile")
-    aggs = [fn(c).alias(f"{i}_{name}") for i, c in enumerate(cols) for name, fn in measures.items()]
-    wide = df.agg(*aggs)
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), *[F.col(f"{i}_{name}").alias(name) for name in measures])
-            for i, c in enumerate(cols)
-        ]
+    wide = df.agg(
+        *[F.expr(f"{sql.format(c=quoted(c))} AS `{i}_{name}`") for i, c in enumerate(cols) for name, sql in measures.items()]
     )
-    return wide.select(F.explode(cells).alias("cell")).select("cell.*")
+    cells = ", ".join(
+        "struct(" + ", ".join([f"{literal(c)} AS column_name", *[f"`{i}_{name}` AS {name}" for name in measures]]) + ")"
+        for i, c in enumerate(cols)
+    )
+    return wide.selectExpr(f"inline(array({cells}))")
 
 
-def _missing(c: str) -> Column:
-    return F.count_if(F.col(c).isNull())
+MISSING = "count_if({c} IS NULL)"
 
 
 def table_profile(df: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
     """(column_name, data_type, n_rows, n_null, quantiles 0 / .05 / .5 / .95 / .99 / 1)."""
     types = {f.name: f.dataType.simpleString() for f in df.schema}
-    base = _per_column(df, df.columns, {"n_rows": lambda c: F.count(F.lit(1)), "n_null": _missing})
+    base = _per_column(df, df.columns, {"n_rows": "count(1)", "n_null": MISSING})
     names = F.create_map(*[F.lit(x) for kv in types.items() for x in kv])
     base = base.withColumn("data_type", F.element_at(names, F.col("column_name")))
     q = exact_quantiles(df, numeric_columns(df), PROFILE_PROBS, accuracy=accuracy)
@@ -59,23 +60,26 @@ def table_profile(df: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    return _per_column(df, df.columns, {"n_null": _missing})
+    return _per_column(df, df.columns, {"n_null": MISSING})
 
 
 def zero_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return _per_column(df, cols, {"n_zero": lambda c: F.count_if(F.col(c) == 0)})
+    return _per_column(df, cols, {"n_zero": "count_if({c} = 0)"})
 
 
 def missing_table(df: DataFrame) -> DataFrame:
     """Columns with missing values: count and percentage, most missing first."""
-    counts = _per_column(df, df.columns, {"n_rows": lambda c: F.count(F.lit(1)), "n_miss": _missing})
+    counts = _per_column(df, df.columns, {"n_rows": "count(1)", "n_miss": MISSING})
     shown = counts.where(F.col("n_miss") > 0)
     shown = shown.withColumn("ratio", F.round(F.col("n_miss") / F.col("n_rows") * 100, 2)).drop("n_rows")
     return shown.orderBy(F.col("n_miss").desc(), "column_name")
 
 
-def missing_columns(df: DataFrame) -> list[str]:
-    return [r.column_name for r in missing_table(df).collect()]  # at most one row per column
+def missing_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[str]:
+    """Columns that hold at least one missing value."""
+    cols = list(df.columns if cols is None else cols)
+    row = df.agg(F.expr("count(1)"), *[F.expr(f"count({quoted(c)})") for c in cols]).first()
+    return [c for c, n in zip(cols, row[1:]) if n < row[0]]
 
 
 def describe(
@@ -86,11 +90,11 @@ def describe(
         df,
         cols,
         {
-            "n": lambda c: F.count(c),
-            "mean": lambda c: F.avg(c),
-            "std": lambda c: F.stddev_samp(c),
-            "min": lambda c: F.min(F.col(c).cast("double")),
-            "max": lambda c: F.max(F.col(c).cast("double")),
+            "n": "count({c})",
+            "mean": "avg({c})",
+            "std": "stddev_samp({c})",
+            "min": "min(CAST({c} AS DOUBLE))",
+            "max": "max(CAST({c} AS DOUBLE))",
         },
     )
     q = exact_quantiles(df, cols, probs, accuracy=accuracy).select("column_name", "q")
@@ -225,6 +229,6 @@ def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def target_correlations(df: DataFrame, cols: Sequence[str], target: str, limit: float = 0.60) -> DataFrame:
     """(column_name, r, is_high) with ``is_high`` when |r| exceeds the limit."""
-    return _per_column(
-        df, [c for c in cols if c != target], {"r": lambda c: F.corr(F.col(c).cast("double"), F.col(target).cast("double"))}
-    ).withColumn("is_high", F.coalesce(F.abs("r") > limit, F.lit(False)))
+    pair = f"corr(CAST({{c}} AS DOUBLE), CAST({quoted(target)} AS DOUBLE))"
+    table = _per_column(df, [c for c in cols if c != target], {"r": pair})
+    return table.withColumn("is_high", F.coalesce(F.abs("r") > limit, F.lit(False)))

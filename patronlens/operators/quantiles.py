@@ -27,7 +27,7 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _literal(text: str) -> str:
+def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -71,9 +71,9 @@ def exact_quantiles(
         located = base.crossJoin(F.broadcast(sketch))  # the sketch is exactly one row
 
     # 2. one (segment, value) per cell: the value inside a bracket, NULL in the gap below it
-    cells = ", ".join(f"struct({_literal(c)} AS {_NAME}, _v{i} AS _qv, _e{i} AS _qe)" for i, c in enumerate(cols))
+    cells = ", ".join(f"struct({literal(c)} AS {_NAME}, _v{i} AS _qv, _e{i} AS _qe)" for i, c in enumerate(cols))
     if len(cols) == 1:
-        long = located.selectExpr(*keys, f"{_literal(cols[0])} AS {_NAME}", "_v0 AS _qv", "_e0 AS _qe")
+        long = located.selectExpr(*keys, f"{literal(cols[0])} AS {_NAME}", "_v0 AS _qv", "_e0 AS _qe")
     else:
         long = located.selectExpr(*keys, f"inline(array({cells}))")
     segment = " ".join(f"WHEN _qv <= _qe[{2 * i + 1}] THEN {i}" for i in range(k))
@@ -142,7 +142,7 @@ def exact_quantiles(
 def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
     """The same quantiles as exactly one row: array column ``q_<name>`` per input column."""
     table = exact_quantiles(df, cols, probs, accuracy=accuracy)
-    picks = [f"max(CASE WHEN {_NAME} = {_literal(c)} THEN q END) AS {quoted('q_' + c)}" for c in cols]
+    picks = [f"max(CASE WHEN {_NAME} = {literal(c)} THEN q END) AS {quoted('q_' + c)}" for c in cols]
     return table.agg(*[F.expr(e) for e in picks])
 
 

@@ -300,9 +300,8 @@ def house_recipe(houses: DataFrame, target: str = "SalePrice", key: str = "Id",
     recipe.add(lambda df: df.drop(*dropped)).settle()
     coded = [c for c in roles.categorical + roles.cardinal if c not in {*dropped, *KEPT_AS_NUMBERS, target, key}]
     recipe.one_hot(coded, drop_first=True).settle()
-    holes = profile.missing_columns(recipe.train)
-    numbers = profile.numeric_columns(recipe.train)
-    recipe.fill_medians([c for c in holes if c in numbers and c != target])
+    numbers = [c for c in profile.numeric_columns(recipe.train) if c != target]
+    recipe.fill_medians(profile.missing_columns(recipe.train, numbers))
     return recipe.cap([c for c in roles.numeric if c not in (target, key)])
 
 
