@@ -106,7 +106,7 @@ def k04(spark, d):
 
 @query(
     "k05_rfm_segment_profile",
-    "segment:str, recency_mean:double, recency_count:long, frequency_mean:double, frequency_count:long, monetary_mean:double5, monetary_count:long",
+    "segment:str, recency_mean:double, recency_count:long, frequency_mean:double, frequency_count:long, monetary_mean:double6, monetary_count:long",
     f"""WITH {SEGMENTS_SQL} SELECT segment, avg(recency) AS recency_mean, count(recency) AS recency_count,
         avg(frequency) AS frequency_mean, count(frequency) AS frequency_count, avg(monetary) AS monetary_mean,
         count(monetary) AS monetary_count FROM segments GROUP BY segment""",
