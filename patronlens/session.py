@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +32,28 @@ def build_session(app: str = "patronlens", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession, root: str) -> None:
+    """Send the package below ``root`` to the Python workers, once for each Spark application.
+
+    Functions that run on executors import it, and executors need not see the driver's folders.
+    """
+    context = spark.sparkContext
+    name = "patronlens-shipped.zip"
+    if any(f.endswith(name) for f in context.listFiles):
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
+        for folder, _, files in os.walk(os.path.join(root, "patronlens")):
+            for file in files:
+                if file.endswith(".py"):
+                    path = os.path.join(folder, file)
+                    out.write(path, os.path.relpath(path, root))
+    path = os.path.join(tempfile.mkdtemp(prefix="patronlens-"), name)
+    with open(path, "wb") as out:
+        out.write(packed.getvalue())
+    context.addPyFile(path)
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
