@@ -127,14 +127,14 @@ def sql() -> str:
     rules = " AND ".join(r.holds() for r in RULES)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
-w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-    list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
-g AS (SELECT k, unnest(range(1, len(w) - 3)) AS i, unnest(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) AS g FROM w WHERE len(w) >= 5),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+g AS (SELECT k, unnest(range(1, len(w) - 3)) AS i, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS g FROM w WHERE len(w) >= 5),
 r AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, g) AS c FROM g) WHERE c > 1),
 c AS (SELECT k, sum(least(5, coalesce(lead_i - i, 5))) AS n FROM (SELECT k, i, lead(i) OVER (PARTITION BY k ORDER BY i) AS lead_i FROM r) GROUP BY k),
 m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(l) AS BIGINT) AS n_lines,
     CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
-    CAST(len(list_filter(w, x -> x IN ({_sql_list(STOP_WORDS)}))) AS BIGINT) AS n_stop_words FROM w LEFT JOIN c USING (k))
+    CAST(len(list_filter(w, lambda x: x IN ({_sql_list(STOP_WORDS)}))) AS BIGINT) AS n_stop_words FROM w LEFT JOIN c USING (k))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ({BASE_FAILED}) AS base_failed,
     ({rules}) AND NOT ({BASE_FAILED}) AS kept FROM m"""
