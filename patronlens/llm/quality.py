@@ -20,6 +20,7 @@ STOP_WORDS = (
 ).split()
 
 SYMBOLS = "#*$%&|<>"
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_stop_words", "n_lines", "n_dup_lines", "n_repeat_words")
 WINDOW = 5
 
 
@@ -62,7 +63,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     n_words, word_chars (code points in words), n_symbols, n_stop_words, n_lines (``\\n``-split lines with a word),
     n_dup_lines (of these, equal to an earlier one), n_repeat_words (words in a 5-word window that the text
     holds twice or more). A null text counts as empty and gives zeros. Windows are compared by a 64-bit hash
-    within one text. Columns of ``docs`` with these names are replaced.
+    within one text. Columns of ``docs`` with these names are replaced; names that start with ``_`` are left out.
     """
     space = r"[\\x20\\x09-\\x0D]"
     no_symbols = "_t"
@@ -91,7 +92,10 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     ]
     for step in steps:
         docs = docs.withColumns({name: F.expr(sql) for name, sql in step.items()})
-    return docs.drop("_t", "_w", "_lines", "_word", "_hash", "_at", "_twice")
+    # The generator ends the projections: a filter on a measure would else be written out in terms of the text, with
+    # every shared step repeated each time that it is used.
+    own = [c for c in docs.columns if not c.startswith("_") and c not in MEASURES]
+    return docs.select(*own, F.inline(F.array(F.struct(*MEASURES))))
 
 
 def verdict(rules: tuple[Rule, ...] = RULES) -> Column:

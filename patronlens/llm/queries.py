@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patronlens.llm import quality
-from patronlens.llm.common import table
+from patronlens.llm import languages, licenses, lm, packing, quality, url_filter
+from patronlens.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,3 +27,31 @@ def query(name: str, sql: str | None = None):
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return quality.digest(docs)
+
+
+@query("op1_license_scan")
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.digest(table(spark, folder, "documents"))
+
+
+@query("op7_language_mixture")
+def op7_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", (fold("doc_id", 3) == 1).alias("held_out"))
+    model = languages.learn(docs.filter("NOT held_out"))
+    return languages.identify(docs, ["doc_id", "held_out"], model)
+
+
+@query("op8_best_fit_packing")
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op4_backoff_automaton")
+def op4_backoff_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", (fold("doc_id", 7) == 2).alias("held_out"))
+    return lm.score(docs.withColumn("learns", ~docs.held_out), keep=("doc_id", "held_out"))
+
+
+@query("op6_url_trees")
+def op6_url_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.digest(table(spark, folder, "pages"))
