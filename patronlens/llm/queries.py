@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patronlens.llm import languages, licenses, lm, packing, quality, url_filter
+from patronlens.llm import jaccard_join, languages, licenses, lm, packing, quality, toxicity, url_filter
 from patronlens.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,22 @@ def op4_backoff_automaton(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_url_trees")
 def op6_url_trees(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.digest(table(spark, folder, "pages"))
+
+
+def learned_toxicity(spark: SparkSession, folder: str):
+    """Character model of all documents and the scorer learned from labels outside the held-out fold."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic").filter(fold("doc_id", 4) != 2)
+    return toxicity.fitted(docs, docs.filter(fold("doc_id", 4) != 2).join(labels, "doc_id").select("text", "toxic"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    model, scorer = learned_toxicity(spark, folder)
+    docs = table(spark, folder, "documents").select("doc_id", "text", (fold("doc_id", 4) == 2).alias("held_out"))
+    return toxicity.score(docs, ["doc_id", "held_out"], model, scorer)
+
+
+@query("op5_jaccard_join", sql=jaccard_join.sql())
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.digest(table(spark, folder, "documents").select("doc_id", "text"))

@@ -168,8 +168,8 @@ def _fit(judged: DataFrame, columns: list[str], max_labelled: int) -> GBTClassif
     if len(seen) < 2:
         return "block" if seen == {1.0} else "allow"
     ready = VectorAssembler(inputCols=columns, outputCol="_features").transform(sample).select("_features", "_label").coalesce(8)
-    trees = GBTClassifier(featuresCol="_features", labelCol="_label", probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_prediction", maxIter=20, maxDepth=4, maxBins=64, stepSize=0.2, seed=SEED)
-    return trees.fit(ready)
+    trees = GBTClassifier(featuresCol="_features", labelCol="_label", predictionCol="_prediction", maxIter=20, maxDepth=4, maxBins=64, stepSize=0.2, seed=SEED)
+    return trees.setProbabilityCol("_probability").setRawPredictionCol("_raw").fit(ready)
 
 
 def digest(pages: DataFrame) -> DataFrame:
