@@ -79,16 +79,18 @@ def shared_cells(rows: DataFrame) -> DataFrame:
     return rows.select("cell", "node").repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "cell bigint, node bigint, leader bigint")
 
 
-def links_in_cells(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def links_in_cells(rows: DataFrame, describe: Callable[[DataFrame], DataFrame], verify: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """Links (a, b) that connect what the cells' true links connect.
 
-    rows (cell, node): two nodes that are linked meet in a cell. ``verify`` keeps the linked ones of pairs (a, b). First
+    rows (cell, node): two nodes that are linked meet in a cell. ``describe`` gives what is to be compared for the nodes that
+    share a cell; ``verify`` keeps the linked ones of pairs (a, b), given that. First
     each node is tried with its cell's smallest node. Then, where a cell still holds nodes of several components, all
     its pairs between different components are tried, in groups of at most 2 * CHUNK nodes. Pairs within a component are
     not needed: they connect nothing new. So a large group of copies costs one trial a copy and cell, not all pairs.
     """
     cells = materialise(shared_cells(rows))
-    first = materialise(verify(cells.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()).select("a", "b"))
+    described = describe(cells.select("node").distinct())
+    first = materialise(verify(cells.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), described).select("a", "b"))
     labels = components(first)
     labelled = cells.join(labels, "node", "left").select("cell", "node", "leader", F.coalesce("label", "node").alias("label"))
     mixed = labelled.groupBy("cell").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("n > 2 AND low <> high")
@@ -100,5 +102,5 @@ def links_in_cells(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
     left = dealt.select("cell", "i", "j", F.col("node").alias("a"), F.col("label").alias("la"), F.col("chunk").alias("ca"))
     right = dealt.select("cell", "i", "j", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("chunk").alias("cb"))
     pairs = left.join(right, ["cell", "i", "j"]).filter("la <> lb AND a < b AND (ca <> cb OR i = j)").select("a", "b").distinct()
-    second = materialise(verify(pairs).select("a", "b"))
+    second = materialise(verify(pairs, described).select("a", "b"))
     return first.unionByName(second)

@@ -221,17 +221,17 @@ def similar(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     nodes = materialise(described.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.min("n").alias("n"), F.min("point").alias("point")))
     points = nodes.select("node", "n", "point")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        sides = [points.toDF(x, f"n{x}", f"p{x}") for x in "ab"]
-        near = materialise(pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_near, "a bigint, b bigint"))
-        asked = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    def describe(asked: DataFrame) -> DataFrame:
         wanted = nodes.join(asked, "node").select("text_hash").distinct()
         sets = source.join(wanted, "text_hash").select("_text").mapInArrow(_with_sets, "node bigint, shingles binary")
-        sets = materialise(sets.dropDuplicates(["node"]))
-        both = near.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-        return both.mapInArrow(_linked, "a bigint, b bigint")
+        return materialise(sets.dropDuplicates(["node"]))
+
+    def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        sides = [points.toDF(x, f"n{x}", f"p{x}") for x in "ab"]
+        near = pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_near, "a bigint, b bigint")
+        return near.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").mapInArrow(_linked, "a bigint, b bigint")
 
-    found = links_in_cells(source.select("_text").mapInArrow(_in_cells, "cell bigint, node bigint"), verify)
+    found = links_in_cells(source.select("_text").mapInArrow(_in_cells, "cell bigint, node bigint"), describe, verify)
     labels = components(found)
     label = F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label")
     named = described.join(labels, "node", "left").select("text_hash", "node", F.col("n").alias("n_shingles"), label)
