@@ -13,6 +13,7 @@ cell the points are bounded as above. Equal sets are one node throughout.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -100,15 +101,21 @@ def length_classes(n: int, percent: int = PERCENT) -> list[tuple[int, int]]:
         k, low = k + 1, high + 1
 
 
+@cache
+def most_different(high: int, percent: int = PERCENT) -> int:
+    """Most shingles that two linked sets of at most ``high`` shingles differ in."""
+    sizes = np.arange(2, 2 * high + 1)
+    return int(np.max(sizes - 2 * least_common(sizes, percent), initial=0))
+
+
 def cells(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Cells of a set: hashes of (class, group, the group's shingles).
 
-    Two linked sets of sizes up to u differ in at most d = 2u - 2 * least_common(2u) shingles, so with d + 1 + spare groups
-    at least 1 + spare are equal. Empty groups are left out unless a set has more than ``spare`` of them.
+    Two linked sets of a class differ in at most d shingles, so with d + 1 + spare groups at least 1 + spare are equal. Empty groups are left out unless a set has more than ``spare`` of them.
     """
     out = []
     for k, high in length_classes(len(shingles), percent):
-        differ = 2 * high - 2 * int(least_common(np.array(2 * high), percent))
+        differ = most_different(high, percent)
         if not differ:
             continue  # linked sets of this class are equal, and equal sets are one node
         spare = 1 + differ // 40

@@ -88,7 +88,7 @@ def within(left: list[str], right: list[str], edits: int = EDITS) -> np.ndarray:
     column are updated with a few word operations, for all pairs at once, column by column.
     """
     out = np.zeros(len(left), bool)
-    pairs = [(max(a, b, key=len), min(a, b, key=len)) for a, b in zip(left, right)]
+    pairs = [(a, b) if len(a) >= len(b) else (b, a) for a, b in zip(left, right)]
     order = sorted((i for i, (a, b) in enumerate(pairs) if len(a) - len(b) <= edits), key=lambda i: len(pairs[i][0]))
     while order:
         size = max(1, BATCH // max(1, len(pairs[order[-1]][0])))
