@@ -51,10 +51,10 @@ class Stretch:
     skip: int
 
 
-def _normal(raw: np.ndarray, ends: np.ndarray, first: int, closed: bool, before: np.ndarray) -> Stretch:
+def _normal(raw: np.ndarray, ends: np.ndarray, first: int, closed: bool, before: np.ndarray, fold: np.ndarray) -> Stretch:
     """Fold bytes, leave one blank after each word, and put an end after each text (after the last only if ``closed``)."""
     n = len(ends)
-    symbols = _FOLDED[raw]
+    symbols = fold[raw]
     doc = np.repeat(np.arange(first, first + n, dtype=np.int32), np.diff(np.concatenate([[0], ends])))
     blank = symbols == BLANK
     # a word's blank is the first one after it; texts that end in a word get theirs with the end
@@ -75,10 +75,10 @@ def _normal(raw: np.ndarray, ends: np.ndarray, first: int, closed: bool, before:
     return Stretch(np.concatenate([before, symbols]), np.concatenate([np.full(len(before), first, np.int32), doc]), len(before))
 
 
-def stretches(texts: pa.Array, chunk: int | None = None) -> Iterator[Stretch]:
+def stretches(texts: pa.Array, chunk: int | None = None, fold: np.ndarray = _FOLDED) -> Iterator[Stretch]:
     """The symbols of all texts in order, in groups of texts of about ``chunk`` bytes.
 
-    A longer text comes in parts that are cut between words. Nulls count as empty.
+    A longer text comes in parts that are cut between words. Nulls count as empty. ``fold`` gives each byte's symbol.
     """
     chunk = chunk or CHUNK
     texts = texts.cast(pa.large_string()).fill_null("")
@@ -90,14 +90,14 @@ def stretches(texts: pa.Array, chunk: int | None = None) -> Iterator[Stretch]:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + chunk, side="right")) - 1)
         start, stop = int(offsets[i]), int(offsets[j])
         if stop - start <= chunk:
-            yield _normal(data[start:stop], offsets[i + 1 : j + 1] - start, i, True, none)
+            yield _normal(data[start:stop], offsets[i + 1 : j + 1] - start, i, True, none, fold)
         else:
             before = none
             while start < stop:
                 cut = min(stop, start + chunk)
-                while cut < stop and _FOLDED[data[cut - 1]] != BLANK:
+                while cut < stop and fold[data[cut - 1]] != BLANK:
                     cut += 1
-                part = _normal(data[start:cut], np.array([cut - start]), i, cut == stop, before)
+                part = _normal(data[start:cut], np.array([cut - start]), i, cut == stop, before, fold)
                 yield part
                 before, start = part.symbols[-(ORDER - 1) :], cut
         i = j

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patronlens.llm import jaccard_join, languages, licenses, line_dedup, lm, packing, quality, toxicity, url_filter
+from patronlens.llm import decontamination, jaccard_join, languages, licenses, line_dedup, lm, packing, quality, toxicity, url_filter
 from patronlens.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_line_dedup")
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op10_benchmark_leaks")
+def op10_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.digest(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
