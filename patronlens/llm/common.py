@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +54,17 @@ def with_row_key(df: DataFrame, columns: list[str], key: str = "row_key") -> Dat
     Repeated rows and rows without an id stay apart in later joins on the key.
     """
     return materialise(df.select(*columns).withColumn(key, F.monotonically_increasing_id()))
+
+
+def sliced(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of the text in ``column``, so that a task's memory stays even."""
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        total = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64())).to_numpy()
+        start = 0
+        while start < batch.num_rows:
+            before = total[start - 1] if start else 0
+            stop = max(start + 1, int((total <= before + size).sum()))
+            yield batch.slice(start, stop - start)
+            start = stop

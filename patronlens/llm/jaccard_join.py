@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.llm import lm
-from patronlens.llm.common import UPPER
+from patronlens.llm.common import UPPER, sliced
 from patronlens.llm.components import components, links_in_cells
 from patronlens.session import materialise
 
@@ -163,7 +163,7 @@ def tree_join(sizes: np.ndarray, points: np.ndarray, percent: int = PERCENT) ->
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text_hash, text) -> (node, text_hash, n, point)."""
-    for batch in batches:
+    for batch in sliced(batches, 1):
         sets = shingle_sets(batch.column(1))
         yield pa.RecordBatch.from_arrays(
             [
@@ -177,9 +177,9 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text -> (cell, node), each node of a batch once."""
-    for batch in batches:
-        seen: set[int] = set()
+    """text -> (cell, node), each node of a task once."""
+    seen: set[int] = set()
+    for batch in sliced(batches, 0):
         cell, node = [], []
         for s in shingle_sets(batch.column(0)):
             own = node_id(s)
@@ -193,7 +193,7 @@ def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """text -> (node, shingles as bytes)."""
-    for batch in batches:
+    for batch in sliced(batches, 0):
         sets = shingle_sets(batch.column(0))
         yield pa.RecordBatch.from_arrays([pa.array([node_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
 
@@ -210,8 +210,8 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sets are linked."""
     for batch in batches:
         ok = []
-        for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
-            a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        for x, y in zip(batch.column("sa"), batch.column("sb")):
+            a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             common = len(np.intersect1d(a, b, assume_unique=True))
             ok.append(100 * common >= PERCENT * (len(a) + len(b) - common))
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))

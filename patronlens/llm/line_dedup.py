@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.llm import lm
+from patronlens.llm.common import sliced
 from patronlens.llm.components import components, links_in_cells
 from patronlens.session import materialise
 
@@ -28,7 +29,7 @@ LEAST = 40
 #: Buckets of line identities that tasks hold to leave out lines nobody asks for; a fixed size for any corpus.
 BUCKETS = 1 << 22
 #: Code points of line pairs compared at once.
-BATCH = 1 << 21
+BATCH = 1 << 20
 
 _U = np.uint64
 
@@ -142,8 +143,8 @@ def _within(long: list[str], short: list[str], edits: int) -> np.ndarray:
 
 def _in_cells(edits: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(node, line) -> (cell, node), each node of a batch once."""
-        for batch in batches:
+        """(node, line) -> (cell, node), each node of a slice once."""
+        for batch in sliced(batches, 1):
             node, at = np.unique(batch.column(0).to_numpy(), return_index=True)
             lines = batch.column(1).take(pa.array(at)).to_pylist()
             keep = [i for i, line in enumerate(lines) if len(line) >= least]
@@ -241,7 +242,7 @@ def dedup(docs: DataFrame, text: str = "text", edits: int = EDITS, least: int =
     at = clean.columns.index(text)
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, at):
             texts = batch.column(at).to_pylist()
             for i, gone in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 if gone:

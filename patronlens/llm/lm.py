@@ -29,9 +29,9 @@ ORDER = 5
 #: Least share of a kept n-gram among all n-grams, and of a word whose count each task holds.
 SHARE = 1e-6
 #: Bytes handled at once.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 #: Length of the stretches walked side by side.
-LANE = 1024
+LANE = 512
 BLANK, END = 0x20, 0x0A
 _FOLDED = np.arange(256, dtype=np.uint8)
 _FOLDED[65:91] += 32
