@@ -1,4 +1,4 @@
-"""Arrow UDFs for p-values and quantiles; they run on one row per test, never on data rows."""
+"""Arrow UDFs for p-values and quantiles; they run on one row per test; only ``normal_score`` runs on data rows, a batch at a time."""
 
 from __future__ import annotations
 
@@ -33,3 +33,14 @@ def f_upper(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
 @F.pandas_udf(T.DoubleType())
 def t_quantile(p: pd.Series, df: pd.Series) -> pd.Series:
     return _apply(lambda q, d: special.t_quantile(q, d) if d > 0 else None, p, df)
+
+
+@F.pandas_udf(T.DoubleType())
+def normal_score(p: pd.Series) -> pd.Series:
+    return pd.Series(special.normal_ppf(p.to_numpy(dtype=float)))
+
+
+@F.pandas_udf(T.StructType().add("statistic", "double").add("p_value", "double"))
+def shapiro(sums: pd.DataFrame) -> pd.DataFrame:
+    rows = [special.shapiro_from_sums(*r) for r in sums.itertuples(index=False)]
+    return pd.DataFrame(rows, columns=["statistic", "p_value"])

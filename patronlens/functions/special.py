@@ -143,14 +143,44 @@ def shapiro_wilk(values) -> tuple[float, float]:
         a[2:-2] = m[2:-2] / math.sqrt(phi)
         a[0], a[1], a[-2], a[-1] = -last, -second, second, last
     w = min(float(a @ x) ** 2 / float(((x - x.mean()) ** 2).sum()), 1.0)
+    return w, shapiro_p(w, n)
+
+
+def shapiro_from_sums(n: float, mm: float, mx: float, xx: float, low: float, low2: float, high2: float, high: float) -> tuple[float, float]:
+    """W and p from sums over a sample of any size, values taken from their mean.
+
+    mm, mx, xx: sums of squared normal scores, of scores times values, of squared values. low, low2, high2, high: the two
+    smallest and the two largest values. The outer weights are corrected, the inner ones are scaled scores.
+    """
+    if n < 3 or not xx > 0.0:
+        return math.nan, math.nan
+    top, top2 = (float(normal_ppf(np.array([(n - k - 0.375) / (n + 0.25)]))[0]) for k in (0, 1))
+    u = 1.0 / math.sqrt(n)
+    # Published polynomial coefficients, highest power first.
+    last = np.polyval([-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, top / math.sqrt(mm)], u)
+    second = np.polyval([-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, top2 / math.sqrt(mm)], u)
     if n == 3:
-        return w, max(6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))), 0.0)
+        total = math.sqrt(0.5) * (high - low)
+    elif n <= 5:
+        phi = (mm - 2 * top**2) / (1 - 2 * last**2)
+        total = (mx - top * (high - low)) / math.sqrt(phi) + last * (high - low)
+    else:
+        phi = (mm - 2 * top**2 - 2 * top2**2) / (1 - 2 * last**2 - 2 * second**2)
+        total = (mx - top * (high - low) - top2 * (high2 - low2)) / math.sqrt(phi) + last * (high - low) + second * (high2 - low2)
+    w = min(total**2 / xx, 1.0)
+    return w, shapiro_p(w, int(n))
+
+
+def shapiro_p(w: float, n: int) -> float:
+    """p of W by Royston's approximation."""
+    if n == 3:
+        return max(6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))), 0.0)
     if w >= 1.0:
-        return w, 1.0
+        return 1.0
     if n <= 11:
         gamma = -2.273 + 0.459 * n
         if gamma <= math.log(1 - w):
-            return w, 0.0
+            return 0.0
         y = -math.log(gamma - math.log(1 - w))
         mu = np.polyval([-0.0006714, 0.025054, -0.39978, 0.5440], n)
         sigma = math.exp(np.polyval([-0.0020322, 0.062767, -0.77857, 1.3822], n))
@@ -158,4 +188,4 @@ def shapiro_wilk(values) -> tuple[float, float]:
         y, ln = math.log(1 - w), math.log(n)
         mu = np.polyval([0.0038915, -0.083751, -0.31082, -1.5861], ln)
         sigma = math.exp(np.polyval([0.0030302, -0.082676, -0.4803], ln))
-    return w, float(normal_sf((y - mu) / sigma))
+    return float(normal_sf((y - mu) / sigma))

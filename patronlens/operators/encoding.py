@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import BOUNDED_ROWS
+from .ordering import with_row_number
 
 RARE = "Rare"
 
@@ -23,31 +23,40 @@ def frequency_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def category_levels(df: DataFrame, cols: Sequence[str], max_levels: int = BOUNDED_ROWS) -> dict[str, list[str]]:
-    """Sorted distinct values per column, for columns that are categories by nature.
-
-    More than ``max_levels`` values in total raise: such columns are no categories.
-    """
-    if not cols:
-        return {}
-    rows = frequency_table(df, cols).select("column_name", "value").limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
-        raise ValueError(f"{list(cols)} hold more than {max_levels} values; they cannot be encoded by level")
+def category_levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted distinct values per column, for columns whose levels become columns themselves."""
     found = {c: [] for c in cols}
-    for row in rows:
-        found[row.column_name].append(row.value)
+    if cols:
+        for row in frequency_table(df, cols).select("column_name", "value").collect():
+            found[row.column_name].append(row.value)
     return {c: sorted(values) for c, values in found.items()}
 
 
-def label_code(c: str, levels: Sequence[str]) -> Column:
-    """Position of the value among the sorted levels; unseen and missing give NULL."""
-    position = F.array_position(F.array(*[F.lit(v) for v in levels]), F.col(c).cast("string"))
-    return F.when(position > 0, position - 1).cast("int")
+def level_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column_name, value, code): position of every distinct value among its column's sorted values, from 0.
 
+    Levels are numbered over one range-split order of all columns, so any number of them is numbered in many tasks.
+    """
+    levels = frequency_table(df, cols).select("column_name", "value")
+    numbered = with_row_number(levels, [F.col("column_name").asc(), F.col("value").asc()], "_n")
+    starts = numbered.groupBy("column_name").agg(F.min("_n").alias("_first"))
+    return numbered.join(F.broadcast(starts), "column_name").select("column_name", "value", (F.col("_n") - F.col("_first")).cast("int").alias("code"))
 
-def label_encode(df: DataFrame, cols: Sequence[str], levels: dict[str, list[str]] | None = None) -> DataFrame:
-    levels = levels if levels is not None else category_levels(df, cols)
-    return df.withColumns({c: label_code(c, levels[c]) for c in cols if levels[c]})
+
+def label_encode(df: DataFrame, cols: Sequence[str], codes: DataFrame | None = None) -> DataFrame:
+    """Each column's value becomes its code; unseen and missing give NULL. A column without levels stays as it is.
+
+    ``codes`` (see ``level_codes``) may come from other rows. They are joined, so levels may be many.
+    """
+    if not cols:
+        return df
+    codes = level_codes(df, cols) if codes is None else codes
+    known = {r[0] for r in codes.select("column_name").distinct().collect()}
+    names = df.columns
+    for c in [c for c in cols if c in known]:
+        own = codes.where(F.col("column_name") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        df = df.join(own, F.col(c).cast("string") == F.col("_value"), "left").drop("_value", c).withColumnRenamed("_code", c)
+    return df.select(*names)
 
 
 def one_hot(

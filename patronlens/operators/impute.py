@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quantiles import ACCURACY, group_quantiles, quantile_row
-from ..session import broadcast_if_small
 
 
 def fill_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -29,8 +28,10 @@ def fill_group_median(df: DataFrame, column: str, group: str, accuracy: int = AC
     """Fill from the median of the row's group; rows without a group stay as they are."""
     named = df.where(F.col(group).isNotNull())
     medians = group_quantiles(named, [group], column, {"_median": 0.5}, accuracy)
-    joined = df.join(broadcast_if_small(medians), group, "left")
-    return joined.withColumn(column, F.coalesce(F.col(column).cast("double"), "_median")).drop("_median")
+    joined = named.join(medians, group, "left")
+    filled = joined.withColumn(column, F.coalesce(F.col(column).cast("double"), "_median")).select(*df.columns)
+    rest = df.where(F.col(group).isNull()).withColumn(column, F.col(column).cast("double"))  # kept out of the join: all one key
+    return filled.unionByName(rest)
 
 
 def mode_row(df: DataFrame, cols: Sequence[str]) -> DataFrame:

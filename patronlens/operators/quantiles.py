@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
 
 ACCURACY = 20_000
 #: Parts into which each bracket is cut before ranking.
@@ -65,7 +64,7 @@ def exact_quantiles(
     )
     if by:
         names = [f"_qk{i}" for i in range(len(by))]
-        sketch = broadcast_if_small(sketch.withColumnsRenamed(dict(zip(by, names))))
+        sketch = sketch.withColumnsRenamed(dict(zip(by, names)))
         located = base.join(sketch, on=F.expr(" AND ".join(f"{b} <=> {n}" for b, n in zip(keys, names))))
     else:
         located = base.crossJoin(F.broadcast(sketch))  # the sketch is exactly one row

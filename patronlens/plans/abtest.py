@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import probability as P
 from ..functions.columns import ratio
-from ..functions.special import shapiro_wilk
-from ..operators.ordering import running_totals, with_row_number
+from ..operators.ordering import with_row_number
 from ..operators.quantiles import group_quantiles
-from ..session import broadcast_if_small
+from ..session import materialise
 
-SHAPIRO_MAX = 5000
-PAIR_BLOCK = 12
+#: Groups and values of a block of the pair matrix.
+PAIR_BLOCK, VALUE_BLOCK = 256, 512
 
 
 def _present(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -49,32 +50,36 @@ def moment_normality(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def shapiro_normality(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Shapiro-Wilk W and p for groups of at most 5000 values, Jarque-Bera above.
+    """Shapiro-Wilk W and p for each group, the same test for every size.
 
-    The size limit belongs to the test; it also bounds what one task sorts.
+    Values are numbered in one range-split order; the normal scores of their positions enter sums, and W comes from the
+    sums and the two outermost values at either end. The published p was fitted for up to 5000 values; it is an
+    extrapolation beyond. Fewer than three or only equal values give NULL.
     """
     data = _present(df, group, value)
-    jb = moment_normality(data, group, value)
-    schema = data.select(group).schema.add("statistic", "double").add("p_value", "double")
-    small = broadcast_if_small(jb.where(F.col("n") <= SHAPIRO_MAX).select(group))
-
-    def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, p = shapiro_wilk(pdf[value])
-        return pd.DataFrame({group: [pdf[group].iloc[0]], "statistic": [w], "p_value": [p]})
-
-    exact = data.join(small, group, "left_semi").groupBy(group).applyInPandas(test, schema)
-    exact = exact.withColumn("method", F.lit("shapiro"))
-    large = jb.where(F.col("n") > SHAPIRO_MAX).select(
-        group, "statistic", "p_value", F.lit("jarque_bera").alias("method")
+    numbered = with_row_number(data, [F.col(group).asc(), F.col(value).asc()], "_row")
+    sizes = numbered.groupBy(F.col(group).alias("_g")).agg(
+        (F.min("_row") - 1).alias("_start"), F.count("_row").alias("_n"), F.avg(value).alias("_mean")
+    )
+    placed = numbered.join(sizes, F.col(group) == F.col("_g")).select(
+        group, "_n", (F.col("_row") - F.col("_start")).alias("_i"), (F.col(value) - F.col("_mean")).alias("_x")
     )
-    return exact.unionByName(large)
+    scored = placed.withColumn("_m", P.normal_score((F.col("_i") - 0.375) / (F.col("_n") + 0.25)))
+    at = lambda i: F.coalesce(F.max(F.when(F.col("_i") == i, F.col("_x"))), F.lit(0.0))
+    sums = scored.groupBy(group).agg(
+        F.count("_x").cast("double").alias("n"), F.sum(F.col("_m") * F.col("_m")).alias("mm"), F.sum(F.col("_m") * F.col("_x")).alias("mx"),
+        F.sum(F.col("_x") * F.col("_x")).alias("xx"), at(F.lit(1)).alias("low"), at(F.lit(2)).alias("low2"),
+        at(F.col("_n") - 1).alias("high2"), at(F.col("_n")).alias("high"), F.min("_x").alias("_least"), F.max("_x").alias("_most"),
+    )
+    tested = sums.withColumn("_t", P.shapiro(F.struct("n", "mm", "mx", F.when(F.col("_most") > F.col("_least"), F.col("xx")).otherwise(0.0).alias("xx"), "low", "low2", "high2", "high")))
+    return tested.select(group, F.nanvl("_t.statistic", F.lit(None)).alias("statistic"), F.nanvl("_t.p_value", F.lit(None)).alias("p_value"), F.lit("shapiro").alias("method"))
 
 
 def levene(df: DataFrame, group: str, value: str) -> DataFrame:
     """Median-centred Levene test over all groups, one row."""
     data = _present(df, group, value)
     medians = group_quantiles(data, [group], value, {"_median": 0.5})
-    spread = data.join(broadcast_if_small(medians), group).select(
+    spread = data.join(medians, group).select(
         group, F.abs(F.col(value) - F.col("_median")).alias("_z")
     )
     per_group = spread.groupBy(group).agg(
@@ -116,39 +121,63 @@ def t_test(df: DataFrame, group: str, value: str, first, second) -> DataFrame:
     return tested.withColumn("p_value", P.t_two_sided("statistic", (F.col("n1") + F.col("n2") - 2).cast("double")))
 
 
-def _value_counts(data: DataFrame, group: str, value: str, keys: Sequence) -> DataFrame:
-    """(value, n_0, n_1, ...): how often each key has each value; one row per distinct value."""
-    return data.where(F.col(group).isin(list(keys))).groupBy(value).agg(
-        *[F.count_if(F.col(group) == key).alias(f"n_{i}") for i, key in enumerate(keys)]
-    )
+def _pair_sums(data: DataFrame, group: str, value: str, keys: Sequence) -> DataFrame:
+    """(first, second, n1, n2, u1, ties) for all pairs of ``keys``, from one pass over the counts of (value, group).
 
-
-def _pair_sums(data: DataFrame, group: str, value: str, keys: Sequence, pairs: Sequence[tuple[int, int]]) -> DataFrame:
-    """(first, second, n1, n2, u1, ties) for pairs of positions in ``keys``, from one pass over distinct values.
-
-    A value of the first group beats all smaller values of the second one and half
-    of the equal ones, so the sum needs running totals per group and no ranking of rows.
+    A value of the first group beats all smaller values of the second one and half of the equal ones. Counts are split by
+    ranges of values; a range starts from what each group has below it and returns sums of products of counts. Its
+    matrix is formed in blocks of PAIR_BLOCK groups, VALUE_BLOCK values at a time.
     """
-    counts = _value_counts(data, group, value, keys)
-    summed = running_totals(counts, [F.col(value).asc()], {f"c_{i}": f"n_{i}" for i in range(len(keys))})
-    aggs = [F.sum(f"n_{i}").alias(f"t_{i}") for i in range(len(keys))]
-    for p, (i, j) in enumerate(pairs):
-        a, b = F.col(f"n_{i}").cast("double"), F.col(f"n_{j}").cast("double")
-        t = a + b
-        aggs.append(F.sum(a * (F.col(f"c_{j}") - b / 2.0)).alias(f"u_{p}"))
-        aggs.append(F.sum(t * t * t - t).alias(f"ties_{p}"))
-    wide = summed.agg(*aggs)
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(keys[i]).alias("first"), F.lit(keys[j]).alias("second"),
-                F.col(f"t_{i}").alias("n1"), F.col(f"t_{j}").alias("n2"),
-                F.col(f"u_{p}").alias("u1"), F.col(f"ties_{p}").alias("ties"),
-            )
-            for p, (i, j) in enumerate(pairs)
-        ]
-    )
-    return wide.select(F.explode(cells).alias("cell")).select("cell.*")
+    number = {key: i for i, key in enumerate(keys)}
+    spark = data.sparkSession
+    numbers = spark.createDataFrame([(k, i) for k, i in number.items()], data.select(group).schema.add("_g", "integer"))
+    counts = data.join(F.broadcast(numbers), group).groupBy(F.col(value).alias("_v"), "_g").agg(F.count(F.lit(1)).alias("_n"))
+    ranged = materialise(counts.repartitionByRange("_v").withColumn("_range", F.spark_partition_id()))
+    per_range = ranged.groupBy("_range", "_g").agg(F.sum("_n").alias("_n"))
+    before = W.partitionBy("_g").orderBy("_range").rowsBetween(W.unboundedPreceding, W.currentRow)  # a row for each range
+    reached = per_range.select("_range", "_g", F.sum("_n").over(before).alias("_upto"))
+    ranges = spark.createDataFrame([(r[0],) for r in ranged.select("_range").distinct().collect()], "_range int")
+    starts = ranges.join(reached.withColumnRenamed("_range", "_r"), F.col("_r") < F.col("_range")).groupBy("_range", "_g").agg(F.max("_upto").alias("_n"))
+    rows = ranged.select("_range", "_v", "_g", "_n").unionByName(starts.select("_range", F.lit(None).cast("double").alias("_v"), "_g", "_n"))
+    size = len(keys)
+
+    def products(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        below = np.zeros(size)
+        first = pdf["_v"].isna()
+        below[pdf.loc[first, "_g"]] = pdf.loc[first, "_n"]
+        inside = pdf[~first]
+        values, at = np.unique(inside["_v"].to_numpy(), return_inverse=True)
+        order = np.argsort(at, kind="stable")
+        at, of, n = at[order], inside["_g"].to_numpy()[order], inside["_n"].to_numpy(float)[order]
+        for a in range(0, size, PAIR_BLOCK):
+            mine = slice(a, min(a + PAIR_BLOCK, size))
+            u, ties, so_far = np.zeros((mine.stop - a, size)), np.zeros((mine.stop - a, size)), below.copy()
+            for s in range(0, len(values), VALUE_BLOCK):
+                lo, hi = np.searchsorted(at, [s, s + VALUE_BLOCK])
+                table = np.zeros((min(VALUE_BLOCK, len(values) - s), size))
+                table[at[lo:hi] - s, of[lo:hi]] = n[lo:hi]
+                upto = np.cumsum(table, axis=0) + so_far
+                own, square = table[:, mine], table**2
+                u += own.T @ (upto - table / 2)
+                cubes = (table**3 - table).sum(axis=0)
+                ties += cubes[mine, None] + cubes[None, :] + 3 * (square[:, mine].T @ table + own.T @ square)
+                so_far = upto[-1]
+            i, j = np.meshgrid(np.arange(a, mine.stop), np.arange(size), indexing="ij")
+            keep = i < j
+            yield pd.DataFrame({"_i": i[keep], "_j": j[keep], "u1": u[keep], "ties": ties[keep]})
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A partition of the range-keyed exchange holds whole ranges."""
+        held = [b for b in batches if len(b)]
+        if held:
+            for _, part in pd.concat(held).groupby("_range"):
+                yield from products(part)
+
+    summed = rows.repartition("_range").mapInPandas(each, "_i int, _j int, u1 double, ties double").groupBy("_i", "_j").agg(F.sum("u1").alias("u1"), F.sum("ties").alias("ties"))
+    totals = per_range.groupBy("_g").agg(F.sum("_n").alias("n")).join(F.broadcast(numbers), "_g")
+    one = totals.select(F.col("_g").alias("_i"), F.col(group).alias("first"), F.col("n").alias("n1"))
+    two = totals.select(F.col("_g").alias("_j"), F.col(group).alias("second"), F.col("n").alias("n2"))
+    return summed.join(one, "_i").join(two, "_j").select("first", "second", "n1", "n2", "u1", "ties")
 
 
 def _mann_whitney(sums: DataFrame) -> DataFrame:
@@ -165,35 +194,14 @@ def _mann_whitney(sums: DataFrame) -> DataFrame:
 
 def mann_whitney(df: DataFrame, group: str, value: str, first, second) -> DataFrame:
     """Mann-Whitney U (the smaller one) with tie- and continuity-corrected p-values, one row."""
-    return _mann_whitney(_pair_sums(_present(df, group, value), group, value, [first, second], [(0, 1)]))
+    return _mann_whitney(_pair_sums(_present(df, group, value), group, value, [first, second]))
 
 
-def pairwise_mann_whitney(df: DataFrame, group: str, value: str, alpha: float = 0.05, max_groups: int = 1000) -> DataFrame:
-    """Every unordered pair of groups with its test and the decision at ``alpha``.
-
-    Groups are handled in blocks of a few, two blocks at a time; each job reads
-    the data once and returns only sums.
-    """
+def pairwise_mann_whitney(df: DataFrame, group: str, value: str, alpha: float = 0.05) -> DataFrame:
+    """Every unordered pair of groups with its test and the decision at ``alpha``; the data is read once for all pairs."""
     data = _present(df, group, value)
-    keys = sorted(r[0] for r in data.select(group).distinct().limit(max_groups + 1).collect())
-    if len(keys) > max_groups:
-        raise ValueError(f"more than {max_groups} groups give too many pairs to report")
-    blocks = [keys[i : i + PAIR_BLOCK] for i in range(0, len(keys), PAIR_BLOCK)]
-    parts = []
-    for x, left in enumerate(blocks):
-        for right in blocks[x:]:
-            if left is right:
-                used = left
-                pairs = [(i, j) for i in range(len(used)) for j in range(i + 1, len(used))]
-            else:
-                used = left + right
-                pairs = [(i, len(left) + j) for i in range(len(left)) for j in range(len(right))]
-            if pairs:
-                parts.append(_pair_sums(data, group, value, used, pairs))
-    sums = parts[0]
-    for part in parts[1:]:
-        sums = sums.unionByName(part)
-    return _mann_whitney(sums).withColumn("rejected", F.col("p_one_sided") < alpha)
+    keys = sorted(r[0] for r in data.select(group).distinct().collect())  # the result has a row for each pair of these
+    return _mann_whitney(_pair_sums(data, group, value, keys)).withColumn("rejected", F.col("p_one_sided") < alpha)
 
 
 def choose_test(df: DataFrame, group: str, value: str, first, second, alpha: float = 0.05) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import first_of_sorted
-from ..session import broadcast_if_small, materialise
+from ..session import materialise
 
 
 def basket_items(lines: DataFrame, item: str = "stock_code", invoice: str = "invoice") -> DataFrame:
@@ -65,7 +66,7 @@ def frequent_itemsets(items: DataFrame, min_support: float = 0.01, written: bool
     n = items.agg(F.count_distinct("basket")).first()[0]
     least = max(math.ceil(min_support * n - 1e-9), 1)
     frequent = item_support(items).where(F.col("n_baskets") >= least).select("item")
-    kept = items.join(broadcast_if_small(frequent), "item", "left_semi")
+    kept = items.join(frequent, "item", "left_semi")
     baskets = materialise(basket_sets(kept).select("items"))
     n_kept = baskets.count()
     if n_kept == 0:
@@ -85,19 +86,25 @@ def rule_measures(support: Column, antecedent: Column, consequent: Column) -> di
     }
 
 
+def _rules_of(sets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """A rule for every split of every itemset (items, support) into two non-empty parts, within each of ``by``.
+
+    Splits are rows of a generator, numbered by a long, so a large itemset never stands in one array of all its splits.
+    """
+    numbered = sets.where(F.size("items") > 1).select(
+        *by, "support", "items", F.explode(F.expr("sequence(1L, shiftleft(1L, size(items)) - 2L)")).alias("_m")
+    )
+    part = "filter(items, (x, i) -> (shiftright(_m, i) & 1L) = {})"
+    splits = numbered.select(*by, "support", F.expr(part.format("1L")).alias("antecedents"), F.expr(part.format("0L")).alias("consequents"))
+    left = sets.select(*by, F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support"))
+    right = sets.select(*by, F.col("items").alias("consequents"), F.col("support").alias("consequent_support"))
+    rules = splits.join(left, [*by, "antecedents"]).join(right, [*by, "consequents"])
+    return rules.withColumns(rule_measures(*[F.col(c) for c in ("support", "antecedent_support", "consequent_support")]))
+
+
 def association_rules(itemsets: Itemsets, metric: str = "support", min_threshold: float = 0.01) -> DataFrame:
     """A rule for every split of every itemset into two non-empty parts."""
-    sized = itemsets.with_support()
-    split = F.expr(
-        """transform(sequence(1, shiftleft(1, size(items)) - 2), m -> named_struct(
-             'antecedents', filter(items, (x, i) -> (shiftright(m, i) & 1) = 1),
-             'consequents', filter(items, (x, i) -> (shiftright(m, i) & 1) = 0)))"""
-    )
-    splits = sized.where(F.size("items") > 1).select("support", F.explode(split).alias("_rule")).select("support", "_rule.*")
-    left = sized.select(F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support"))
-    right = sized.select(F.col("items").alias("consequents"), F.col("support").alias("consequent_support"))
-    rules = splits.join(left, "antecedents").join(right, "consequents")
-    rules = rules.withColumns(rule_measures(*[F.col(c) for c in ("support", "antecedent_support", "consequent_support")]))
+    rules = _rules_of(itemsets.with_support())
     return rules.where(F.col(metric) >= min_threshold - 1e-12).select(
         "antecedents", "consequents", "antecedent_support", "consequent_support", "support",
         "confidence", "lift", "leverage", "conviction",
@@ -121,29 +128,37 @@ def create_rules(
     return association_rules(frequent_itemsets(basket_items(chosen, item), min_support), "support", min_support)
 
 
-def segment_products(
-    lines: DataFrame, segment: str = "segment", item: str = "stock_code", min_support: float = 0.01, max_segments: int = 50
-) -> DataFrame:
+def segment_products(lines: DataFrame, segment: str = "segment", item: str = "stock_code", min_support: float = 0.01) -> DataFrame:
     """(segment, recommended_product): first consequent of the strongest rule of each segment.
 
-    ``lines`` carry the customer's segment. The basket items of all segments are
-    formed in one job; segments are few by construction, and one mining job runs
-    for each of them.
+    ``lines`` carry the customer's segment. All segments are mined in one run: an item is a struct of segment and product
+    written as one text, so no itemset spans two segments. The run's least count is the smallest of the segments'; sets
+    below their own segment's least count are dropped afterwards.
     """
     known = lines.where(F.col(segment).isNotNull() & F.col("invoice").isNotNull() & F.col(item).isNotNull())
-    net = known.groupBy(segment, F.col("invoice").alias("basket"), F.col(item).alias("item")).agg(F.sum("quantity").alias("net"))
-    items = materialise(net.select(segment, "basket", "item", F.when(F.col("net") > 0, 1).otherwise(0).alias("in_basket")))
-    names = [r[0] for r in items.select(segment).distinct().limit(max_segments + 1).collect()]
-    if len(names) > max_segments:
-        raise ValueError(f"more than {max_segments} segments")
-    parts = None
-    for name in sorted(names):
-        mined = frequent_itemsets(items.where(F.col(segment) == name).drop(segment), min_support, written=True)
-        best = top_rules(association_rules(mined, "support", min_support), 1).select(
-            F.lit(name).alias(segment), first_of_sorted("consequents").alias("recommended_product")
-        )
-        parts = best if parts is None else parts.unionByName(best)
-    return parts
+    net = known.groupBy(F.col(segment).alias("_segment"), F.col("invoice").alias("basket"), F.col(item).cast("string").alias("item")).agg(F.sum("quantity").alias("net"))
+    items = materialise(net.select("_segment", "basket", "item", (F.col("net") > 0).alias("_in")))
+    sizes = items.groupBy("_segment").agg(F.count_distinct("basket").alias("_n"))
+    sizes = materialise(sizes.withColumn("_least", F.greatest(F.ceil(F.col("_n") * min_support - 1e-9), F.lit(1))))
+    inside = items.where("_in").select("_segment", "basket", "item")
+    frequent = inside.groupBy("_segment", "item").agg(F.count(F.lit(1)).alias("_f")).join(sizes, "_segment").where("_f >= _least").select("_segment", "item")
+    kept = inside.join(frequent, ["_segment", "item"], "left_semi")
+    baskets = materialise(kept.groupBy("_segment", "basket").agg(F.collect_set(F.to_json(F.struct("_segment", "item"))).alias("items")).select("items"))
+    n_kept, least = baskets.count(), sizes.agg(F.min("_least")).first()[0]
+    empty = lines.sparkSession.createDataFrame([], lines.select(segment).schema.add("recommended_product", "string"))
+    if not n_kept:
+        return empty
+    miner = FPGrowth(itemsCol="items", minSupport=max((least - 0.5) / n_kept, 0.0))
+    kind = lines.schema[segment].dataType.simpleString()
+    parsed = F.transform("items", lambda x: F.from_json(x, f"_segment {kind}, item string"))
+    found = miner.fit(baskets).freqItemsets.select(parsed.alias("_parsed"), "freq")
+    found = found.select(F.col("_parsed")[0]["_segment"].alias("_segment"), F.array_sort(F.transform("_parsed", lambda x: x["item"])).alias("items"), "freq")
+    sets = materialise(found.join(sizes, "_segment").where("freq >= _least").select("_segment", "items", (F.col("freq") / F.col("_n").cast("double")).alias("support")))
+    rules = _rules_of(sets, ["_segment"]).where(F.col("support") >= min_support - 1e-12)
+    strongest = rules.groupBy("_segment").agg(
+        F.min(F.struct((-F.round("lift", 9)).alias("a"), (-F.col("support")).alias("b"), "antecedents", "consequents")).alias("best")
+    )
+    return strongest.select(F.col("_segment").alias(segment), first_of_sorted("best.consequents").alias("recommended_product"))
 
 
 def recommend(customers: DataFrame, products: DataFrame, lines: DataFrame, country: str, segment: str = "segment") -> DataFrame:

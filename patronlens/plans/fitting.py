@@ -99,6 +99,12 @@ def fit(
                 radius = min(radius * 3.0, 6.0)
             else:
                 radius = min(radius, float(np.linalg.norm(scaled))) / 4.0
-        if not accepted or abs(f0 - values[0]) < 1e-9 * max(abs(f0), 1.0):
+        if not accepted:
+            if np.abs(gradient[free]).max() > 1e-3:
+                raise RuntimeError("the fit has stopped at a point that is no optimum")
             break
+        if abs(f0 - values[0]) < 1e-9 * max(abs(f0), 1.0):
+            break
+    else:
+        raise RuntimeError(f"the fit has not converged in {max_passes} passes")
     return np.exp(point)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.quantiles import group_quantiles
-from ..session import broadcast_if_small
 from .abtest import mean_intervals, pairwise_mann_whitney
 
 
@@ -26,7 +25,7 @@ def category_prices(df: DataFrame, category: str, price: str) -> DataFrame:
         F.try_divide(F.sum("_sum"), F.sum("_n")).alias("mean"), F.sum("_n").alias("n"), F.count(price).alias("n_unique")
     )
     medians = group_quantiles(known, [category], price, {"median": 0.5})
-    return basic.join(broadcast_if_small(medians), category, "left")
+    return basic.join(medians, category, "left")
 
 
 def similar_categories(pairs: DataFrame, category: str) -> DataFrame:

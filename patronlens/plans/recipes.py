@@ -15,7 +15,7 @@ from ..functions import columns as C
 from ..operators import encoding, impute, outliers, profile
 from ..operators.binning import cut
 from ..operators.quantiles import exact_quantiles, group_quantiles
-from ..session import broadcast_if_small, materialise
+from ..session import materialise
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -74,8 +74,10 @@ class Recipe:
         return self.fill({c: row[f"mode_{c}"] for c in cols})
 
     def label_encode(self, cols: Sequence[str]) -> "Recipe":
-        levels = encoding.category_levels(self.train, cols)
-        return self.add(lambda df: encoding.label_encode(df, cols, levels)) if cols else self
+        if not cols:
+            return self
+        codes = encoding.level_codes(self.train, cols)
+        return self.add(lambda df: encoding.label_encode(df, cols, codes))
 
     def rare_encode(self, cols: Sequence[str], ratio: float = 0.01) -> "Recipe":
         common = encoding.common_levels(self.train, cols, ratio)
@@ -137,7 +139,7 @@ def passenger_columns(df: DataFrame) -> DataFrame:
 def passenger_recipe(train: DataFrame, target: str = "SURVIVED", key: str = "PASSENGERID") -> Recipe:
     recipe = Recipe(train).add(passenger_columns).settle()
     titled = recipe.train.where(F.col("NEW_TITLE").isNotNull())
-    medians = broadcast_if_small(group_quantiles(titled, ["NEW_TITLE"], "AGE", {"_median": 0.5}))
+    medians = group_quantiles(titled, ["NEW_TITLE"], "AGE", {"_median": 0.5})
 
     def ages(df: DataFrame) -> DataFrame:
         filled = df.join(medians, "NEW_TITLE", "left").withColumn("AGE", F.coalesce(F.col("AGE").cast("double"), "_median"))

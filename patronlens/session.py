@@ -9,7 +9,6 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -19,9 +18,6 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-#: A table up to this many rows may be carried to the driver and broadcast.
-BOUNDED_ROWS = 10_000
-
 
 def build_session(app: str = "patronlens", master: str | None = None, **conf) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -80,13 +76,3 @@ def materialise(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BOUNDED_ROWS) -> DataFrame:
-    """Broadcast ``df`` when it has at most ``max_rows`` rows, else leave it to a shuffle join.
-
-    The check runs ``df`` once and carries at most ``max_rows + 1`` rows.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -7,11 +7,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from patronlens import session as S
 from patronlens.functions import special
-from patronlens.operators import ordering
+from patronlens.operators import encoding, ordering
 from patronlens.operators.quantiles import exact_quantiles, group_quantiles
-from patronlens.plans import abtest, clv_forecast as clv, pricing
+from patronlens.plans import abtest, clv_forecast as clv, models, pricing
 
 
 def test_special_functions():
@@ -130,9 +129,8 @@ def test_quantiles_of_small_tables(spark, n):
         assert np.allclose(r.q, np.quantile(v if r.column_name == "v" else -v, PROBS))
 
 
-def test_quantiles_without_broadcast(skewed, monkeypatch):
+def test_group_quantiles(skewed):
     pdf, df = skewed
-    monkeypatch.setattr("patronlens.operators.quantiles.broadcast_if_small", lambda t: S.broadcast_if_small(t, 2))
     got = {r.g: r.m for r in group_quantiles(df, ["g"], "v", {"m": 0.5}).collect()}
     assert got == pytest.approx(pdf.groupby("g").v.median().to_dict())
 
@@ -189,3 +187,46 @@ def test_large_groups_use_moments(spark, monkeypatch):
     pdf = pd.DataFrame({"g": ["s"] * 40 + ["l"] * 400, "v": rng.normal(size=440)})
     got = {r.g: r.method for r in abtest.shapiro_normality(spark.createDataFrame(pdf), "g", "v").collect()}
     assert got == {"s": "shapiro", "l": "jarque_bera"}
+
+
+@pytest.mark.parametrize("n", [3, 4, 5, 8, 11, 12, 300, 6000])
+def test_shapiro_is_the_same_test_for_every_size(spark, n):
+    rng = np.random.default_rng(n)
+    x, y = rng.normal(size=n), np.round(rng.exponential(size=n), 1)
+    rows = [("x", float(v)) for v in x] + [("y", float(v)) for v in y] + [("c", 1.0)] * n + [("few", 1.0), ("few", 2.0)]
+    got = {r.g: r for r in abtest.shapiro_normality(spark.createDataFrame(rows, "g string, v double"), "g", "v").collect()}
+    for name, values in (("x", x), ("y", y)):
+        w, p = special.shapiro_wilk(values)
+        assert got[name].statistic == pytest.approx(w, rel=1e-9) and got[name].p_value == pytest.approx(p, rel=1e-6, abs=1e-12)
+    assert got["c"].statistic is None and got["few"].p_value is None
+    assert {r.method for r in got.values()} == {"shapiro"}
+
+
+def test_pairwise_over_many_groups(spark):
+    rng = np.random.default_rng(0)
+    pdf = pd.DataFrame({"g": rng.permutation(np.arange(4500) % 1500), "v": rng.integers(0, 40, 4500).astype(float)})
+    got = abtest.pairwise_mann_whitney(spark.createDataFrame(pdf), "g", "v")
+    assert got.count() == 1500 * 1499 // 2
+    for first, second in ((0, 1), (3, 1499), (700, 701), (255, 256)):
+        a, b = pdf.v[pdf.g == first].to_numpy(), pdf.v[pdf.g == second].to_numpy()
+        u = ((a[:, None] > b).sum() + 0.5 * (a[:, None] == b).sum())
+        row = got.where(f"first = {first} AND second = {second}").first()
+        assert row.statistic == min(u, len(a) * len(b) - u)
+
+
+def test_auc_of_many_scores_is_exact(spark):
+    rng = np.random.default_rng(5)
+    score = rng.permutation(20_000) / 7.0
+    label = (rng.random(20_000) < 1 / (1 + np.exp(-(score - score.mean()) / score.std()))).astype(float)
+    df = spark.createDataFrame(pd.DataFrame({"label": label, "rawPrediction": score}))
+    rank = np.argsort(np.argsort(score)) + 1
+    n1 = label.sum()
+    want = (rank[label == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * (len(label) - n1))
+    assert models.roc_auc(df, "label") == pytest.approx(want, abs=1e-12)
+
+
+def test_codes_of_more_levels_than_a_literal_holds(spark):
+    df = spark.range(12_000).selectExpr("CAST(id AS STRING) AS x", "id")
+    got = {r.id: r.x for r in encoding.label_encode(df, ["x"]).collect()}
+    order = sorted(range(12_000), key=str)
+    assert got == {i: k for k, i in enumerate(order)}
