@@ -61,7 +61,7 @@ def learned_toxicity(spark: SparkSession, folder: str):
     """Character model of all documents and the scorer learned from labels outside the held-out fold."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").select("doc_id", "toxic").filter(fold("doc_id", 4) != 2)
-    return toxicity.fitted(docs, docs.filter(fold("doc_id", 4) != 2).join(labels, "doc_id").select("text", "toxic"))
+    return toxicity.fitted(docs, labels)
 
 
 @query("op2_toxicity")

@@ -32,7 +32,7 @@ SIGN_COST, KEEP_COST, SINGLE_COST, DOUBLE_COST, PAIR_COST, WORD_END_COST = -0.5,
 #: Classes of the character model: a-z, any other letter or sign, word end.
 OTHER, EDGE, CLASSES = 26, 27, 28
 PREFIXES = (4, 6)
-#: Labelled texts that the score is fitted on at most (those with the smallest hash of the text).
+#: Labels that the score is fitted on at most (those with the smallest hash of the id).
 MAX_LABELLED = 50_000
 #: Marks kept at most, strongest first, and the number of toxic texts that a mark needs.
 MAX_MARKS, MIN_TEXTS = 20_000, 5
@@ -221,18 +221,19 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float,
     return tuple(beta.tolist())
 
 
-def learn(labelled: DataFrame, model: np.ndarray, max_labelled: int = MAX_LABELLED) -> Scorer:
-    """Marks and curve from rows (text, toxic 0/1); rows without a label or text teach nothing, equal texts teach once.
+def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, max_labelled: int = MAX_LABELLED) -> Scorer:
+    """Marks and curve from texts (doc_id, text) and labels (doc_id, toxic 0/1).
 
-    Of more than ``max_labelled`` rows those are used whose text's hash lies in the share that gives about that many.
-    Restoring, counting and features are jobs over the sample; the driver gets marks of several toxic texts and three
-    numbers a text. The curve is fitted on each half of the texts with marks of the other half, so it knows how far marks
-    hold on other texts. Without both classes every score is the same.
+    Rows without an id, text or label teach nothing, equal texts teach once. At most ``max_labelled`` labels are used, those
+    with the smallest hash of the id; so few go to every task, and no text is shuffled. Restoring, counting and
+    features are jobs over the sample; the driver gets marks of several toxic texts and three numbers a text. The curve is
+    fitted on each half of the texts with marks of the other half, so it knows how far marks hold on other texts. Without
+    both classes every score is the same.
     """
-    labelled = labelled.filter("text IS NOT NULL AND toxic IN (0, 1)").select(F.xxhash64("text").alias("order"), F.col("toxic").cast("int").alias("toxic"), "text")
-    rows = labelled.count()
-    if rows > max_labelled:
-        labelled = labelled.filter(F.pmod("order", F.lit(1_000_000)) < int(1e6 * max_labelled / rows))
+    known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    sample = known.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(max_labelled)
+    texts = docs.filter("text IS NOT NULL").select("doc_id", "text")
+    labelled = texts.join(F.broadcast(sample), "doc_id").select(F.xxhash64("text").alias("order"), "toxic", "text")
 
     def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(model)
@@ -289,7 +290,7 @@ def score(docs: DataFrame, keep: list[str], model: np.ndarray, scorer: Scorer, t
     return docs.select(*keep, F.col(text).alias("judged_text")).mapInArrow(run, schema)
 
 
-def fitted(docs: DataFrame, labelled: DataFrame) -> tuple[np.ndarray, Scorer]:
-    """Character model of all texts of ``docs`` and the scorer learned from ``labelled``."""
+def fitted(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Scorer]:
+    """Character model of all texts of ``docs`` and the scorer learned from ``labels``."""
     model = trigram_model(docs)
-    return model, learn(labelled, model)
+    return model, learn(docs, labels, model)
