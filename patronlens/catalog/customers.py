@@ -117,14 +117,17 @@ def k05(spark, d):
 
 @query(
     "k06_segment_export",
-    "loyal_customers:long",
-    f"WITH {SEGMENTS_SQL} SELECT customer_id AS loyal_customers FROM segments WHERE segment = 'Loyal_Customers'",
+    "segment:str, customer_id:long",
+    f"WITH {SEGMENTS_SQL} SELECT segment, customer_id FROM segments",
 )
 def k06(spark, d):
-    from ..sources.sinks import export_keys
+    from ..sources.sinks import write_table
+    from .tables import _path
 
-    segments = rfm.rfm_table(retail_lines(spark, d, RFM_COLUMNS))
-    return export_keys(segments, F.col("segment") == "Loyal_Customers", "customer_id", "loyal_customers")
+    path = _path(spark, "segments")
+    segments = rfm.rfm_table(retail_lines(spark, d, RFM_COLUMNS)).select("segment", "customer_id")
+    write_table(segments, path, ["segment"])  # a folder of keys for each segment
+    return spark.read.schema("customer_id long, segment string").parquet(path)
 
 
 @query(
@@ -373,15 +376,18 @@ def d18_sizes(spark, d):
     return basket.basket_sizes(_items(spark, d))
 
 
+_TYPES = ["PROMO", "SMALL", "LARGE", "STANDARD", "ECONOMY", "MEDIUM"]
+
+
 @query(
     "g03_basket_matrix",
-    "basket:str, PROMO:int, SMALL:int, LARGE:int, STANDARD:int",
+    "basket:str, " + ", ".join(f"{t}:int" for t in _TYPES),
     f"""WITH {BASKET_SQL.format(item='p_type')} SELECT basket, {', '.join(
-        f"max(CASE WHEN item = '{t}' AND net > 0 THEN 1 ELSE 0 END) AS {t}" for t in ("PROMO", "SMALL", "LARGE", "STANDARD"))}
+        f"max(CASE WHEN item = '{t}' AND net > 0 THEN 1 ELSE 0 END) AS {t}" for t in _TYPES)}
         FROM net GROUP BY basket""",
 )
 def g03(spark, d):
-    return basket.basket_matrix(_items(spark, d, "p_type"), ["PROMO", "SMALL", "LARGE", "STANDARD"])
+    return basket.basket_matrix(_items(spark, d, "p_type"), _TYPES)
 
 
 ITEMSETS_SQL = f"""{BRAND_SQL},

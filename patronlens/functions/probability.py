@@ -11,8 +11,11 @@ from . import special
 
 
 def _apply(fn, *series: pd.Series) -> pd.Series:
-    rows = zip(*[s.to_numpy(dtype=float, na_value=np.nan) for s in series])
-    return pd.Series([None if any(np.isnan(r)) else fn(*r) for r in rows], dtype="float64")
+    """``fn`` once for each different row of the batch."""
+    rows = np.column_stack([s.to_numpy(dtype=float, na_value=np.nan) for s in series])
+    unique, back = np.unique(rows, axis=0, return_inverse=True)
+    values = np.array([np.nan if np.isnan(r).any() else fn(*r) for r in unique.tolist()], dtype=object)
+    return pd.Series(pd.to_numeric(pd.Series(values[back.ravel()])), dtype="float64") if len(rows) else pd.Series([], dtype="float64")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -32,7 +35,7 @@ def f_upper(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.DoubleType())
 def t_quantile(p: pd.Series, df: pd.Series) -> pd.Series:
-    return _apply(lambda q, d: special.t_quantile(q, d) if d > 0 else None, p, df)
+    return _apply(lambda q, d: special.t_quantile(q, d) if d > 0 else np.nan, p, df)
 
 
 @F.pandas_udf(T.DoubleType())

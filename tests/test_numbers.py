@@ -22,6 +22,12 @@ def test_special_functions():
     assert special.hyp2f1(1.0, 1.0, 2.0, np.array([0.5, 0.99])) == pytest.approx([2 * math.log(2), -math.log(0.01) / 0.99])
 
 
+def test_t_of_very_many_degrees_of_freedom_is_normal():
+    assert special.t_quantile(0.975, 1e10) == pytest.approx(1.959963984540, abs=1e-8)
+    for df in (1e8, 1e10, 1e12):
+        assert special.t_two_sided(1.959963984540, df) == pytest.approx(0.05, abs=1e-9)
+
+
 def test_shapiro_published_sample():
     w, p = special.shapiro_wilk([148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236])
     assert (w, p) == pytest.approx((0.7888, 0.0067), abs=2e-4)
