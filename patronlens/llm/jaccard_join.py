@@ -217,6 +217,16 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
+def _tree_pairs(group: pa.Table) -> pa.Table:
+    """Pairs of different components in a group of a cell that the tree over their points does not rule out."""
+    node, label, chunk = (group.column(c).to_numpy() for c in ("node", "label", "chunk"))
+    points = np.frombuffer(b"".join(group.column("point").to_pylist()), "<i4").reshape(-1, GROUPS)
+    x, y = tree_join(group.column("n").to_numpy(), points)
+    one = group.column("i")[0] == group.column("j")[0]
+    ok = (label[x] != label[y]) & (one | (chunk[x] != chunk[y]))
+    return pa.table({"a": np.minimum(node[x], node[y])[ok], "b": np.maximum(node[x], node[y])[ok]})
+
+
 def similar(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """Columns ``keep`` with node (identity of the shingle set), n_shingles and label (component of the node).
 
@@ -238,7 +248,10 @@ def similar(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
         near = pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_near, "a bigint, b bigint")
         return near.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").mapInArrow(_linked, "a bigint, b bigint")
 
-    found = links_in_cells(source.select("_text").mapInArrow(_in_cells, "cell bigint, node bigint"), describe, verify)
+    def pairs(dealt: DataFrame) -> DataFrame:
+        return dealt.join(points, "node").groupBy("cell", "i", "j").applyInArrow(_tree_pairs, "a bigint, b bigint").distinct()
+
+    found = links_in_cells(source.select("_text").mapInArrow(_in_cells, "cell bigint, node bigint"), describe, verify, pairs)
     labels = components(found)
     label = F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label")
     named = described.join(labels, "node", "left").select("text_hash", "node", F.col("n").alias("n_shingles"), label)
