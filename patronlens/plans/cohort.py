@@ -15,10 +15,13 @@ def first_per_key(df: DataFrame, key: str, column: str, name: str) -> DataFrame:
     """The smallest ``column`` of the key on every row.
 
     An aggregate joined back, not a window: it is combined before the shuffle and
-    a key that holds much of the table can still be split by the join.
+    a key that holds much of the table can still be split by the join. Rows without
+    a key, which would all meet in one task, are kept out of the join.
     """
-    first = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(column).alias(name))
-    return df.join(first, key, "left")
+    named = df.where(F.col(key).isNotNull())
+    first = named.groupBy(key).agg(F.min(column).alias(name))
+    rest = df.where(F.col(key).isNull()).withColumn(name, F.lit(None).cast(df.schema[column].dataType))
+    return named.join(first, key).select(*df.columns, name).unionByName(rest)
 
 
 def active_months(lines: DataFrame) -> DataFrame:
