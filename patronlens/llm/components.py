@@ -79,23 +79,17 @@ def shared_cells(rows: DataFrame) -> DataFrame:
     return rows.select("cell", "node").repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "cell bigint, node bigint, leader bigint")
 
 
-def all_pairs(dealt: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components in each group (cell, i, j), each pair of chunks in one group only."""
-    left, right = (dealt.select("cell", "i", "j", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "label", "chunk")]) for x in "ab")
-    met = left.join(right, ["cell", "i", "j"]).filter("label_a <> label_b AND node_a < node_b AND (chunk_a <> chunk_b OR i = j)")
-    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-
-
 def links_in_cells(
     rows: DataFrame,
     describe: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame, DataFrame], DataFrame],
-    pairs: Callable[[DataFrame], DataFrame] = all_pairs,
+    pairs: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> DataFrame:
     """Links (a, b) that connect what the cells' true links connect.
 
     rows (cell, node): two nodes that are linked meet in a cell. ``describe`` gives what is to be compared for the nodes that
-    share a cell; ``verify`` keeps the linked ones of pairs (a, b), given that; ``pairs`` gives the pairs worth a trial. First
+    share a cell; ``verify`` keeps the linked ones of pairs (a, b), given that; ``pairs`` gives the pairs (a, b) worth
+    a trial in groups (cell, i, j) of nodes with label and chunk: those of different labels and, where i < j, of different chunks. First
     each node is tried with its cell's smallest node. Then, where a cell still holds nodes of several components, all
     its pairs between different components are tried, in groups of at most 2 * CHUNK nodes. Pairs within a component are
     not needed: they connect nothing new. So a large group of copies costs one trial a copy and cell, not all pairs.
@@ -111,5 +105,5 @@ def links_in_cells(
     rest = rest.withColumn("chunk", F.expr(f"CAST(pmod(xxhash64(node), CAST(ceil(n / {CHUNK}) AS BIGINT)) AS INT)")).withColumn("chunks", F.expr(f"CAST(ceil(n / {CHUNK}) AS INT)"))
     dealt = rest.select("cell", "node", "label", "chunk", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other"))
     dealt = dealt.select("cell", "node", "label", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk")
-    second = materialise(verify(pairs(dealt), described).select("a", "b"))
+    second = materialise(verify(pairs(dealt, described), described).select("a", "b"))
     return first.unionByName(second)

@@ -248,7 +248,7 @@ def similar(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
         near = pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_near, "a bigint, b bigint")
         return near.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").mapInArrow(_linked, "a bigint, b bigint")
 
-    def pairs(dealt: DataFrame) -> DataFrame:
+    def pairs(dealt: DataFrame, sets: DataFrame) -> DataFrame:
         return dealt.join(points, "node").groupBy("cell", "i", "j").applyInArrow(_tree_pairs, "a bigint, b bigint").distinct()
 
     found = links_in_cells(source.select("_text").mapInArrow(_in_cells, "cell bigint, node bigint"), describe, verify, pairs)

@@ -177,6 +177,32 @@ def _verified(edits: int):
     return run
 
 
+def _near_pairs(edits: int):
+    def run(group: pa.Table) -> pa.Table:
+        """Linked pairs of different components in a group of a cell.
+
+        An edit changes a line's counts of letters by two at most, so pairs whose counts differ by more are ruled out
+        before their distance is looked at.
+        """
+        lines = group.column("line").to_pylist()
+        node, label, chunk = (group.column(c).to_numpy() for c in ("node", "label", "chunk"))
+        one = group.column("i")[0] == group.column("j")[0]
+        size = np.fromiter(map(len, lines), np.int32, len(lines))
+        letters = np.stack([np.bincount(np.frombuffer(x.encode("utf-32-le"), "<u4") % 61, minlength=61) for x in lines]).astype(np.int32)
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for x in range(len(lines) - 1):
+            may = (np.abs(size[x + 1 :] - size[x]) <= edits) & (label[x + 1 :] != label[x]) & (one | (chunk[x + 1 :] != chunk[x]))
+            y = np.flatnonzero(may) + x + 1
+            y = y[np.abs(letters[y] - letters[x]).sum(axis=1) <= 2 * edits]
+            left.append(np.full(len(y), x))
+            right.append(y)
+        x, y = np.concatenate(left), np.concatenate(right)
+        ok = within([lines[i] for i in x.tolist()], [lines[i] for i in y.tolist()], edits)
+        return pa.table({"a": np.minimum(node[x], node[y])[ok], "b": np.maximum(node[x], node[y])[ok]})
+
+    return run
+
+
 def _asked(buckets: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Lines whose identity falls in a bucket that somebody asks for."""
@@ -211,7 +237,10 @@ def line_links(lines: DataFrame, edits: int = EDITS, least: int = LEAST) -> Data
         both = pairs.join(described.toDF("a", "sa"), "a").join(described.toDF("b", "sb"), "b")
         return both.mapInArrow(_verified(edits), "a bigint, b bigint")
 
-    return links_in_cells(texts.mapInArrow(_in_cells(edits, least), "cell bigint, node bigint"), describe, verify)
+    def pairs(dealt: DataFrame, described: DataFrame) -> DataFrame:
+        return dealt.join(described, "node").groupBy("cell", "i", "j").applyInArrow(_near_pairs(edits), "a bigint, b bigint").distinct()
+
+    return links_in_cells(texts.mapInArrow(_in_cells(edits, least), "cell bigint, node bigint"), describe, verify, pairs)
 
 
 def dedup(docs: DataFrame, text: str = "text", edits: int = EDITS, least: int = LEAST) -> DataFrame:

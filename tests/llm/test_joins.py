@@ -75,7 +75,8 @@ def test_near_lines_share_a_cell(edits):
                 assert cells[i] & cells[j]
 
 
-def test_line_dedup_against_all_pairs(spark):
+def test_line_dedup_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(components, "CHUNK", 3)
     rng = random.Random(8)
     pool = some_lines(7, 25) + ["short", "short", " ", "", "tiny line"]
     docs = [(i if i % 9 else None, "\n".join(rng.choices(pool, k=rng.randint(1, 8))), "en", 5) for i in range(40)]
