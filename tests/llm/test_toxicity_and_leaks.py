@@ -140,6 +140,46 @@ def test_leaks_against_all_windows(spark):
     assert decontamination.scan(docs, benchmark.limit(0)).filter(F.size("leaks") > 0).count() == 0
 
 
+@pytest.fixture(scope="module")
+def many_words(spark):
+    """A corpus of 500 topics, more than the decomposition has directions, and items of topic words or of rare words."""
+    rng = random.Random(12)
+    topics = [[f"topic{t}x{k}" for k in range(6)] for t in range(500)]
+    vocabulary = [f"filler{i}" for i in range(500)]
+    texts = []
+    for _ in range(2500):
+        texts.append([])
+        for _ in range(rng.randint(2, 10)):
+            stretch = rng.choices(rng.choice(topics), k=16) + rng.choices(vocabulary, k=32)
+            texts[-1] += rng.sample(stretch, 48)
+    items = [(i, " ".join(rng.choices(sum(topics, []), k=rng.randint(15, 59)))) for i in range(100)]
+    items += [(i, " ".join(rng.choices([f"rare{r}" for r in range(4000)], k=rng.randint(15, 59)))) for i in range(100, 200)]
+    index = decontamination.fit(spark.createDataFrame([(" ".join(t),) for t in texts], "text string"), items)
+    return rng, vocabulary, texts, items, index
+
+
+@pytest.mark.parametrize("replaced,least", [(0.0, 1.0), (0.1, 0.9), (0.25, 0.9), (0.4, 0.9)])
+def test_recall_on_a_large_vocabulary(many_words, replaced, least):
+    """Of the planted leaks that the verifier accepts where they lie, the cosine search finds all copies and 0.9 of the paraphrases."""
+    rng, vocabulary, texts, items, index = many_words
+    assert len(index.vocabulary) > 10 * decontamination.RANK
+    planted, accepted = [], []
+    for i, text in items:
+        words = text.split()
+        for at in rng.sample(range(len(words)), round(replaced * len(words))):
+            words[at] = rng.choice(vocabulary)
+        hashes = decontamination.words_of(_texts([" ".join(words)]))[0]
+        common, answer = decontamination.common_words(index.words[i], hashes.tolist()), len(index.answers[i] & set(hashes.tolist()))
+        size = len(index.words[i])
+        accepted.append(common >= decontamination.LITERAL * size or (common >= decontamination.PARAPHRASE * size and answer >= min(decontamination.ANSWER_FOUND, len(index.answers[i]))))
+        around = rng.choice(texts)
+        at = rng.randint(0, len(around))
+        planted.append(" ".join(around[:at] + words + around[at:]))
+    found = [any(x["item_id"] == i for x in leaks) for (i, _), leaks in zip(items, decontamination.leaks_in(index, _texts(planted)))]
+    assert sum(accepted) > 50
+    assert sum(f for f, ok in zip(found, accepted) if ok) >= least * sum(accepted)
+
+
 def test_common_words_and_recall_of_candidates():
     rng = random.Random(3)
     for _ in range(300):
