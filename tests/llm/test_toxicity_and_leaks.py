@@ -180,6 +180,32 @@ def test_recall_on_a_large_vocabulary(many_words, replaced, least):
     assert sum(f for f, ok in zip(found, accepted) if ok) >= least * sum(accepted)
 
 
+def test_long_items_are_found(spark):
+    """Copies and paraphrases of items of 600 and more words, whole and with words replaced; a short part is no leak."""
+    rng = random.Random(9)
+    vocabulary = [f"long{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=n))) for i, n in enumerate([600, 1500, 97, 96, 400, 20])]
+    rows, want = [], set()
+    for d in range(60):
+        words = [rng.choice(PLAIN) for _ in range(rng.randint(0, 400))]
+        i, text = items[d % 6]
+        leak = text.split()
+        for at in rng.sample(range(len(leak)), len(leak) * (d // 6 % 3) // 10):
+            leak[at] = "other"
+        at = rng.randint(0, len(words))
+        if d < 48:
+            want.add((d, i))
+        else:
+            leak = leak[: len(leak) // 4]
+        rows.append((d, " ".join(words[:at] + leak + words[at:])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontamination.digest(docs, benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    assert all(r.common_words == r.item_words for r in got if r.doc_id // 6 % 3 == 0)
+    assert len(list(decontamination.item_blocks(benchmark, 20))) > 2
+
+
 def test_common_words_and_recall_of_candidates():
     rng = random.Random(3)
     for _ in range(300):
