@@ -7,9 +7,10 @@ automaton is compiled, so scoring is one left-to-right traversal with one table
 depends on the last ``ORDER - 1`` bytes only; a task therefore walks many stretches of its texts side by side, each begun
 that many bytes early.
 
-Learning sums n-gram and word counts in each task and then by key. An n-gram is kept if it makes up at least ``SHARE`` of
-all learning bytes, a word's count is sent to every task if the word makes up at least ``SHARE`` of all tokens:
-at most 1 / SHARE of each, whatever the corpus. All other words are joined with their counts.
+Learning sums n-gram and word counts in each task and then by key. No n-gram is dropped: each one of the texts has a row
+with its probability under all counts. The automaton has the n-grams that make up at least ``SHARE`` of all learning bytes,
+and every task the counts of words of at least ``SHARE`` of all tokens: at most 1 / SHARE of each, whatever the corpus.
+Its arcs tell those n-grams' probabilities; all other n-grams and words of a text are joined with their rows.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from patronlens.llm.common import with_row_key
 from patronlens.session import materialise
 
 ORDER = 5
-#: Least share of a kept n-gram among all n-grams, and of a word whose count each task holds.
+#: Least share of an n-gram of the automaton among all n-grams, and of a word whose count each task holds.
 SHARE = 1e-6
 #: Bytes handled at once.
 CHUNK = 1 << 20
@@ -167,14 +168,14 @@ def _summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
 
 
 def corpus_counts(docs: DataFrame) -> DataFrame:
-    """(kind, key, n, n_train) for each word ('w') of all texts and each n-gram ('g') of the learning texts.
+    """(kind, key, n, n_train) for each word ('w') and each n-gram of ORDER bytes ('g') of all texts.
 
     ``docs`` has a text and ``learns``. Each task sums what it has read before anything is shuffled. Words are told apart
     by a 64-bit hash.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {"w": [], "l": [], "g": []}
+        held: dict[str, list] = {"w": [], "l": [], "g": [], "h": []}
 
         def merged(kind: str) -> tuple[np.ndarray, np.ndarray]:
             if len(held[kind]) > 1:
@@ -187,8 +188,9 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
             of = np.zeros(len(words), np.int64)
             of[np.searchsorted(words, learned)] = n_train
             codes, n_codes = merged("g")
-            held.update(w=[], l=[], g=[])
-            for kind, key, count, train in (("w", words, n, of), ("g", codes.astype(np.int64), n_codes, n_codes)):
+            others, n_others = merged("h")
+            held.update(w=[], l=[], g=[], h=[])
+            for kind, key, count, train in (("w", words, n, of), ("g", codes.astype(np.int64), n_codes, n_codes), ("g", others.astype(np.int64), n_others, np.zeros(len(others), np.int64))):
                 for a in range(0, len(key), 1 << 18):
                     cut = slice(a, a + (1 << 18))
                     yield pa.RecordBatch.from_arrays([pa.array([kind] * len(key[cut]), pa.string()), pa.array(key[cut]), pa.array(count[cut]), pa.array(train[cut])], names=["kind", "key", "n", "n_train"])
@@ -200,11 +202,13 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
                 held["w"].append(_summed(words))
                 held["l"].append(_summed(words[learns[doc]]))
                 codes = gram_codes(part)
-                held["g"].append(_summed(codes[learns[part.doc[part.skip :]]]))
+                learned = learns[part.doc[part.skip :]]
+                held["g"].append(_summed(codes[learned]))
+                held["h"].append(_summed(codes[~learned]))
                 if len(held["w"]) >= 8:
                     for kind in held:
                         merged(kind)
-                if held["w"] and len(held["w"][0][0]) > 4_000_000:
+                if any(len(held[kind][0][0]) > 4_000_000 for kind in held):
                     yield from flush()
         yield from flush()
 
@@ -256,6 +260,7 @@ class Automaton:
             column = self.classes[code & 255]
             chance[mine[owner], column] += count / seen[owner]
             self.next[mine[owner], column] = state(code, min(k + 1, ORDER - 1))
+        self.deepest = contexts[-1], int(first[-2]), width
         start = np.array([sum(END << 8 * i for i in range(ORDER - 1))])
         self.start = int(state(start, ORDER - 1)[0])
         self.next[:, self.classes[END]] = self.start
@@ -263,6 +268,13 @@ class Automaton:
         self.next = (self.next * width).ravel()
         self.start *= width
 
+    def tell(self, codes: np.ndarray, logs: np.ndarray) -> None:
+        """From now on ``walk`` gives ``logs`` for these n-grams of ORDER bytes, and NaN for all others."""
+        contexts, first, width = self.deepest
+        self.log = np.full(len(self.log), np.nan)
+        if len(codes):
+            self.log[(first + np.searchsorted(contexts, codes >> 8)) * width + self.classes[codes & 255]] = logs
+
     def walk(self, part: Stretch) -> np.ndarray:
         """log10 probability of each symbol after the context symbols of the part."""
         reach = ORDER - 1
@@ -293,19 +305,43 @@ class Model:
     tokens: int
     kinds: int
     all_tokens: int
+    symbols: int
+
+
+def chances(counts: DataFrame) -> DataFrame:
+    """(key, n, log) for each n-gram of ORDER bytes of all texts: its learning count and log10 probability under all counts.
+
+    Witten-Bell, from the shortest n-grams to the longest, as joins by context and by suffix: of each there are at most
+    256 n-grams.
+    """
+    whole = counts.filter("kind = 'g'").select("key", F.col("n_train").alias("n"))
+    shorter = None
+    for k in range(1, ORDER + 1):
+        grams = whole.groupBy(F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("key")).agg(F.sum("n").alias("n")) if k < ORDER else whole
+        grams = grams.withColumn("context", F.shiftright("key", 8))
+        seen = grams.filter("n > 0").groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+        joined = grams.join(seen, "context", "left")
+        if shorter is None:
+            joined = joined.withColumn("lower", F.lit(1 / 256))
+        else:
+            joined = joined.withColumn("suffix", F.col("key").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1))).join(shorter, "suffix")
+        chance = F.when(F.col("total").isNull(), F.col("lower")).otherwise((F.col("n") + F.col("kinds") * F.col("lower")) / (F.col("total") + F.col("kinds")))
+        if k == ORDER:
+            return materialise(joined.select("key", "n", F.log10(chance).alias("log")))
+        shorter = materialise(joined.select(F.col("key").alias("suffix"), chance.alias("lower")))
 
 
 def fit(counts: DataFrame, share: float = SHARE) -> Model:
-    """The kept n-grams of each length and the frequent words, from a written table of counts."""
+    """The automaton's n-grams of each length and the frequent words, from a written table of counts."""
     total = counts.groupBy("kind").agg(F.sum("n").alias("n"), F.sum("n_train").alias("n_train"), F.count(F.when(F.col("n_train") > 0, 1)).alias("kinds"))
     totals = {r.kind: r for r in total.collect()}
     words, symbols = totals.get("w"), totals.get("g")
     grams = []
-    n_symbols = symbols.n if symbols else 0
+    n_symbols = int(symbols.n_train) if symbols else 0
     for k in range(1, ORDER + 1):
         own = F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1))
         kept = [
-            counts.filter("kind = 'g'").groupBy(key.alias("key")).agg(F.sum("n").alias("n")).filter(F.col("n") >= share * n_symbols).orderBy("key").toArrow()
+            counts.filter("kind = 'g' AND n_train > 0").groupBy(key.alias("key")).agg(F.sum("n_train").alias("n")).filter(F.col("n") >= share * n_symbols).orderBy("key").toArrow()
             for key in (own, F.shiftright(own, 8))
         ]
         (code, n), (context, total_n) = ((t.column("key").to_numpy(), t.column("n").to_numpy()) for t in kept)
@@ -314,32 +350,42 @@ def fit(counts: DataFrame, share: float = SHARE) -> Model:
     heavy = counts.filter("kind = 'w'").filter(F.col("n") >= share * (words.n if words else 0)).select("key", "n_train").toArrow()
     key = heavy.column("key").to_numpy()
     order = np.argsort(key)
-    return Model(grams, key[order], heavy.column("n_train").to_numpy()[order], int(words.n_train) if words else 0, int(words.kinds) if words else 0, int(words.n) if words else 0)
+    return Model(grams, key[order], heavy.column("n_train").to_numpy()[order], int(words.n_train) if words else 0, int(words.kinds) if words else 0, int(words.n) if words else 0, n_symbols)
 
 
 def score(docs: DataFrame, learns: str = "learns", text: str = "text", keep: tuple[str, ...] = ("doc_id",), share: float = SHARE) -> DataFrame:
     """Columns ``keep`` with n_tokens, n_known, train_tokens, base_score and score.
 
     Rows where ``learns`` is true are counted, all rows are scored. base_score: add-one unigrams over words and one end
-    for each text; score: log10 probability under the automaton. A null text counts as empty: one token, the end.
+    for each text; score: log10 probability under all n-grams, whatever ``share`` is. A null text counts as empty: one token, the end.
     Without learning rows the base is 0 and the automaton gives each byte 1/256. Repeated rows count each time and are
     returned each; rows without an id stay apart.
     """
     docs = docs.select(*keep, F.col(text).alias("text"), F.coalesce(F.col(learns), F.lit(False)).alias("learns"))
     counts = materialise(corpus_counts(docs))
     model = fit(counts, share)
+    told = chances(counts)
+    light = (F.col("n") == 0) | (F.col("n") < share * model.symbols)
+    arcs = told.filter(~light).select("key", "log").toArrow()
+    arc_codes, arc_logs = arcs.column("key").to_numpy(), arcs.column("log").to_numpy()
     norm = float(np.log10(model.tokens + model.kinds + 1))
-    spark_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields) + ", n_tokens bigint, known bigint, logs double, score double, rest array<bigint>"
+    spark_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields) + ", n_tokens bigint, known bigint, logs double, score double, rest array<bigint>, rest_grams array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(model.grams)
+        automaton.tell(arc_codes, arc_logs)
         logs = np.log10(model.heavy_train + 1.0)
         for batch in batches:
             rows = batch.num_rows
             tokens, known, base, scores = np.zeros(rows, np.int64), np.zeros(rows, np.int64), np.zeros(rows), np.zeros(rows)
             rest, rest_doc = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+            grams, grams_doc = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
             for part in stretches(batch.column(batch.num_columns - 1)):
-                scores += np.bincount(part.doc[part.skip :], automaton.walk(part), rows)
+                walked, of = automaton.walk(part), part.doc[part.skip :]
+                unknown = np.isnan(walked)
+                scores += np.bincount(of[~unknown], walked[~unknown], rows)
+                grams.append(gram_codes(part)[unknown].astype(np.int64))
+                grams_doc.append(of[unknown])
                 words, doc = word_hashes(part)
                 tokens += np.bincount(doc, minlength=rows)
                 unique, back = np.unique(words, return_inverse=True)
@@ -352,25 +398,24 @@ def score(docs: DataFrame, learns: str = "learns", text: str = "text", keep: tup
                 light = ~found[back]
                 rest.append(words[light])
                 rest_doc.append(doc[light])
-            sizes = np.bincount(np.concatenate(rest_doc), minlength=rows)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate(rest)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(tokens), pa.array(known), pa.array(base), pa.array(scores), lists], names=[*keep, "n_tokens", "known", "logs", "score", "rest"])
+            lists = []
+            for of, values in ((rest_doc, rest), (grams_doc, grams)):
+                sizes = np.bincount(np.concatenate(of), minlength=rows)
+                lists.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate(values))))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(tokens), pa.array(known), pa.array(base), pa.array(scores), *lists], names=[*keep, "n_tokens", "known", "logs", "score", "rest", "rest_grams"])
 
     scored = docs.select(*keep, "text").mapInArrow(run, spark_schema)
     scored = with_row_key(scored, scored.columns)
     seldom = counts.filter("kind = 'w' AND n_train > 0").filter(F.col("n") < share * model.all_tokens).select(F.col("key").alias("word"), "n_train")
-    more = (
-        scored.select("row_key", F.explode("rest").alias("word"))
-        .join(seldom, "word")
-        .groupBy("row_key")
-        .agg(F.count("*").alias("more_known"), F.sum(F.log10(F.col("n_train") + 1.0)).alias("more_logs"))
-    )
+    words = scored.select("row_key", F.explode("rest").alias("word")).join(seldom, "word").select("row_key", F.lit(1).alias("known"), F.log10(F.col("n_train") + 1.0).alias("base"), F.lit(0.0).alias("log"))
+    grams = scored.select("row_key", F.explode("rest_grams").alias("key")).join(told.filter(light).select("key", "log"), "key").select("row_key", F.lit(0).alias("known"), F.lit(0.0).alias("base"), "log")
+    more = words.unionByName(grams).groupBy("row_key").agg(F.sum("known").alias("more_known"), F.sum("base").alias("more_logs"), F.sum("log").alias("more_score"))
     return scored.join(more, "row_key", "left").select(
         *keep,
         "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("bigint").alias("train_tokens"),
         (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * norm).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
 

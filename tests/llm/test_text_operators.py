@@ -204,6 +204,16 @@ def test_lm_against_brute_force(spark, monkeypatch, share, chunk):
         np.testing.assert_allclose([r[5] for r in got], [w[4] for w in want], rtol=1e-9)
 
 
+@pytest.mark.parametrize("share", [0.0003, 0.003, 0.5])
+def test_lm_scores_do_not_depend_on_the_share(spark, share):
+    """n-grams outside the automaton have their whole counts too."""
+    texts = some_texts(5, 40)
+    learns = [i % 4 != 1 for i in range(len(texts))]
+    docs = spark.createDataFrame(list(zip(range(len(texts)), texts, learns)), "doc_id bigint, text string, learns boolean")
+    got = {r.doc_id: r.score for r in lm.score(docs, share=share).collect()}
+    np.testing.assert_allclose([got[i] for i in range(len(texts))], [w[4] for w in brute_lm(texts, learns)], rtol=1e-9)
+
+
 def test_lm_parts_of_a_long_text_agree_with_the_whole():
     texts = pa.array([None, "Some words\tand\r\n more  " * 50, "", "tail"])
     whole = list(lm.stretches(texts, 1 << 20))
