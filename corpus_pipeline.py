@@ -14,6 +14,9 @@ from patronlens.llm import decontamination, jaccard_join, line_dedup, packing, q
 from patronlens.llm.common import table
 from patronlens.session import materialise
 
+#: Near copies: words of a shingle, and the least percentage of all shingles of two texts that they share.
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
+
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity scorer does not predict as toxic. It learns from the labelled documents of the folder."""
@@ -30,7 +33,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar texts: the one with the smallest id, of repeated rows one. Texts without words stay."""
-    labelled = materialise(jaccard_join.similar(docs, docs.columns).withColumn("row_key", F.monotonically_increasing_id()))
+    labelled = materialise(jaccard_join.similar(docs, docs.columns, width=NEAR_WIDTH, percent=NEAR_PERCENT).withColumn("row_key", F.monotonically_increasing_id()))
     first = labelled.filter("label IS NOT NULL").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("first"))
     stays = first.select("first.row_key").join(labelled, "row_key")
     return stays.select(*docs.columns).unionByName(labelled.filter("label IS NULL").select(*docs.columns))

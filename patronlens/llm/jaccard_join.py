@@ -161,97 +161,116 @@ def tree_join(sizes: np.ndarray, points: np.ndarray, percent: int = PERCENT) ->
     return np.concatenate(left or [none]), np.concatenate(right or [none])
 
 
-def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text_hash, text) -> (node, text_hash, n, point)."""
-    for batch in sliced(batches, 1):
-        sets = shingle_sets(batch.column(1))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([node_id(s) for s in sets], pa.int64()),
-                batch.column(0),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([point(s).astype("<i4").tobytes() for s in sets], pa.binary()),
-            ],
-            names=["node", "text_hash", "n", "point"],
-        )
-
-
-def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text -> (cell, node), each node of a task once."""
-    seen: set[int] = set()
-    for batch in sliced(batches, 0):
-        cell, node = [], []
-        for s in shingle_sets(batch.column(0)):
-            own = node_id(s)
-            if len(s) and own not in seen:
-                seen.add(own)
-                cell.append(cells(s).view(np.int64))
-                node.append(np.full(len(cell[-1]), own, np.int64))
-        none = [np.zeros(0, np.int64)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cell or none)), pa.array(np.concatenate(node or none))], names=["cell", "node"])
-
-
-def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text -> (node, shingles as bytes)."""
-    for batch in sliced(batches, 0):
-        sets = shingle_sets(batch.column(0))
-        yield pa.RecordBatch.from_arrays([pa.array([node_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
-
-
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose points allow a link."""
-    for batch in batches:
-        points = [np.frombuffer(b"".join(batch.column(c).to_pylist()), "<i4").reshape(-1, GROUPS) for c in ("pa", "pb")]
-        ok = bounded(batch.column("na").to_numpy(), points[0], batch.column("nb").to_numpy(), points[1])
-        yield batch.select(["a", "b"]).filter(pa.array(ok))
-
-
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sets are linked."""
-    for batch in batches:
-        ok = []
-        for x, y in zip(batch.column("sa"), batch.column("sb")):
-            a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            ok.append(100 * common >= PERCENT * (len(a) + len(b) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-
-def _tree_pairs(group: pa.Table) -> pa.Table:
-    """Pairs of different components in a group of a cell that the tree over their points does not rule out."""
-    node, label, chunk = (group.column(c).to_numpy() for c in ("node", "label", "chunk"))
-    points = np.frombuffer(b"".join(group.column("point").to_pylist()), "<i4").reshape(-1, GROUPS)
-    x, y = tree_join(group.column("n").to_numpy(), points)
-    one = group.column("i")[0] == group.column("j")[0]
-    ok = (label[x] != label[y]) & (one | (chunk[x] != chunk[y]))
-    return pa.table({"a": np.minimum(node[x], node[y])[ok], "b": np.maximum(node[x], node[y])[ok]})
-
-
-def similar(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+def _described(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(text_hash, text) -> (node, text_hash, n, point)."""
+        for batch in sliced(batches, 1):
+            sets = shingle_sets(batch.column(1), width)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([node_id(s) for s in sets], pa.int64()),
+                    batch.column(0),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([point(s).astype("<i4").tobytes() for s in sets], pa.binary()),
+                ],
+                names=["node", "text_hash", "n", "point"],
+            )
+
+    return run
+
+
+def _in_cells(width: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """text -> (cell, node), each node of a task once."""
+        seen: set[int] = set()
+        for batch in sliced(batches, 0):
+            cell, node = [], []
+            for s in shingle_sets(batch.column(0), width):
+                own = node_id(s)
+                if len(s) and own not in seen:
+                    seen.add(own)
+                    cell.append(cells(s, percent).view(np.int64))
+                    node.append(np.full(len(cell[-1]), own, np.int64))
+            none = [np.zeros(0, np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cell or none)), pa.array(np.concatenate(node or none))], names=["cell", "node"])
+
+    return run
+
+
+def _with_sets(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """text -> (node, shingles as bytes)."""
+        for batch in sliced(batches, 0):
+            sets = shingle_sets(batch.column(0), width)
+            yield pa.RecordBatch.from_arrays([pa.array([node_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
+
+    return run
+
+
+def _near(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs whose points allow a link."""
+        for batch in batches:
+            points = [np.frombuffer(b"".join(batch.column(c).to_pylist()), "<i4").reshape(-1, GROUPS) for c in ("pa", "pb")]
+            ok = bounded(batch.column("na").to_numpy(), points[0], batch.column("nb").to_numpy(), points[1], percent)
+            yield batch.select(["a", "b"]).filter(pa.array(ok))
+
+    return run
+
+
+def _linked(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs whose sets are linked."""
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column("sa"), batch.column("sb")):
+                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                ok.append(100 * common >= percent * (len(a) + len(b) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return run
+
+
+def _tree_pairs(percent: int):
+    def run(group: pa.Table) -> pa.Table:
+        """Pairs of different components in a group of a cell that the tree over their points does not rule out."""
+        node, label, chunk = (group.column(c).to_numpy() for c in ("node", "label", "chunk"))
+        points = np.frombuffer(b"".join(group.column("point").to_pylist()), "<i4").reshape(-1, GROUPS)
+        x, y = tree_join(group.column("n").to_numpy(), points, percent)
+        one = group.column("i")[0] == group.column("j")[0]
+        ok = (label[x] != label[y]) & (one | (chunk[x] != chunk[y]))
+        return pa.table({"a": np.minimum(node[x], node[y])[ok], "b": np.maximum(node[x], node[y])[ok]})
+
+    return run
+
+
+def similar(docs: DataFrame, keep: list[str], text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Columns ``keep`` with node (identity of the shingle set), n_shingles and label (component of the node).
 
+    Shingles have ``width`` words; sets are linked if 100 * intersection >= percent * union.
     A null text and one without words have an empty set, n_shingles 0 and a null label: they are linked with nothing.
     Equal sets have one node. Repeated rows are linked with each other like copies. All rows are returned.
     """
     source = docs.select(*keep, F.col(text).alias("_text"), F.xxhash64(text).alias("text_hash"))
-    described = materialise(source.select("text_hash", "_text").mapInArrow(_described, "node bigint, text_hash bigint, n bigint, point binary").distinct())
+    described = materialise(source.select("text_hash", "_text").mapInArrow(_described(width), "node bigint, text_hash bigint, n bigint, point binary").distinct())
     nodes = materialise(described.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.min("n").alias("n"), F.min("point").alias("point")))
     points = nodes.select("node", "n", "point")
 
     def describe(asked: DataFrame) -> DataFrame:
         wanted = nodes.join(asked, "node").select("text_hash").distinct()
-        sets = source.join(wanted, "text_hash").select("_text").mapInArrow(_with_sets, "node bigint, shingles binary")
+        sets = source.join(wanted, "text_hash").select("_text").mapInArrow(_with_sets(width), "node bigint, shingles binary")
         return materialise(sets.dropDuplicates(["node"]))
 
     def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         sides = [points.toDF(x, f"n{x}", f"p{x}") for x in "ab"]
-        near = pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_near, "a bigint, b bigint")
-        return near.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").mapInArrow(_linked, "a bigint, b bigint")
+        near = pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_near(percent), "a bigint, b bigint")
+        return near.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").mapInArrow(_linked(percent), "a bigint, b bigint")
 
     def pairs(dealt: DataFrame, sets: DataFrame) -> DataFrame:
-        return dealt.join(points, "node").groupBy("cell", "i", "j").applyInArrow(_tree_pairs, "a bigint, b bigint").distinct()
+        return dealt.join(points, "node").groupBy("cell", "i", "j").applyInArrow(_tree_pairs(percent), "a bigint, b bigint").distinct()
 
-    found = links_in_cells(source.select("_text").mapInArrow(_in_cells, "cell bigint, node bigint"), describe, verify, pairs)
+    found = links_in_cells(source.select("_text").mapInArrow(_in_cells(width, percent), "cell bigint, node bigint"), describe, verify, pairs)
     labels = components(found)
     label = F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label")
     named = described.join(labels, "node", "left").select("text_hash", "node", F.col("n").alias("n_shingles"), label)

@@ -248,6 +248,28 @@ def test_pipeline_stages(spark):
     assert packed.select("doc_id").distinct().count() == counts[-1]
 
 
+def test_pipeline_drops_near_copies(spark):
+    """Pairs just above and just below the stage's threshold, by appended text and by replaced words."""
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    texts, want = [], set()
+    for k, (extra, replaced) in enumerate([(44, 0), (0, 4), (60, 0), (0, 7), (50, 0)]):
+        base = [f"p{k}w{i}" for i in range(204)]
+        near = base + [f"p{k}e{i}" for i in range(extra)]
+        for r in range(replaced):
+            near[20 + 25 * r] = f"p{k}r{r}"
+        a, b = shingles(" ".join(base)), shingles(" ".join(near))
+        share = len(a & b) / len(a | b)
+        assert not 0.85 <= share
+        texts += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(near))]
+        want |= {2 * k} | ({2 * k + 1} if share < 0.8 else set())
+    assert len(want) == 7
+    got = corpus_pipeline.one_of_each_group(spark, spark.createDataFrame(texts, "doc_id bigint, text string"), FOLDER).collect()
+    assert {r.doc_id for r in got} == want
+
+
 def _texts(values):
     import pyarrow as pa
 
