@@ -26,7 +26,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that an equal or near line precedes; n_chars follows the text."""
-    kept = line_dedup.dedup(docs)
+    kept = line_dedup.dedup(docs, bands=line_dedup.BANDS)
     n_chars = F.when(F.size("removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return kept.withColumn("n_chars", n_chars).select(*docs.columns)
 

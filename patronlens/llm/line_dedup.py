@@ -5,6 +5,9 @@ them unchanged, near its place. Every line is entered under its own segments and
 could match a segment of a line of its length or up to ``edits`` shorter (length-aware, multi-match-aware choice of
 starts). Lines that meet are verified with a banded bit-parallel edit distance, many pairs side by side.
 
+How many edits link two lines follows from the length of the shorter one (``BANDS``); a line is entered for each length
+that a shorter partner may have, cut as that length asks for.
+
 Linked lines form classes; of each class the first line stays.
 """
 
@@ -26,6 +29,9 @@ from patronlens.session import materialise
 EDITS = 2
 #: Shorter lines are linked only if equal.
 LEAST = 40
+#: (least length of the shorter line, edits) of the query and the pipeline: about one edit in 100 code points of longer lines.
+#: Lines under the first length are linked only if equal.
+BANDS = ((15, 1), (40, 2), (200, 3), (400, 4))
 #: Buckets of line identities that tasks hold to leave out lines nobody asks for; a fixed size for any corpus.
 BUCKETS = 1 << 22
 #: Code points of line pairs compared at once.
@@ -34,6 +40,19 @@ BATCH = 1 << 20
 _U = np.uint64
 
 
+Bands = tuple[tuple[int, int], ...]
+
+
+def edits_for(lengths: np.ndarray, bands: Bands) -> np.ndarray:
+    """Edits that a line of each length is linked within to a line as long or longer; -1 if to none."""
+    least, edits = np.array(bands, np.int64).reshape(-1, 2).T
+    return np.append(edits, -1)[np.searchsorted(least, lengths, side="right") - 1]
+
+
+def _bands(edits: int | Bands) -> Bands:
+    return ((0, edits),) if isinstance(edits, int) else edits
+
+
 def segments(length: int, edits: int = EDITS) -> list[tuple[int, int]]:
     """(start, stop) of the edits + 1 segments of a line, as even as can be, shorter ones first."""
     parts = edits + 1
@@ -43,22 +62,26 @@ def segments(length: int, edits: int = EDITS) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:]))
 
 
-def probes(length: int, edits: int = EDITS) -> list[tuple[int, int, int, int]]:
+def probes(length: int, edits: int | Bands = EDITS) -> list[tuple[int, int, int, int]]:
     """(length class, segment, start, stop) of the substrings that a line of ``length`` enters or looks up.
 
     Segment k of a line that is ``shift`` shorter starts within k places of its own start (edits to its left), and within
-    edits - k places of its start counted from the end.
+    edits - k places of its start counted from the end. The shorter line's length gives the edits.
     """
     out = []
-    for shift in range(edits + 1):
-        for k, (start, stop) in enumerate(segments(length - shift, edits)):
-            low = max(0, start - k, start + shift - (edits - k))
-            high = min(length - (stop - start), start + k, start + shift + (edits - k))
+    bands = _bands(edits)
+    for shift in range(min(length, max(e for _, e in bands)) + 1):
+        most = int(edits_for(np.array([length - shift]), bands)[0])
+        if shift > most:
+            continue
+        for k, (start, stop) in enumerate(segments(length - shift, most)):
+            low = max(0, start - k, start + shift - (most - k))
+            high = min(length - (stop - start), start + k, start + shift + (most - k))
             out += [(length - shift, k, at, at + stop - start) for at in range(low, high + 1)]
     return out
 
 
-def line_cells(lines: list[str], edits: int = EDITS) -> tuple[np.ndarray, np.ndarray]:
+def line_cells(lines: list[str], edits: int | Bands = EDITS) -> tuple[np.ndarray, np.ndarray]:
     """(number of line, cell) for all probes of all lines, from prefix sums of hashed code points."""
     lengths = np.fromiter(map(len, lines), np.int64, len(lines))
     codes = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4").astype(_U)
@@ -72,7 +95,7 @@ def line_cells(lines: list[str], edits: int = EDITS) -> tuple[np.ndarray, np.nda
         owners, cells = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for length in np.unique(lengths).tolist():
             mine = np.flatnonzero(lengths == length)
-            at = np.array(probes(length, edits), np.int64)
+            at = np.array(probes(length, edits), np.int64).reshape(-1, 4)
             start, stop = first[mine][:, None] + at[:, 2], first[mine][:, None] + at[:, 3]
             key = (total[stop] - total[start]) * inverse[start]
             key = (key ^ (key >> _U(31))) + (at[:, 0] * 64 + at[:, 1]).astype(_U) * _U(0x9E3779B97F4A7C15)
@@ -98,6 +121,16 @@ def within(left: list[str], right: list[str], edits: int = EDITS) -> np.ndarray:
     return out
 
 
+def linked(left: list[str], right: list[str], bands: Bands) -> np.ndarray:
+    """For each pair of lines whether they are within the edits of the shorter one."""
+    out = np.zeros(len(left), bool)
+    allowed = edits_for(np.array([min(len(a), len(b)) for a, b in zip(left, right)], np.int64), bands)
+    for edits in np.unique(allowed[allowed >= 0]).tolist():
+        now = np.flatnonzero(allowed == edits)
+        out[now] = within([left[i] for i in now], [right[i] for i in now], edits)
+    return out
+
+
 def _padded(lines: list[str], before: int, width: int, fill: int) -> np.ndarray:
     """Code points by place and line, with ``before`` empty places first."""
     out = np.full((before + width, len(lines)), fill, np.int32)
@@ -141,15 +174,15 @@ def _within(long: list[str], short: list[str], edits: int) -> np.ndarray:
     return distance <= edits
 
 
-def _in_cells(edits: int, least: int):
+def _in_cells(bands: Bands):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(node, line) -> (cell, node), each node of a slice once."""
         for batch in sliced(batches, 1):
             node, at = np.unique(batch.column(0).to_numpy(), return_index=True)
             lines = batch.column(1).take(pa.array(at)).to_pylist()
-            keep = [i for i, line in enumerate(lines) if len(line) >= least]
+            keep = [i for i, line in enumerate(lines) if len(line) >= bands[0][0]]
             for part in _sliced(keep, lines):
-                owner, cell = line_cells([lines[i] for i in part], edits)
+                owner, cell = line_cells([lines[i] for i in part], bands)
                 yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(node[np.array(part, np.int64)][owner])], names=["cell", "node"])
 
     return run
@@ -168,16 +201,16 @@ def _sliced(numbers: list[int], lines: list[str]) -> Iterator[list[int]]:
         yield part
 
 
-def _verified(edits: int):
+def _verified(bands: Bands):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = within(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), edits)
+            ok = linked(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), bands)
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     return run
 
 
-def _near_pairs(edits: int):
+def _near_pairs(bands: Bands):
     def run(group: pa.Table) -> pa.Table:
         """Linked pairs of different components in a group of a cell.
 
@@ -191,13 +224,14 @@ def _near_pairs(edits: int):
         letters = np.stack([np.bincount(np.frombuffer(x.encode("utf-32-le"), "<u4") % 61, minlength=61) for x in lines]).astype(np.int32)
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for x in range(len(lines) - 1):
+            edits = edits_for(np.minimum(size[x + 1 :], size[x]), bands)
             may = (np.abs(size[x + 1 :] - size[x]) <= edits) & (label[x + 1 :] != label[x]) & (one | (chunk[x + 1 :] != chunk[x]))
             y = np.flatnonzero(may) + x + 1
-            y = y[np.abs(letters[y] - letters[x]).sum(axis=1) <= 2 * edits]
+            y = y[np.abs(letters[y] - letters[x]).sum(axis=1) <= 2 * edits[y - x - 1]]
             left.append(np.full(len(y), x))
             right.append(y)
         x, y = np.concatenate(left), np.concatenate(right)
-        ok = within([lines[i] for i in x.tolist()], [lines[i] for i in y.tolist()], edits)
+        ok = linked([lines[i] for i in x.tolist()], [lines[i] for i in y.tolist()], bands)
         return pa.table({"a": np.minimum(node[x], node[y])[ok], "b": np.maximum(node[x], node[y])[ok]})
 
     return run
@@ -223,8 +257,8 @@ def lines_of(docs: DataFrame, text: str = "text") -> DataFrame:
     return split.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("node", F.xxhash64("line"))
 
 
-def line_links(lines: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
-    """Links (a, b) between different lines; what they connect is what all links within ``edits`` connect."""
+def line_links(lines: DataFrame, bands: Bands = ((LEAST, EDITS),)) -> DataFrame:
+    """Links (a, b) between different lines; what they connect is what all links within the edits of ``bands`` connect."""
     texts = lines.select("node", "line")
 
     def describe(nodes: DataFrame) -> DataFrame:
@@ -235,24 +269,25 @@ def line_links(lines: DataFrame, edits: int = EDITS, least: int = LEAST) -> Data
 
     def verify(pairs: DataFrame, described: DataFrame) -> DataFrame:
         both = pairs.join(described.toDF("a", "sa"), "a").join(described.toDF("b", "sb"), "b")
-        return both.mapInArrow(_verified(edits), "a bigint, b bigint")
+        return both.mapInArrow(_verified(bands), "a bigint, b bigint")
 
     def pairs(dealt: DataFrame, described: DataFrame) -> DataFrame:
-        return dealt.join(described, "node").groupBy("cell", "i", "j").applyInArrow(_near_pairs(edits), "a bigint, b bigint").distinct()
+        return dealt.join(described, "node").groupBy("cell", "i", "j").applyInArrow(_near_pairs(bands), "a bigint, b bigint").distinct()
 
-    return links_in_cells(texts.mapInArrow(_in_cells(edits, least), "cell bigint, node bigint"), describe, verify, pairs)
+    return links_in_cells(texts.mapInArrow(_in_cells(bands), "cell bigint, node bigint"), describe, verify, pairs)
 
 
-def dedup(docs: DataFrame, text: str = "text", edits: int = EDITS, least: int = LEAST) -> DataFrame:
+def dedup(docs: DataFrame, text: str = "text", edits: int = EDITS, least: int = LEAST, bands: Bands | None = None) -> DataFrame:
     """``docs`` with the lines removed from ``text`` of which an equal or near line came before; adds n_lines and removed.
 
-    Lines are near within ``edits`` edits if both have ``least`` code points or more; classes are what near and equal lines
+    Lines are near within ``edits`` edits if both have ``least`` code points or more, or, with ``bands`` (length, edits)
+    from short to long, within the edits of the last band that the shorter line reaches; classes are what near and equal lines
     connect. Lines come in the order of doc_id (nulls last), identity of the text, place in the text; the first of a
     class stays. Lines without a word stay. removed: places of the removed lines. A null text stays null, an empty
     one empty. Repeated rows are one document: both lose the same lines. No row is dropped.
     """
     lines = lines_of(docs, text)
-    labels = components(line_links(lines, edits, least))
+    labels = components(line_links(lines, bands or ((least, edits),)))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "pos")
     narrow = materialise(lines.select("doc_id", "text_hash", "pos", "node"))
     nodes = narrow.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(labels, "node", "left")
@@ -284,4 +319,4 @@ def dedup(docs: DataFrame, text: str = "text", edits: int = EDITS, least: int =
 
 def digest(docs: DataFrame) -> DataFrame:
     """The result of the query: doc_id, n_lines, n_removed, removed and the text that is left."""
-    return dedup(docs).select("doc_id", "n_lines", F.size("removed").cast("bigint").alias("n_removed"), "removed", "text")
+    return dedup(docs, bands=BANDS).select("doc_id", "n_lines", F.size("removed").cast("bigint").alias("n_removed"), "removed", "text")

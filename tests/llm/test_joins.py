@@ -101,6 +101,27 @@ def test_line_dedup_against_all_pairs(spark, monkeypatch):
     assert line_dedup.dedup(df.limit(0)).count() == 0
 
 
+def test_line_bands_against_all_pairs(spark):
+    """Near copies of short and long lines, at the edges of the bands, as the query links them."""
+    rng = random.Random(14)
+    lines = ["Copyright 2023 by the river house press", "Copyright 2024 by the river house press"]
+    for n in (10, 14, 15, 16, 38, 39, 40, 41, 120, 199, 200, 203, 350, 398, 400, 404, 900):
+        base = "".join(rng.choices("abcdefgh é", k=n - 2)).strip() + "x"
+        lines += [base] + [edited(rng, base, e) for e in (1, 2, 3, 4, 5)]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    nodes = list(dict.fromkeys(lines))
+
+    def near(a, b):
+        n = min(len(a), len(b))
+        return n >= 15 and abs(len(a) - len(b)) < 5 and edit_distance(a, b) <= (1 if n < 40 else 2 if n < 200 else 3 if n < 400 else 4)
+
+    place = {x: i for i, x in reversed(list(enumerate(lines)))}
+    label = closed(list(range(len(nodes))), lambda a, b: near(nodes[a], nodes[b]))
+    want = {min(place[nodes[b]] for b in label if label[b] == label[a]) for a in label}
+    got = {r.doc_id for r in line_dedup.digest(df).collect() if r.n_removed == 0}
+    assert got == want and 1 not in got and len(got) < len(nodes) - 20
+
+
 def some_docs(seed):
     rng = random.Random(seed)
     words = [f"w{i}" for i in range(400)]
