@@ -2,7 +2,7 @@
 
 Each language is a distribution over hashed letter trigrams, counted over all learning texts. A document is a mixture of
 languages: expectation-maximisation estimates its proportions, for the whole language set and for the nested sets
-of its strongest one, two, three languages; the set with the best penalised likelihood (Schwarz) is taken.
+of its strongest one, two, three and more languages; the set with the best penalised likelihood (Schwarz) is taken.
 
 The model has ``buckets`` numbers for each language, whatever the corpus; learning sums counts map-side, and a
 document is judged by itself, so nothing but counts is exchanged.
@@ -22,8 +22,6 @@ BUCKETS = 1 << 16
 #: Added to each trigram count of a language.
 SMOOTHING = 0.05
 ROUNDS = 6
-#: Languages in the largest set that is tried beside the single language.
-MOST = 3
 #: Characters handled at once; longer texts are counted in slices.
 SLICE = 1 << 20
 
@@ -134,18 +132,18 @@ def proportions(likely: np.ndarray, count: np.ndarray, starts: np.ndarray, per_d
     return share, np.add.reduceat(count * np.log(mixed, dtype=np.float64), starts)
 
 
-def infer(model: np.ndarray, number: np.ndarray, bucket: np.ndarray, count: np.ndarray, rounds: int = ROUNDS, most: int = MOST) -> tuple[np.ndarray, np.ndarray]:
+def infer(model: np.ndarray, number: np.ndarray, bucket: np.ndarray, count: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """(document numbers, proportions of the selected language set) for the documents that have a trigram."""
     docs, starts = np.unique(number, return_index=True)
     per_doc = np.diff(np.append(starts, len(number)))
     likely = model[bucket]
     n_languages = model.shape[1]
     total = np.add.reduceat(count, starts)
-    full, _ = proportions(likely, count, starts, per_doc, np.ones((len(docs), n_languages), np.float32), rounds)
+    full, full_fit = proportions(likely, count, starts, per_doc, np.ones((len(docs), n_languages), np.float32), rounds)
     rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1, kind="stable")
     best_value, best = np.full(len(docs), -np.inf), full
-    for m in range(1, min(most, n_languages) + 1):
-        share, fit = proportions(likely, count, starts, per_doc, (rank < m).astype(np.float32), rounds if m > 1 else 0)
+    for m in range(1, n_languages + 1):
+        share, fit = (full, full_fit) if 1 < m == n_languages else proportions(likely, count, starts, per_doc, (rank < m).astype(np.float32), rounds if m > 1 else 0)
         value = fit - 0.5 * (m - 1) * np.log(total)
         better = value > best_value
         best_value = np.where(better, value, best_value)

@@ -264,6 +264,19 @@ def test_language_mixture(spark):
     assert {r.lang_pred for r in languages.identify(docs, ["doc_id"], empty).collect()} == {"und"}
 
 
+def test_mixture_of_all_languages(spark):
+    """A text of four or five languages has them all, and its top language no more than its part."""
+    rng = random.Random(7)
+    words = {"aa": ["kalo", "mira", "tolu"], "bb": ["schrift", "wurzel", "knopf"], "cc": ["ñandu", "éxito", "caño"], "dd": ["wyżej", "łąka", "ćma"], "ee": ["fjörd", "þing", "ævi"]}
+    text = lambda names: " ".join(rng.choice(words[x]) for x in names for _ in range(60))
+    model = languages.learn(spark.createDataFrame([(i, text([x]), x) for i, x in enumerate(list(words) * 10)], "doc_id bigint, text string, lang string"))
+    asked = [["aa"], ["aa", "cc", "dd", "ee"], list(words)]
+    docs = spark.createDataFrame([(i, text(names)) for i, names in enumerate(asked)], "doc_id bigint, text string")
+    for r in languages.identify(docs, ["doc_id"], model).collect():
+        assert sorted(x.lang for x in r.languages) == asked[r.doc_id]
+        assert abs(r.score - 1 / len(asked[r.doc_id])) < 0.1
+
+
 def test_language_slices_agree(monkeypatch):
     text = ["Ein Wort, noch ein Wort " * 30, "kurz"]
     whole = [np.concatenate(x) for x in zip(*[(n + f, b, c) for f, n, b, c in languages.grams(text)])]
