@@ -145,9 +145,13 @@ def restored_words(text: str, decoder: Decoder, collapsed: frozenset[str] = froz
     """
     tokens = set(text.split())
     readings: dict[str, str] = {}
+
+    def doubled(word: str) -> bool:
+        return bool(collapsed and _DOUBLE.search(word)) and _DOUBLE.sub(r"\1", word) in collapsed
+
     for token in tokens:
         if _PLAIN.fullmatch(token):
-            if (_RUN.search(token) or (collapsed and _DOUBLE.sub(r"\1", token) in collapsed)) if _DOUBLE.search(token) else False:
+            if _RUN.search(token) or doubled(token):
                 readings[token] = decoder.read(token)
         else:
             core = token.strip(".,;:?\"'()[]{}«»")
@@ -155,6 +159,8 @@ def restored_words(text: str, decoder: Decoder, collapsed: frozenset[str] = froz
                 readings[core] = decoder.read(core)
                 if (tail := core.rstrip("!*$|+")) != core and tail:
                     readings[tail] = decoder.read(tail)
+            elif _PLAIN.fullmatch(core) and doubled(core):
+                readings[core] = decoder.read(core)
     for m in _APART.finditer(text):
         if not any(map(str.isalpha, m[0])):
             continue

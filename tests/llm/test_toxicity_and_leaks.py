@@ -38,6 +38,14 @@ def test_disguised_words_are_restored(learned, written):
     assert scorer.score(words) > 0.5
 
 
+@pytest.mark.parametrize("written", ["stuppid", "stuppid,", "(stuppid)", "\"morron\".", "traash;", "stuppid?"])
+def test_a_doubled_letter_beside_punctuation(learned, written):
+    model, scorer = learned
+    words, readings = toxicity.restored_words(f"the river {written} runs", toxicity.Decoder(model), scorer.collapsed)
+    assert words & set(BAD), readings
+    assert not toxicity.restored_words(f"green hills, {written}", toxicity.Decoder(model))[0] & set(BAD)
+
+
 def test_plain_words_are_left_alone(learned):
     model, scorer = learned
     words, readings = toxicity.restored_words("people walk along hills, 1984 green houses!! with a small tree.", toxicity.Decoder(model), scorer.collapsed)
