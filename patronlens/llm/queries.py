@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patronlens.llm import decontamination, jaccard_join, languages, licenses, line_dedup, lm, packing, quality, toxicity, url_filter
+from patronlens.llm import decontamination, divergence, exact_dedup, jaccard_join, languages, licenses, line_dedup, lm, packing, quality, resampling, toxicity, url_filter
 from patronlens.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,18 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_benchmark_leaks")
 def op10_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.digest(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op11_importance_resampling", sql=resampling.sql())
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.digest(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op12_source_divergence", sql=divergence.sql())
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.digest(table(spark, folder, "documents"))
+
+
+@query("op13_exact_dedup", sql=exact_dedup.sql())
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.digest(table(spark, folder, "documents"))
