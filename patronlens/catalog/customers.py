@@ -522,6 +522,19 @@ def k21(spark, d):
     return basket.recommend(tiers, products, lines, "NATION_7")
 
 
+@query(
+    "n04_segment_rules",
+    "segment:str, " + RULE_SPEC,
+    f"""WITH {SEGMENT_BASKET_SQL}
+        SELECT q.tier AS segment, array_to_string(q.antecedents, '|') AS antecedents, array_to_string(q.consequents, '|') AS consequents,
+               sa AS antecedent_support, c.s AS consequent_support, q.s AS support, q.s / sa AS confidence, q.s / sa / c.s AS lift,
+               q.s - sa * c.s AS leverage, (1 - c.s) / nullif(1 - q.s / sa, 0) AS conviction
+        FROM split q JOIN support c ON c.tier = q.tier AND c.items = q.consequents""",
+)
+def n04_segments(spark, d):
+    return _as_text(basket.segment_rules(_tiered(spark, d)[2], item="p_type"))
+
+
 @query(
     "n04_country_rules",
     RULE_SPEC,

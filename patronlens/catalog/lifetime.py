@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.ordering import top_share_flag
+from ..plans import basket
 from ..plans import clv_forecast as clv
 from ..session import materialise
-from .customers import CLEAN_SQL, TODAY_SQL, _clean
+from ..sources.retail import table
+from .customers import CLEAN_SQL, TODAY_SQL, _clean, bins_sql
 from .registry import query
 
 # Published parameters of one fitted pair of models; queries that check formulas use them as given.
@@ -151,3 +153,34 @@ def k18(spark, d):
 def k19(spark, d):
     valued = m05(spark, d).select("customer_id", F.round("clv", 3).alias("clv"))
     return top_share_flag(valued, [F.col("clv").desc_nulls_last(), F.col("customer_id").asc()], 0.2)
+
+
+# Predicted value to segments, their rules and a product for the customers of one country, with the parameters as given.
+CHAIN_SQL = f"""WITH v AS ({_value_sql(6)}), r AS (SELECT customer_id, round(clv, 3) AS clv FROM v),
+x AS (SELECT customer_id, (clv - (SELECT min(clv) FROM r)) / (SELECT max(clv) - min(clv) FROM r) * 99 + 1 AS clv FROM r),
+tiers AS (SELECT customer_id, clv, {bins_sql('clv', 3, ['C', 'B', 'A'], 'x')} AS tier FROM x),
+{CLEAN_SQL},
+bought AS (SELECT DISTINCT t.tier, s.invoice AS basket, p_type AS item FROM clean s JOIN tiers t USING (customer_id) JOIN part ON CAST(p_partkey AS VARCHAR) = s.stock_code),
+nb AS (SELECT tier, count(DISTINCT basket) AS n FROM bought GROUP BY tier),
+lists AS (SELECT tier, basket, list(item ORDER BY item) AS items FROM bought GROUP BY tier, basket),
+kinds AS (SELECT list(DISTINCT item ORDER BY item) AS all_items FROM bought),
+subsets AS (SELECT list_filter(all_items, lambda x, i: (m // CAST(pow(2, i - 1) AS BIGINT)) % 2 = 1) AS items FROM kinds, range(1, 64) r(m)),
+support AS (SELECT b.tier, s.items, count(*) / any_value(nb.n) AS s FROM subsets s JOIN lists b ON list_has_all(b.items, s.items)
+            JOIN nb ON nb.tier = b.tier GROUP BY b.tier, s.items HAVING count(*) >= 0.01 * any_value(nb.n)),
+split AS (SELECT u.tier, u.s, a.items AS antecedents, a.s AS sa, list_filter(u.items, lambda x: NOT list_contains(a.items, x)) AS consequents
+          FROM support u JOIN support a ON u.tier = a.tier AND list_has_all(u.items, a.items) AND len(a.items) < len(u.items)),
+ranked AS (SELECT q.tier, q.consequents, row_number() OVER (PARTITION BY q.tier ORDER BY round(q.s / sa / c.s, 9) DESC, q.s DESC, q.antecedents, q.consequents) AS rn
+           FROM split q JOIN support c ON c.tier = q.tier AND c.items = q.consequents),
+locals AS (SELECT DISTINCT customer_id FROM clean WHERE country = 'NATION_7')
+SELECT t.customer_id, t.clv AS value, t.tier AS segment, CASE WHEN l.customer_id IS NOT NULL THEN coalesce(p.consequents[1], '') ELSE '' END AS recommended_product
+FROM tiers t LEFT JOIN locals l USING (customer_id) LEFT JOIN ranked p ON p.tier = t.tier AND rn = 1"""
+
+
+@query("k21_value_recommendation", "customer_id:long, value:double3, segment:str, recommended_product:str", CHAIN_SQL)
+def k21_value(spark, d):
+    lines = materialise(_clean(spark, d, ["stock_code", "country"]))
+    values = clv.with_forecast(clv.model_input(clv.clv_summary(lines)), BGNBD, GAMMA_GAMMA, (6,))
+    part = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("stock_code"), "p_type")
+    typed = lines.join(part, "stock_code", "left")
+    valued = values.select("customer_id", F.round("clv_6", 3).alias("clv"))
+    return basket.recommend_by_value(typed, valued, "NATION_7", item="p_type").withColumnRenamed("clv", "value")

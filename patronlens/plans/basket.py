@@ -10,8 +10,9 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import first_of_sorted
+from ..operators.binning import minmax, qcut
 from ..session import materialise
+from .itemsets import grouped_itemsets, least_counts
 
 
 def basket_items(lines: DataFrame, item: str = "stock_code", invoice: str = "invoice") -> DataFrame:
@@ -128,37 +129,45 @@ def create_rules(
     return association_rules(frequent_itemsets(basket_items(chosen, item), min_support), "support", min_support)
 
 
-def segment_products(lines: DataFrame, segment: str = "segment", item: str = "stock_code", min_support: float = 0.01) -> DataFrame:
-    """(segment, recommended_product): first consequent of the strongest rule of each segment.
+def segment_rules(lines: DataFrame, segment: str = "segment", item: str = "stock_code", min_support: float = 0.01) -> DataFrame:
+    """Rules of every segment's own baskets, with the segment's support limit: (segment, antecedents, consequents, measures).
 
-    ``lines`` carry the customer's segment. All segments are mined in one run: an item is a struct of segment and product
-    written as one text, so no itemset spans two segments. The run's least count is the smallest of the segments'; sets
-    below their own segment's least count are dropped afterwards.
+    ``lines`` carry the customer's segment; lines without one, without an invoice or an item play no part. All segments are
+    mined in one run, each with its own least count, so the result is that of mining each of them alone.
     """
     known = lines.where(F.col(segment).isNotNull() & F.col("invoice").isNotNull() & F.col(item).isNotNull())
     net = known.groupBy(F.col(segment).alias("_segment"), F.col("invoice").alias("basket"), F.col(item).cast("string").alias("item")).agg(F.sum("quantity").alias("net"))
     items = materialise(net.select("_segment", "basket", "item", (F.col("net") > 0).alias("_in")))
-    sizes = items.groupBy("_segment").agg(F.count_distinct("basket").alias("_n"))
-    sizes = materialise(sizes.withColumn("_least", F.greatest(F.ceil(F.col("_n") * min_support - 1e-9), F.lit(1))))
-    inside = items.where("_in").select("_segment", "basket", "item")
-    frequent = inside.groupBy("_segment", "item").agg(F.count(F.lit(1)).alias("_f")).join(sizes, "_segment").where("_f >= _least").select("_segment", "item")
-    kept = inside.join(frequent, ["_segment", "item"], "left_semi")
-    baskets = materialise(kept.groupBy("_segment", "basket").agg(F.collect_set(F.to_json(F.struct("_segment", "item"))).alias("items")).select("items"))
-    n_kept, least = baskets.count(), sizes.agg(F.min("_least")).first()[0]
-    empty = lines.sparkSession.createDataFrame([], lines.select(segment).schema.add("recommended_product", "string"))
-    if not n_kept:
-        return empty
-    miner = FPGrowth(itemsCol="items", minSupport=max((least - 0.5) / n_kept, 0.0))
-    kind = lines.schema[segment].dataType.simpleString()
-    parsed = F.transform("items", lambda x: F.from_json(x, f"_segment {kind}, item string"))
-    found = miner.fit(baskets).freqItemsets.select(parsed.alias("_parsed"), "freq")
-    found = found.select(F.col("_parsed")[0]["_segment"].alias("_segment"), F.array_sort(F.transform("_parsed", lambda x: x["item"])).alias("items"), "freq")
-    sets = materialise(found.join(sizes, "_segment").where("freq >= _least").select("_segment", "items", (F.col("freq") / F.col("_n").cast("double")).alias("support")))
-    rules = _rules_of(sets, ["_segment"]).where(F.col("support") >= min_support - 1e-12)
-    strongest = rules.groupBy("_segment").agg(
+    sizes = materialise(least_counts(items, "_segment", min_support))  # a basket of returns alone counts, too
+    found = grouped_itemsets(items.where("_in").drop("_in"), sizes, "_segment")
+    sets = materialise(found.join(sizes, "_segment").select("_segment", "items", (F.col("freq") / F.col("n").cast("double")).alias("support")))
+    return _rules_of(sets, ["_segment"]).select(
+        F.col("_segment").alias(segment), "antecedents", "consequents", "antecedent_support", "consequent_support", "support",
+        "confidence", "lift", "leverage", "conviction",
+    )
+
+
+def segment_products(lines: DataFrame, segment: str = "segment", item: str = "stock_code", min_support: float = 0.01) -> DataFrame:
+    """(segment, recommended_product): first consequent of the strongest rule of each segment."""
+    strongest = segment_rules(lines, segment, item, min_support).groupBy(segment).agg(
         F.min(F.struct((-F.round("lift", 9)).alias("a"), (-F.col("support")).alias("b"), "antecedents", "consequents")).alias("best")
     )
-    return strongest.select(F.col("_segment").alias(segment), first_of_sorted("best.consequents").alias("recommended_product"))
+    return strongest.select(segment, F.array_min("best.consequents").alias("recommended_product"))
+
+
+def recommend_by_value(
+    lines: DataFrame, values: DataFrame, country: str, value: str = "clv", item: str = "stock_code",
+    labels: Sequence[str] = ("C", "B", "A"), min_support: float = 0.01,
+) -> DataFrame:
+    """The whole chain: predicted value to segment, the segment's lines to rules, the strongest rule to a product.
+
+    ``values`` (customer_id, value) is a forecast of each customer; its result is kept with ``value`` scaled to 1..100, the
+    ``segment`` (equal thirds by default, the best last) and ``recommended_product``, empty outside ``country``.
+    """
+    scaled = minmax(materialise(values.select("customer_id", value)), {value: value}, 1.0, 100.0)
+    segments = materialise(qcut(materialise(scaled), {"segment": (value, list(labels))}))
+    products = segment_products(lines.join(segments.select("customer_id", "segment"), "customer_id"), item=item, min_support=min_support)
+    return recommend(segments, products, lines, country)
 
 
 def recommend(customers: DataFrame, products: DataFrame, lines: DataFrame, country: str, segment: str = "segment") -> DataFrame:
@@ -167,7 +176,7 @@ def recommend(customers: DataFrame, products: DataFrame, lines: DataFrame, count
         lines.where((F.col("country") == country) & F.col("customer_id").isNotNull()).select("customer_id").distinct()
     )
     marked = customers.join(local.withColumn("_local", F.lit(True)), "customer_id", "left")
-    offered = marked.join(F.broadcast(products), segment, "left")  # one row per segment
+    offered = marked.join(products, segment, "left")
     product = F.when(F.col("_local"), F.coalesce("recommended_product", F.lit(""))).otherwise("")
     return offered.withColumn("recommended_product", product).drop("_local")
 

@@ -187,14 +187,6 @@ def test_chosen_test(spark):
     assert abtest.choose_test(spark.createDataFrame(heavy), "g", "v", "a", "b").first().test == "mann_whitney"
 
 
-def test_large_groups_use_moments(spark, monkeypatch):
-    monkeypatch.setattr(abtest, "SHAPIRO_MAX", 50)
-    rng = np.random.default_rng(4)
-    pdf = pd.DataFrame({"g": ["s"] * 40 + ["l"] * 400, "v": rng.normal(size=440)})
-    got = {r.g: r.method for r in abtest.shapiro_normality(spark.createDataFrame(pdf), "g", "v").collect()}
-    assert got == {"s": "shapiro", "l": "jarque_bera"}
-
-
 @pytest.mark.parametrize("n", [3, 4, 5, 8, 11, 12, 300, 6000])
 def test_shapiro_is_the_same_test_for_every_size(spark, n):
     rng = np.random.default_rng(n)
