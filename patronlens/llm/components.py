@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from patronlens.session import materialise
@@ -79,25 +80,56 @@ def shared_cells(rows: DataFrame) -> DataFrame:
     return rows.select("cell", "node").repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "cell bigint, node bigint, leader bigint")
 
 
+def least_crowded(cells: DataFrame, allowance: DataFrame | None) -> DataFrame:
+    """The cells (cell, node, leader) that have to be looked at, with n, the nodes of the cell.
+
+    allowance (node, part, spare): linked nodes share more cells of a part than either may spare, so each node leaves its
+    ``spare`` most crowded cells of a part out; a cell's part is its last byte. All nodes order cells alike (crowded first,
+    then by cell), so the last of two nodes' shared cells is left out by neither, and no link is lost.
+    """
+    sizes = cells.groupBy("cell").agg(F.count("*").alias("n"))
+    sized = cells.join(sizes, "cell")
+    if allowance is None:
+        return sized
+    order = W.partitionBy("node", "part").orderBy(F.col("n").desc(), "cell")  # as many rows as a node has cells
+    placed = sized.withColumn("part", F.expr("CAST(cell & 255 AS INT)")).withColumn("place", F.row_number().over(order))
+    kept = placed.join(allowance, ["node", "part"]).filter("place > spare").select("cell", "node")
+    # what is left of a cell has a leader of its own
+    leaders = kept.groupBy("cell").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
+    return kept.join(leaders, "cell")
+
+
 def links_in_cells(
     rows: DataFrame,
     describe: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame, DataFrame], DataFrame],
     pairs: Callable[[DataFrame, DataFrame], DataFrame],
+    allowance: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Links (a, b) that connect what the cells' true links connect.
 
     rows (cell, node): two nodes that are linked meet in a cell. ``describe`` gives what is to be compared for the nodes that
     share a cell; ``verify`` keeps the linked ones of pairs (a, b), given that; ``pairs`` gives the pairs (a, b) worth
-    a trial in groups (cell, i, j) of nodes with label and chunk: those of different labels and, where i < j, of different chunks. First
-    each node is tried with its cell's smallest node. Then, where a cell still holds nodes of several components, all
-    its pairs between different components are tried, in groups of at most 2 * CHUNK nodes. Pairs within a component are
-    not needed: they connect nothing new. So a large group of copies costs one trial a copy and cell, not all pairs.
+    a trial in groups (cell, i, j) of nodes with label and chunk: those of different labels and, where i < j, of different chunks.
+    ``allowance`` of what is described: see ``least_crowded``.
+
+    First each node is tried with one node, the leader (smallest node) of most of its cells; then with the leaders that
+    this has not connected it with. Where a cell still holds nodes of several components, all its pairs between
+    different components are tried, in groups of at most 2 * CHUNK nodes. Pairs within a component are not needed: they
+    connect nothing new. So a large group of copies costs about one trial a copy, not all pairs.
     """
-    cells = materialise(shared_cells(rows))
-    described = describe(cells.select("node").distinct())
-    first = materialise(verify(cells.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), described).select("a", "b"))
+    shared = materialise(shared_cells(rows))
+    described = describe(shared.select("node").distinct())
+    cells = materialise(least_crowded(shared, allowance(described) if allowance else None))
+    led = materialise(cells.filter("node <> leader").groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("n")))
+    best = led.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select("best.a", "b")
+    first = materialise(verify(best, described).select("a", "b"))
     labels = components(first)
+    ends = [labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab"]
+    apart = led.select("a", "b").join(best, ["a", "b"], "left_anti").join(ends[0], "a", "left").join(ends[1], "b", "left")
+    apart = apart.filter("coalesce(label_a, a) <> coalesce(label_b, b)").select("a", "b")
+    found = first.unionByName(materialise(verify(apart, described).select("a", "b")))
+    labels = components(found)
     labelled = cells.join(labels, "node", "left").select("cell", "node", "leader", F.coalesce("label", "node").alias("label"))
     mixed = labelled.groupBy("cell").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("n > 2 AND low <> high")
     # the leader has been tried with all; the nodes that it is linked to are one component
@@ -105,5 +137,5 @@ def links_in_cells(
     rest = rest.withColumn("chunk", F.expr(f"CAST(pmod(xxhash64(node), CAST(ceil(n / {CHUNK}) AS BIGINT)) AS INT)")).withColumn("chunks", F.expr(f"CAST(ceil(n / {CHUNK}) AS INT)"))
     dealt = rest.select("cell", "node", "label", "chunk", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other"))
     dealt = dealt.select("cell", "node", "label", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk")
-    second = materialise(verify(pairs(dealt, described), described).select("a", "b"))
-    return first.unionByName(second)
+    last = materialise(verify(pairs(dealt, described), described).select("a", "b"))
+    return found.unionByName(last)

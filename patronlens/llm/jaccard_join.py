@@ -28,7 +28,7 @@ from patronlens.session import materialise
 WIDTH = 4
 #: Link: 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: Coordinates of a point.
+#: Least number of coordinates of a point; a point has about one for each shingle of its set, so that unlike sets differ.
 GROUPS = 64
 #: Points in a leaf of the tree.
 LEAF = 16
@@ -77,8 +77,17 @@ def node_id(shingles: np.ndarray) -> int:
         return int(_mix(np.array([_mix(shingles ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) + np.uint64(len(shingles))], np.uint64)).view(np.int64)[0])
 
 
-def point(shingles: np.ndarray, groups: int = GROUPS) -> np.ndarray:
-    return np.bincount((shingles % np.uint64(groups)).astype(np.int64), minlength=groups).astype(np.int32)
+def point(shingles: np.ndarray, least: int = GROUPS) -> np.ndarray:
+    """Counts in as many groups as the next power of two of the set's size; counts over 255 are cut (``bounded`` makes up for it)."""
+    groups = max(least, 1 << (max(len(shingles), 1) - 1).bit_length())
+    counts = np.bincount((shingles % np.uint64(groups)).astype(np.int64), minlength=groups)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def folded(points: list[np.ndarray]) -> np.ndarray:
+    """Points of different sizes side by side, in the groups of the smallest: a set's groups of half the number are sums of two."""
+    groups = min(map(len, points), default=GROUPS)
+    return np.stack([p.reshape(-1, groups).sum(axis=0, dtype=np.int32) for p in points]) if points else np.zeros((0, groups), np.int32)
 
 
 def least_common(sizes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -108,17 +117,24 @@ def most_different(high: int, percent: int = PERCENT) -> int:
     return int(np.max(sizes - 2 * least_common(sizes, percent), initial=0))
 
 
-def cells(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Cells of a set: hashes of (class, group, the group's shingles).
+def spared(differ: int) -> int:
+    """Cells that a set may leave out, as linked sets share so many and one more."""
+    return 2 + differ // 4
+
 
-    Two linked sets of a class differ in at most d shingles, so with d + 1 + spare groups at least 1 + spare are equal. Empty groups are left out unless a set has more than ``spare`` of them.
+def cells(shingles: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Cells of a set, hashes of (class, group, the group's shingles), and (class, spare) for each class.
+
+    Two linked sets of a class differ in at most d shingles, so with d + 1 + s groups at least 1 + s are equal, and a set may
+    leave s of its cells out. Empty groups are left out first, for they would be the most crowded cells; only what a set has
+    beyond s of them is entered. The class is the cell's last byte.
     """
-    out = []
+    out, parts = [], []
     for k, high in length_classes(len(shingles), percent):
         differ = most_different(high, percent)
         if not differ:
             continue  # linked sets of this class are equal, and equal sets are one node
-        spare = 1 + differ // 40
+        spare = spared(differ)
         groups = differ + 1 + spare
         with np.errstate(over="ignore"):
             mixed = _mix(shingles + np.uint64(0x632BE59BD9B4E019))
@@ -127,14 +143,19 @@ def cells(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
             np.add.at(content, of, _mix(mixed))
             size = np.bincount(of, minlength=groups)
             keys = _mix(_mix(content + np.uint64(k)) + (np.arange(groups) * (1 << 20) + k).astype(np.uint64))
-        used = size > 0
-        out.append(keys if (~used).sum() > spare else keys[used])
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        empty = np.flatnonzero(size == 0)
+        keys = np.delete(keys, empty[:spare])
+        out.append(keys & ~np.uint64(255) | np.uint64(k % 256))
+        parts.append((k % 256, max(0, spare - len(empty))))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64), parts
+
 
+def bounded(sizes_a, points_a, sizes_b, points_b, percent: int = PERCENT, cut: np.ndarray | int = 0) -> np.ndarray:
+    """Whether each pair may be linked: the sum of coordinate minima reaches the least intersection.
 
-def bounded(sizes_a: np.ndarray, points_a: np.ndarray, sizes_b: np.ndarray, points_b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Whether each pair may be linked: the sum of coordinate minima reaches the least intersection."""
-    return np.minimum(points_a, points_b).sum(axis=1) >= least_common(sizes_a + sizes_b, percent)
+    ``cut``: the most that two sets may share beyond their points.
+    """
+    return np.minimum(points_a, points_b).sum(axis=-1) + cut >= least_common(sizes_a + sizes_b, percent)
 
 
 def tree_join(sizes: np.ndarray, points: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
@@ -147,14 +168,16 @@ def tree_join(sizes: np.ndarray, points: np.ndarray, percent: int = PERCENT) ->
     starts = np.arange(0, len(order), LEAF)
     top = np.maximum.reduceat(points[order], starts, axis=0) if len(order) else points
     low = np.minimum.reduceat(sizes[order], starts) if len(order) else sizes
+    cut = sizes - points.sum(axis=1)
+    most_cut = np.maximum.reduceat(cut[order], starts) if len(order) else cut
     left, right = [], []
     for x in range(len(starts)):
-        may = np.flatnonzero(bounded(low[x], top[x], low[x:], top[x:], percent)) + x
+        may = np.flatnonzero(bounded(low[x], top[x], low[x:], top[x:], percent, np.minimum(most_cut[x], most_cut[x:]))) + x
         mine = order[starts[x] : starts[x] + LEAF]
         for y in may:
             other = order[starts[y] : starts[y] + LEAF]
             i, j = (m.ravel() for m in np.meshgrid(mine, other, indexing="ij"))
-            ok = bounded(sizes[i], points[i], sizes[j], points[j], percent) & ((i < j) if x == y else True)
+            ok = bounded(sizes[i], points[i], sizes[j], points[j], percent, np.minimum(cut[i], cut[j])) & ((i < j) if x == y else True)
             left.append(np.minimum(i, j)[ok])
             right.append(np.maximum(i, j)[ok])
     none = np.zeros(0, np.int64)
@@ -171,7 +194,7 @@ def _described(width: int):
                     pa.array([node_id(s) for s in sets], pa.int64()),
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([point(s).astype("<i4").tobytes() for s in sets], pa.binary()),
+                    pa.array([point(s).tobytes() for s in sets], pa.binary()),
                 ],
                 names=["node", "text_hash", "n", "point"],
             )
@@ -181,15 +204,15 @@ def _described(width: int):
 
 def _in_cells(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """text -> (cell, node), each node of a task once."""
-        seen: set[int] = set()
+        """text -> (cell, node), each node of a slice once."""
         for batch in sliced(batches, 0):
             cell, node = [], []
+            seen: set[int] = set()
             for s in shingle_sets(batch.column(0), width):
                 own = node_id(s)
                 if len(s) and own not in seen:
                     seen.add(own)
-                    cell.append(cells(s, percent).view(np.int64))
+                    cell.append(cells(s, percent)[0].view(np.int64))
                     node.append(np.full(len(cell[-1]), own, np.int64))
             none = [np.zeros(0, np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cell or none)), pa.array(np.concatenate(node or none))], names=["cell", "node"])
@@ -197,12 +220,17 @@ def _in_cells(width: int, percent: int):
     return run
 
 
-def _with_sets(width: int):
+SETS = "node bigint, shingles binary, parts array<struct<part:int,spare:int>>"
+_PARTS = pa.list_(pa.struct([("part", pa.int32()), ("spare", pa.int32())]))
+
+
+def _with_sets(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """text -> (node, shingles as bytes)."""
+        """text -> (node, shingles as bytes, how many cells of each class it may leave out)."""
         for batch in sliced(batches, 0):
             sets = shingle_sets(batch.column(0), width)
-            yield pa.RecordBatch.from_arrays([pa.array([node_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
+            parts = [[{"part": k, "spare": n} for k, n in cells(s, percent)[1]] for s in sets]
+            yield pa.RecordBatch.from_arrays([pa.array([node_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(parts, _PARTS)], names=["node", "shingles", "parts"])
 
     return run
 
@@ -211,9 +239,11 @@ def _near(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs whose points allow a link."""
         for batch in batches:
-            points = [np.frombuffer(b"".join(batch.column(c).to_pylist()), "<i4").reshape(-1, GROUPS) for c in ("pa", "pb")]
-            ok = bounded(batch.column("na").to_numpy(), points[0], batch.column("nb").to_numpy(), points[1], percent)
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
+            ok = []
+            for na, x, nb, y in zip(*(batch.column(c).to_pylist() for c in ("na", "pa", "nb", "pb"))):
+                two = folded([np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)])
+                ok.append(bool(bounded(na, two[0], nb, two[1], percent, min(na - two[0].sum(), nb - two[1].sum()))))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return run
 
@@ -236,7 +266,7 @@ def _tree_pairs(percent: int):
     def run(group: pa.Table) -> pa.Table:
         """Pairs of different components in a group of a cell that the tree over their points does not rule out."""
         node, label, chunk = (group.column(c).to_numpy() for c in ("node", "label", "chunk"))
-        points = np.frombuffer(b"".join(group.column("point").to_pylist()), "<i4").reshape(-1, GROUPS)
+        points = folded([np.frombuffer(p, np.uint8) for p in group.column("point").to_pylist()])
         x, y = tree_join(group.column("n").to_numpy(), points, percent)
         one = group.column("i")[0] == group.column("j")[0]
         ok = (label[x] != label[y]) & (one | (chunk[x] != chunk[y]))
@@ -250,7 +280,8 @@ def similar(docs: DataFrame, keep: list[str], text: str = "text", width: int = W
 
     Shingles have ``width`` words; sets are linked if 100 * intersection >= percent * union.
     A null text and one without words have an empty set, n_shingles 0 and a null label: they are linked with nothing.
-    Equal sets have one node. Repeated rows are linked with each other like copies. All rows are returned.
+    Equal sets have one node. Repeated rows are linked with each other like copies. All rows are returned; an empty table
+    gives an empty one. Columns outside ``keep`` play no part; ``keep`` must not hold the three new names or ``text_hash``.
     """
     source = docs.select(*keep, F.col(text).alias("_text"), F.xxhash64(text).alias("text_hash"))
     described = materialise(source.select("text_hash", "_text").mapInArrow(_described(width), "node bigint, text_hash bigint, n bigint, point binary").distinct())
@@ -259,18 +290,23 @@ def similar(docs: DataFrame, keep: list[str], text: str = "text", width: int = W
 
     def describe(asked: DataFrame) -> DataFrame:
         wanted = nodes.join(asked, "node").select("text_hash").distinct()
-        sets = source.join(wanted, "text_hash").select("_text").mapInArrow(_with_sets(width), "node bigint, shingles binary")
+        sets = source.join(wanted, "text_hash").select("_text").mapInArrow(_with_sets(width, percent), SETS)
         return materialise(sets.dropDuplicates(["node"]))
 
     def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         sides = [points.toDF(x, f"n{x}", f"p{x}") for x in "ab"]
         near = pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_near(percent), "a bigint, b bigint")
-        return near.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").mapInArrow(_linked(percent), "a bigint, b bigint")
+        full = [sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab"]
+        return near.join(full[0], "a").join(full[1], "b").mapInArrow(_linked(percent), "a bigint, b bigint")
 
     def pairs(dealt: DataFrame, sets: DataFrame) -> DataFrame:
         return dealt.join(points, "node").groupBy("cell", "i", "j").applyInArrow(_tree_pairs(percent), "a bigint, b bigint").distinct()
 
-    found = links_in_cells(source.select("_text").mapInArrow(_in_cells(width, percent), "cell bigint, node bigint"), describe, verify, pairs)
+    def allowance(sets: DataFrame) -> DataFrame:
+        return sets.select("node", F.inline("parts"))
+
+    entered = source.select("_text").mapInArrow(_in_cells(width, percent), "cell bigint, node bigint")
+    found = links_in_cells(entered, describe, verify, pairs, allowance)
     labels = components(found)
     label = F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label")
     named = described.join(labels, "node", "left").select("text_hash", "node", F.col("n").alias("n_shingles"), label)
@@ -284,8 +320,8 @@ def digest(docs: DataFrame) -> DataFrame:
     """
     joined = materialise(similar(docs, ["doc_id"]))
     smallest = joined.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
-    out = joined.join(smallest, "label", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    linked = joined.filter("label IS NOT NULL").join(smallest, "label").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    return linked.unionByName(joined.filter("label IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def sql() -> str:

@@ -160,15 +160,37 @@ def test_jaccard_join_against_all_pairs(spark, monkeypatch):
 
 
 def test_linked_sets_share_a_cell_and_pass_the_bound():
+    """Also when every set leaves out as many of its cells as it may, in an order that all sets share."""
     rng = np.random.default_rng(4)
+    tried = 0
     for _ in range(400):
         n = int(rng.integers(7, 300))
         a = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
         b = np.unique(np.concatenate([a[rng.random(len(a)) > 0.08], rng.integers(0, 1 << 62, int(n * 0.07), dtype=np.uint64)]))
         common = len(np.intersect1d(a, b))
         if 100 * common >= 85 * (len(a) + len(b) - common) and len(a) != common:
-            assert set(jaccard_join.cells(a).tolist()) & set(jaccard_join.cells(b).tolist())
-            assert jaccard_join.bounded(np.array([len(a)]), jaccard_join.point(a)[None], np.array([len(b)]), jaccard_join.point(b)[None])[0]
+            kept = []
+            for s in (a, b):
+                cells, parts = jaccard_join.cells(s)
+                kept.append(set())
+                for part, spare in parts:
+                    mine = sorted(cells[cells % np.uint64(256) == part].tolist(), key=lambda c: (c >> 8) % 1009)
+                    kept[-1] |= set(mine[spare:])
+            assert kept[0] & kept[1]
+            points = jaccard_join.folded([jaccard_join.point(a), jaccard_join.point(b)])
+            assert jaccard_join.bounded(len(a), points[0], len(b), points[1])
+            tried += 1
+    assert tried > 50
+
+
+def test_points_cut_and_folded_still_bound():
+    same = np.arange(0, 64 * 3000, 64, dtype=np.uint64)  # one group of every point up to 64 groups holds all
+    points = jaccard_join.folded([jaccard_join.point(same), jaccard_join.point(same[:2800])])
+    cut = min(3000 - points[0].sum(), 2800 - points[1].sum())
+    assert jaccard_join.bounded(3000, points[0], 2800, points[1], cut=cut)
+    sizes = np.full(40, 3000)
+    i, j = jaccard_join.tree_join(sizes, np.repeat(points[:1], 40, axis=0))
+    assert len(i) == 40 * 39 // 2
 
 
 def test_tree_join_loses_no_pair():
