@@ -14,6 +14,8 @@ from patronlens.session import materialise
 
 #: Nodes of a cell that are compared with each other in one group.
 CHUNK = 256
+#: What a group of a cell says of its pairs.
+PAIRS = "cell bigint, i int, j int, a bigint, b bigint"
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -103,19 +105,21 @@ def links_in_cells(
     rows: DataFrame,
     describe: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame, DataFrame], DataFrame],
-    pairs: Callable[[DataFrame, DataFrame], DataFrame],
+    pairs: Callable[[DataFrame, DataFrame, bool], DataFrame],
     allowance: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Links (a, b) that connect what the cells' true links connect.
 
     rows (cell, node): two nodes that are linked meet in a cell. ``describe`` gives what is to be compared for the nodes that
-    share a cell; ``verify`` keeps the linked ones of pairs (a, b), given that; ``pairs`` gives the pairs (a, b) worth
+    share a cell; ``verify`` keeps the linked ones of pairs (a, b), given that; ``pairs`` gives the pairs (cell, i, j, a, b) worth
     a trial in groups (cell, i, j) of nodes with label and chunk: those of different labels and, where i < j, of different chunks.
+    With ``forest`` it gives only as many of them as connect what all of them connect.
     ``allowance`` of what is described: see ``least_crowded``.
 
     First each node is tried with one node, the leader (smallest node) of most of its cells; then with the leaders that
-    this has not connected it with. Where a cell still holds nodes of several components, all its pairs between
-    different components are tried, in groups of at most 2 * CHUNK nodes. Pairs within a component are not needed: they
+    this has not connected it with. Where a cell still holds nodes of several components, pairs between
+    different components are tried in groups of at most 2 * CHUNK nodes: first a forest of those worth a trial, then, in
+    the groups that had any, all that the forest's links have not connected. Pairs within a component are not needed: they
     connect nothing new. So a large group of copies costs about one trial a copy, not all pairs.
     """
     shared = materialise(shared_cells(rows))
@@ -136,6 +140,60 @@ def links_in_cells(
     rest = labelled.filter("node <> leader").join(mixed.select("cell", "n"), "cell")
     rest = rest.withColumn("chunk", F.expr(f"CAST(pmod(xxhash64(node), CAST(ceil(n / {CHUNK}) AS BIGINT)) AS INT)")).withColumn("chunks", F.expr(f"CAST(ceil(n / {CHUNK}) AS INT)"))
     dealt = rest.select("cell", "node", "label", "chunk", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other"))
-    dealt = dealt.select("cell", "node", "label", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk")
-    last = materialise(verify(pairs(dealt, described), described).select("a", "b"))
-    return found.unionByName(last)
+    dealt = materialise(dealt.select("cell", "node", "label", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk"))
+    forest = materialise(pairs(dealt, described, True))
+    found = found.unionByName(materialise(verify(forest.select("a", "b").distinct(), described).select("a", "b")))
+    labels = components(found).withColumnRenamed("label", "after")
+    again = dealt.join(forest.select("cell", "i", "j").distinct(), ["cell", "i", "j"]).join(labels, "node", "left")
+    again = again.withColumn("label", F.coalesce("after", "label")).drop("after")
+    last = pairs(again, described, False).select("a", "b").distinct().join(forest.select("a", "b").distinct(), ["a", "b"], "left_anti")
+    return found.unionByName(materialise(verify(last, described).select("a", "b")))
+
+
+def forest_of(x: np.ndarray, y: np.ndarray, label: np.ndarray, start: int = 0) -> np.ndarray:
+    """Numbers of the pairs (x, y) that join two trees as they come; nodes of one label are one tree from the start.
+
+    ``label`` has the nodes from ``start`` on.
+    """
+    tree: dict[int, int] = {}
+
+    def root(of: int) -> int:
+        while of in tree:
+            of = tree[of]
+        return of
+
+    taken = []
+    for k, (a, b) in enumerate(zip(label[x - start].tolist(), label[y - start].tolist())):
+        a, b = root(a), root(b)
+        if a != b:
+            tree[max(a, b)] = min(a, b)
+            taken.append(k)
+    return np.array(taken, np.int64)
+
+
+def told(group: pa.Table, a: np.ndarray, b: np.ndarray) -> pa.Table:
+    """The pairs of a group, with the group's key."""
+    key = {c: pa.array([group.column(c)[0].as_py()] * len(a), group.schema.field(c).type) for c in ("cell", "i", "j")}
+    return pa.table({**key, "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], least: int = 1 << 13) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by (cell, i, j) as tables of whole groups, about ``least`` rows each, with the places where groups begin and the end."""
+
+    def bounds(table: pa.Table) -> np.ndarray:
+        keys = [table[c].to_numpy() for c in ("cell", "i", "j")]
+        fresh = np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0))
+        return np.append(np.flatnonzero(fresh), len(table))
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held += [batch] if batch.num_rows else []
+        if sum(b.num_rows for b in held) >= least:
+            table = pa.Table.from_batches(held)
+            at = bounds(table)
+            if len(at) > 2:  # the last group may go on
+                yield table.slice(0, int(at[-2])), at[:-1]
+                held = table.slice(int(at[-2])).to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, bounds(table)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from patronlens.llm import lm
 from patronlens.llm.common import UPPER, sliced
-from patronlens.llm.components import components, links_in_cells
+from patronlens.llm.components import PAIRS, components, forest_of, links_in_cells, told, whole_groups
 from patronlens.session import materialise
 
 WIDTH = 4
@@ -262,15 +262,22 @@ def _linked(percent: int):
     return run
 
 
-def _tree_pairs(percent: int):
-    def run(group: pa.Table) -> pa.Table:
+def _tree_pairs(percent: int, forest: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs of different components in a group of a cell that the tree over their points does not rule out."""
-        node, label, chunk = (group.column(c).to_numpy() for c in ("node", "label", "chunk"))
-        points = folded([np.frombuffer(p, np.uint8) for p in group.column("point").to_pylist()])
-        x, y = tree_join(group.column("n").to_numpy(), points, percent)
-        one = group.column("i")[0] == group.column("j")[0]
-        ok = (label[x] != label[y]) & (one | (chunk[x] != chunk[y]))
-        return pa.table({"a": np.minimum(node[x], node[y])[ok], "b": np.maximum(node[x], node[y])[ok]})
+        for table, bounds in whole_groups(batches):
+            node, label, chunk, size = (table[c].to_numpy() for c in ("node", "label", "chunk", "n"))
+            one = table["i"].to_numpy() == table["j"].to_numpy()
+            points = [np.frombuffer(p.as_buffer(), np.uint8) for p in table["point"]]
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                if (label[a:b] == label[a]).all():
+                    continue
+                x, y = (k + a for k in tree_join(size[a:b], folded(points[a:b]), percent))
+                ok = np.flatnonzero((label[x] != label[y]) & (one[a] | (chunk[x] != chunk[y])))
+                if forest:
+                    ok = ok[forest_of(x[ok], y[ok], label)]
+                if len(ok):
+                    yield from told(table.slice(a, 1), np.minimum(node[x], node[y])[ok], np.maximum(node[x], node[y])[ok]).to_batches()
 
     return run
 
@@ -299,8 +306,9 @@ def similar(docs: DataFrame, keep: list[str], text: str = "text", width: int = W
         full = [sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab"]
         return near.join(full[0], "a").join(full[1], "b").mapInArrow(_linked(percent), "a bigint, b bigint")
 
-    def pairs(dealt: DataFrame, sets: DataFrame) -> DataFrame:
-        return dealt.join(points, "node").groupBy("cell", "i", "j").applyInArrow(_tree_pairs(percent), "a bigint, b bigint").distinct()
+    def pairs(dealt: DataFrame, sets: DataFrame, forest: bool) -> DataFrame:
+        groups = dealt.join(points, "node").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+        return groups.select("cell", "i", "j", "node", "label", "chunk", "n", "point").mapInArrow(_tree_pairs(percent, forest), PAIRS)
 
     def allowance(sets: DataFrame) -> DataFrame:
         return sets.select("node", F.inline("parts"))

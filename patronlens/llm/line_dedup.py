@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from patronlens.llm import lm
 from patronlens.llm.common import sliced
-from patronlens.llm.components import components, links_in_cells
+from patronlens.llm.components import PAIRS, components, forest_of, links_in_cells, told, whole_groups
 from patronlens.session import materialise
 
 #: Edits (code points inserted, deleted or replaced) between linked lines.
@@ -210,29 +210,56 @@ def _verified(bands: Bands):
     return run
 
 
+def _may(lines: list[str], label: np.ndarray, chunk: np.ndarray, one: bool, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a group of a cell whose distance is worth a look.
+
+    They have different labels, and different chunks if the group has two. An edit changes a line's counts of letters by
+    two at most, so pairs whose counts differ by more are ruled out.
+    """
+    size = np.fromiter(map(len, lines), np.int32, len(lines))
+    letters = np.stack([np.bincount(np.frombuffer(x.encode("utf-32-le"), "<u4") % 61, minlength=61) for x in lines]).astype(np.int32)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for x in range(len(lines) - 1):
+        edits = edits_for(np.minimum(size[x + 1 :], size[x]), bands)
+        may = (np.abs(size[x + 1 :] - size[x]) <= edits) & (label[x + 1 :] != label[x]) & (one | (chunk[x + 1 :] != chunk[x]))
+        y = np.flatnonzero(may) + x + 1
+        y = y[np.abs(letters[y] - letters[x]).sum(axis=1) <= 2 * edits[y - x - 1]]
+        left.append(np.full(len(y), x))
+        right.append(y)
+    return np.concatenate(left), np.concatenate(right)
+
+
 def _near_pairs(bands: Bands):
-    def run(group: pa.Table) -> pa.Table:
-        """Linked pairs of different components in a group of a cell.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Linked pairs that connect, in each group of a cell, all its different components that are linked.
 
-        An edit changes a line's counts of letters by two at most, so pairs whose counts differ by more are ruled out
-        before their distance is looked at.
+        The distances of many groups' pairs are found side by side: first a forest of those worth a look, then what
+        its links have not connected.
         """
-        lines = group.column("line").to_pylist()
-        node, label, chunk = (group.column(c).to_numpy() for c in ("node", "label", "chunk"))
-        one = group.column("i")[0] == group.column("j")[0]
-        size = np.fromiter(map(len, lines), np.int32, len(lines))
-        letters = np.stack([np.bincount(np.frombuffer(x.encode("utf-32-le"), "<u4") % 61, minlength=61) for x in lines]).astype(np.int32)
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for x in range(len(lines) - 1):
-            edits = edits_for(np.minimum(size[x + 1 :], size[x]), bands)
-            may = (np.abs(size[x + 1 :] - size[x]) <= edits) & (label[x + 1 :] != label[x]) & (one | (chunk[x + 1 :] != chunk[x]))
-            y = np.flatnonzero(may) + x + 1
-            y = y[np.abs(letters[y] - letters[x]).sum(axis=1) <= 2 * edits[y - x - 1]]
-            left.append(np.full(len(y), x))
-            right.append(y)
-        x, y = np.concatenate(left), np.concatenate(right)
-        ok = linked([lines[i] for i in x.tolist()], [lines[i] for i in y.tolist()], bands)
-        return pa.table({"a": np.minimum(node[x], node[y])[ok], "b": np.maximum(node[x], node[y])[ok]})
+        for table, bounds in whole_groups(batches):
+            lines = table["line"].to_pylist()
+            node, chunk, i, j = (table[c].to_numpy() for c in ("node", "chunk", "i", "j"))
+            label = np.unique(table["label"].to_numpy(), return_inverse=True)[1]
+            groups = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+            found = []
+            for a, b in groups:
+                x, y = _may(lines[a:b], label[a:b], chunk[a:b], bool(i[a] == j[a]), bands)
+                found.append((x + a, y + a))
+            label = np.concatenate([np.unique(label[a:b], return_inverse=True)[1] + a for a, b in groups])  # apart in each group
+            for forest in (True, False):
+                tried = [k[forest_of(x[k], y[k], label)] if forest else k for x, y in found for k in [np.flatnonzero(label[x] != label[y])]]
+                pairs = [(x[k], y[k]) for (x, y), k in zip(found, tried)]
+                left, right = (np.concatenate(side) for side in zip(*pairs))
+                ok = linked([lines[k] for k in left.tolist()], [lines[k] for k in right.tolist()], bands)
+                ends = np.cumsum([0, *(len(x) for x, _ in pairs)])
+                for (a, b), (x, y), start, stop in zip(groups, pairs, ends[:-1], ends[1:]):
+                    x, y = x[ok[start:stop]], y[ok[start:stop]]
+                    if len(x):
+                        tree = forest_of(x, y, label[a:b], a)
+                        for k in tree.tolist():
+                            label[a:b][label[a:b] == label[y[k]]] = label[x[k]]
+                        x, y = x[tree], y[tree]
+                        yield from told(table.slice(a, 1), np.minimum(node[x], node[y]), np.maximum(node[x], node[y])).to_batches()
 
     return run
 
@@ -271,8 +298,9 @@ def line_links(lines: DataFrame, bands: Bands = ((LEAST, EDITS),)) -> DataFrame:
         both = pairs.join(described.toDF("a", "sa"), "a").join(described.toDF("b", "sb"), "b")
         return both.mapInArrow(_verified(bands), "a bigint, b bigint")
 
-    def pairs(dealt: DataFrame, described: DataFrame) -> DataFrame:
-        return dealt.join(described, "node").groupBy("cell", "i", "j").applyInArrow(_near_pairs(bands), "a bigint, b bigint").distinct()
+    def pairs(dealt: DataFrame, described: DataFrame, forest: bool) -> DataFrame:
+        groups = dealt.join(described, "node").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+        return groups.select("cell", "i", "j", "node", "label", "chunk", "line").mapInArrow(_near_pairs(bands), PAIRS)
 
     return links_in_cells(texts.mapInArrow(_in_cells(bands), "cell bigint, node bigint"), describe, verify, pairs)
 

@@ -227,3 +227,30 @@ def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 40)] + [(100, 101), (7, 7)], "a bigint, b bigint")
     got = {r.node: r.label for r in components.components(links).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_groups_come_whole_over_batches():
+    rng = np.random.default_rng(3)
+    keys = sorted(zip(rng.integers(0, 6, 200).tolist(), rng.integers(0, 2, 200).tolist(), rng.integers(2, 4, 200).tolist()))
+    table = pa.table({**{c: [k[n] for k in keys] for n, c in enumerate(("cell", "i", "j"))}, "row": list(range(200))})
+    for size, least in ((1, 5), (7, 1), (50, 30), (200, 1000)):
+        rows, groups = [], []
+        for part, bounds in components.whole_groups(iter(table.to_batches(max_chunksize=size)), least):
+            rows += part["row"].to_pylist()
+            groups += [{(part["cell"][k].as_py(), part["i"][k].as_py(), part["j"][k].as_py()) for k in range(a, b)} for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        assert rows == list(range(200)) and all(len(g) == 1 for g in groups)
+        assert len(groups) == len(set(keys)) == len({k for g in groups for k in g})
+
+
+def test_forest_connects_what_the_pairs_connect():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        label = rng.integers(0, 12, 30)
+        x, y = rng.integers(0, 30, 40) + 5, rng.integers(0, 30, 40) + 5
+        tree = components.forest_of(x, y, label, 5)
+        ends = [sorted({int(v) for v in label})] * 2
+
+        def joined(pairs):
+            return closed(ends[0], lambda a, b: any({a, b} == {int(label[p - 5]), int(label[q - 5])} for p, q in pairs))
+
+        assert joined(list(zip(x, y))) == joined(list(zip(x[tree], y[tree]))) and len(tree) < len(ends[0])
