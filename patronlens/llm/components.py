@@ -119,7 +119,7 @@ def links_in_cells(
     First each node is tried with one node, the leader (smallest node) of most of its cells; then with the leaders that
     this has not connected it with. Where a cell still holds nodes of several components, pairs between
     different components are tried in groups of at most 2 * CHUNK nodes: first a forest of those worth a trial, then, in
-    the groups that had any, all that the forest's links have not connected. Pairs within a component are not needed: they
+    the groups where not all of them were links, all that is not connected by then. Pairs within a component are not needed: they
     connect nothing new. So a large group of copies costs about one trial a copy, not all pairs.
     """
     shared = materialise(shared_cells(rows))
@@ -143,8 +143,11 @@ def links_in_cells(
     dealt = materialise(dealt.select("cell", "node", "label", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk"))
     forest = materialise(pairs(dealt, described, True))
     found = found.unionByName(materialise(verify(forest.select("a", "b").distinct(), described).select("a", "b")))
-    labels = components(found).withColumnRenamed("label", "after")
-    again = dealt.join(forest.select("cell", "i", "j").distinct(), ["cell", "i", "j"]).join(labels, "node", "left")
+    labels = materialise(components(found).withColumnRenamed("label", "after"))
+    ends = [labels.select(F.col("node").alias(x), F.col("after").alias(f"label_{x}")) for x in "ab"]
+    # where the whole forest is connected now, so is all that it stands for
+    open_groups = forest.join(ends[0], "a", "left").join(ends[1], "b", "left").filter("coalesce(label_a, a) <> coalesce(label_b, b)").select("cell", "i", "j").distinct()
+    again = dealt.join(open_groups, ["cell", "i", "j"]).join(labels, "node", "left")
     again = again.withColumn("label", F.coalesce("after", "label")).drop("after")
     last = pairs(again, described, False).select("a", "b").distinct().join(forest.select("a", "b").distinct(), ["a", "b"], "left_anti")
     return found.unionByName(materialise(verify(last, described).select("a", "b")))
