@@ -1,4 +1,4 @@
-"""Arrow UDFs for p-values and quantiles; they run on one row per test; only ``normal_score`` runs on data rows, a batch at a time."""
+"""Arrow UDFs for p-values and quantiles; they run on one row per test; only ``score_sums`` runs on data rows, a batch at a time."""
 
 from __future__ import annotations
 
@@ -38,9 +38,10 @@ def t_quantile(p: pd.Series, df: pd.Series) -> pd.Series:
     return _apply(lambda q, d: special.t_quantile(q, d) if d > 0 else np.nan, p, df)
 
 
-@F.pandas_udf(T.DoubleType())
-def normal_score(p: pd.Series) -> pd.Series:
-    return pd.Series(special.normal_ppf(p.to_numpy(dtype=float)))
+@F.pandas_udf(T.StructType().add("once", "double").add("square", "double"))
+def score_sums(before: pd.Series, count: pd.Series, n: pd.Series) -> pd.DataFrame:
+    once, square = special.normal_score_sums(before.to_numpy(), count.to_numpy(), n.to_numpy())
+    return pd.DataFrame({"once": once, "square": square})
 
 
 @F.pandas_udf(T.StructType().add("statistic", "double").add("p_value", "double"))

@@ -7,12 +7,11 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import probability as P
 from ..functions.columns import ratio
-from ..operators.ordering import with_row_number
+from ..operators.ordering import carried_totals, segmented_totals, with_row_number
 from ..operators.quantiles import group_quantiles
 from ..session import materialise
 
@@ -52,26 +51,24 @@ def moment_normality(df: DataFrame, group: str, value: str) -> DataFrame:
 def shapiro_normality(df: DataFrame, group: str, value: str) -> DataFrame:
     """Shapiro-Wilk W and p for each group, the same test for every size.
 
-    Values are numbered in one range-split order; the normal scores of their positions enter sums, and W comes from the
-    sums and the two outermost values at either end. The published p was fitted for up to 5000 values; it is an
+    The test runs over counted values: equal values are one row, which stands for a run of positions and takes the sum of
+    the run's normal scores at once. So neither a large group nor a value that most rows share meets in one task. W comes
+    from the sums and the two outermost values at either end. The published p was fitted for up to 5000 values; it is an
     extrapolation beyond. Fewer than three or only equal values give NULL.
     """
-    data = _present(df, group, value)
-    numbered = with_row_number(data, [F.col(group).asc(), F.col(value).asc()], "_row")
-    sizes = numbered.groupBy(F.col(group).alias("_g")).agg(
-        (F.min("_row") - 1).alias("_start"), F.count("_row").alias("_n"), F.avg(value).alias("_mean")
-    )
-    placed = numbered.join(sizes, F.col(group) == F.col("_g")).select(
-        group, "_n", (F.col("_row") - F.col("_start")).alias("_i"), (F.col(value) - F.col("_mean")).alias("_x")
-    )
-    scored = placed.withColumn("_m", P.normal_score((F.col("_i") - 0.375) / (F.col("_n") + 0.25)))
-    at = lambda i: F.coalesce(F.max(F.when(F.col("_i") == i, F.col("_x"))), F.lit(0.0))
-    sums = scored.groupBy(group).agg(
-        F.count("_x").cast("double").alias("n"), F.sum(F.col("_m") * F.col("_m")).alias("mm"), F.sum(F.col("_m") * F.col("_x")).alias("mx"),
-        F.sum(F.col("_x") * F.col("_x")).alias("xx"), at(F.lit(1)).alias("low"), at(F.lit(2)).alias("low2"),
-        at(F.col("_n") - 1).alias("high2"), at(F.col("_n")).alias("high"), F.min("_x").alias("_least"), F.max("_x").alias("_most"),
-    )
-    tested = sums.withColumn("_t", P.shapiro(F.struct("n", "mm", "mx", F.when(F.col("_most") > F.col("_least"), F.col("xx")).otherwise(0.0).alias("xx"), "low", "low2", "high2", "high")))
+    counted = _present(df, group, value).groupBy(group, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    placed = segmented_totals(counted, group, [F.col("_v").asc()], {"_before": "_c"})
+    sizes = placed.groupBy(F.col(group).alias("_g")).agg(F.sum("_c").alias("_n"), (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("_mean"))
+    sizes = materialise(sizes.withColumn("_mm", P.score_sums(F.lit(0).cast("long"), "_n", "_n")["square"]))
+    runs = placed.join(sizes, F.col(group) == F.col("_g")).withColumn("_x", F.col("_v") - F.col("_mean"))
+    runs = runs.withColumn("_m", P.score_sums("_before", "_c", "_n")["once"])
+    at = lambda i: F.coalesce(F.max(F.when((F.col("_before") < i) & (i <= F.col("_before") + F.col("_c")), F.col("_x"))), F.lit(0.0))
+    sums = runs.groupBy(group).agg(
+        F.max("_n").cast("double").alias("n"), F.max("_mm").alias("mm"), F.sum(F.col("_m") * F.col("_x")).alias("mx"),
+        F.sum(F.col("_x") * F.col("_x") * F.col("_c")).alias("xx"), at(F.lit(1)).alias("low"), at(F.lit(2)).alias("low2"),
+        at(F.col("_n") - 1).alias("high2"), at(F.col("_n")).alias("high"), F.count("_x").alias("_values"),
+    )
+    tested = sums.withColumn("_t", P.shapiro(F.struct("n", "mm", "mx", F.when(F.col("_values") > 1, F.col("xx")).otherwise(0.0).alias("xx"), "low", "low2", "high2", "high")))
     return tested.select(group, F.nanvl("_t.statistic", F.lit(None)).alias("statistic"), F.nanvl("_t.p_value", F.lit(None)).alias("p_value"), F.lit("shapiro").alias("method"))
 
 
@@ -134,10 +131,7 @@ def _pair_sums(data: DataFrame, group: str, value: str, keys: Sequence) -> DataF
     counts = data.join(F.broadcast(numbers), group).groupBy(F.col(value).alias("_v"), "_g").agg(F.count(F.lit(1)).alias("_n"))
     ranged = materialise(counts.repartitionByRange("_v").withColumn("_range", F.spark_partition_id()))
     per_range = ranged.groupBy("_range", "_g").agg(F.sum("_n").alias("_n"))
-    before = W.partitionBy("_g").orderBy("_range").rowsBetween(W.unboundedPreceding, W.currentRow)  # a row for each range
-    reached = per_range.select("_range", "_g", F.sum("_n").over(before).alias("_upto"))
-    ranges = spark.createDataFrame([(r[0],) for r in ranged.select("_range").distinct().collect()], "_range int")
-    starts = ranges.join(reached.withColumnRenamed("_range", "_r"), F.col("_r") < F.col("_range")).groupBy("_range", "_g").agg(F.max("_upto").alias("_n"))
+    starts = carried_totals(per_range, "_g", "_n", 1 + (ranged.agg(F.max("_range")).first()[0] or 0)).where("_n > 0")
     rows = ranged.select("_range", "_v", "_g", "_n").unionByName(starts.select("_range", F.lit(None).cast("double").alias("_v"), "_g", "_n"))
     size = len(keys)
 

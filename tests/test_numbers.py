@@ -228,3 +228,42 @@ def test_codes_of_more_levels_than_a_literal_holds(spark):
     got = {r.id: r.x for r in encoding.label_encode(df, ["x"]).collect()}
     order = sorted(range(12_000), key=str)
     assert got == {i: k for k, i in enumerate(order)}
+
+
+def test_score_sums_of_runs_equal_single_scores():
+    rng = np.random.default_rng(0)
+    for n in (1, 3, 130, 1000, 20_000):
+        z = special.normal_ppf((np.arange(1, n + 1) - 0.375) / (n + 0.25))
+        cuts = np.unique(np.concatenate([[0, n], rng.integers(0, n + 1, 5)]))
+        once, square = special.normal_score_sums(cuts[:-1], np.diff(cuts), np.full(len(cuts) - 1, n))
+        assert once == pytest.approx(np.add.reduceat(z, cuts[:-1]), abs=1e-10)
+        assert square == pytest.approx(np.add.reduceat(z * z, cuts[:-1]), abs=1e-10)
+    once, square = special.normal_score_sums([0], [10**12], [10**12])  # as many equal values as there are rows
+    assert once[0] == pytest.approx(0, abs=1e-3) and square[0] == pytest.approx(10**12, rel=1e-9)
+
+
+def test_shapiro_of_counted_values(spark):
+    rng = np.random.default_rng(7)
+    x = np.round(rng.normal(size=3000), 1)
+    w, p = special.shapiro_wilk(x)
+    got = abtest.shapiro_normality(spark.createDataFrame([("x", float(v)) for v in x], "g string, v double"), "g", "v").first()
+    assert got.statistic == pytest.approx(w, rel=1e-9) and got.p_value == pytest.approx(p, rel=1e-6, abs=1e-12)
+
+
+def test_segmented_totals_over_many_ranges(spark):
+    rng = np.random.default_rng(1)
+    rows = [("big", int(k), int(rng.integers(1, 9))) for k in rng.permutation(4000)] + [("small", 5, 2), ("small", 1, 3), (None, 1, 1)]
+    df = spark.createDataFrame(rows, "s string, k int, n int").repartition(7)
+    want, so_far = {}, {}
+    for s, k, n in sorted(rows, key=lambda r: (r[0] or "", r[1])):
+        want[s, k] = so_far.get(s, 0)
+        so_far[s] = want[s, k] + n
+    got = ordering.segmented_totals(df, "s", [ordering.F.col("k")], {"before": "n"})
+    assert {(r.s, r.k): r.before for r in got.collect() if r.s} == {k: v for k, v in want.items() if k[0]}
+    assert got.columns == ["s", "k", "n", "before"] and got.count() == len(rows)
+
+
+def test_carried_totals_have_a_row_for_each_range_and_segment(spark):
+    per = spark.createDataFrame([(0, "a", 5), (2, "a", 1), (1, "b", 7)], "_range int, s string, n long")
+    got = {(r._range, r.s): r.n for r in ordering.carried_totals(per, "s", "n", 4).collect()}
+    assert got == {(0, "a"): 0, (1, "a"): 5, (2, "a"): 5, (3, "a"): 6, (0, "b"): 0, (1, "b"): 0, (2, "b"): 7, (3, "b"): 7}
