@@ -226,9 +226,11 @@ def i19(spark, d):
 
 
 def _passenger_split(spark, d):
-    ready = materialise(_passengers(spark, d).na.fill(0))
-    features = models.feature_names(ready, ["SURVIVED", "PASSENGERID"])
-    return (*models.holdout(ready, "PASSENGERID", 0.30), features)
+    """Train and test rows, both prepared by what was learned on the train rows alone."""
+    train, test = models.holdout(derive(spark, d, PASSENGERS), "PassengerId", 0.30)
+    recipe = recipes.passenger_recipe(train)
+    ready = materialise(recipe.train.na.fill(0))
+    return ready, recipe(test).na.fill(0), models.feature_names(ready, ["SURVIVED", "PASSENGERID"])
 
 
 def _house_split(spark, d):
@@ -246,26 +248,28 @@ def o01(spark, d):
     return train.agg(F.count(F.lit(1)).alias("n_train")).crossJoin(test.agg(F.count(F.lit(1)).alias("n_test"))).crossJoin(shared)
 
 
-@query("o02_decision_tree", "class:double, precision:double, recall:double, f1:double, support:long, accuracy:double")
+@query("o02_decision_tree", "class:double, precision:double, recall:double, f1:double, support:long, accuracy:double, auc:double")
 def o02(spark, d):
-    ready = materialise(_patients(spark, d).na.fill(0))
-    train, test = models.holdout(ready, "Id", 0.30)
-    model = models.decision_tree("Outcome", models.feature_names(ready, ["Outcome", "Id"]), max_depth=10).fit(train)
-    return models.classification_report(model.transform(test), "Outcome")
+    train, test = models.holdout(derive(spark, d, PATIENTS), "Id", 0.30)
+    recipe = recipes.patient_recipe(train, key="Id")
+    ready = materialise(recipe.train.na.fill(0))
+    model = models.decision_tree("Outcome", models.feature_names(ready, ["Outcome", "Id"])).fit(ready)
+    scored = materialise_scores(model.transform(recipe(test).na.fill(0)), "Outcome")
+    return models.classification_report(scored, "Outcome").withColumn("auc", F.lit(models.roc_auc(scored, "Outcome", "score")))
 
 
 @query("o03_random_forest", "class:double, precision:double, recall:double, f1:double, support:long, accuracy:double, auc:double")
 def o03(spark, d):
     train, test, features = _passenger_split(spark, d)
-    scored = materialise_scores(models.random_forest("SURVIVED", features, trees=20, max_depth=6).fit(train).transform(test))
+    scored = materialise_scores(models.random_forest("SURVIVED", features).fit(train).transform(test))
     return models.classification_report(scored, "SURVIVED").withColumn("auc", F.lit(models.roc_auc(scored, "SURVIVED", "score")))
 
 
-def materialise_scores(predicted):
+def materialise_scores(predicted, label="SURVIVED"):
     """Keep label, prediction and the probability of class 1; read by several measures."""
     from pyspark.ml.functions import vector_to_array
 
-    return materialise(predicted.select("SURVIVED", "prediction", vector_to_array("probability")[1].alias("score")))
+    return materialise(predicted.select(label, "prediction", vector_to_array("probability")[1].alias("score")))
 
 
 @query("o04_boosted_trees", "n:long, rmse:double")
@@ -278,7 +282,7 @@ def o04(spark, d):
 def o05(spark, d):
     train, _, features = _passenger_split(spark, d)
     pipeline = models.random_forest("SURVIVED", features, trees=10, max_depth=5)
-    found = models.grid_search(pipeline, {"maxDepth": [3, 5], "minInstancesPerNode": [1, 8]}, materialise(train), "SURVIVED", "accuracy", folds=3)
+    found = models.grid_search(pipeline, {"maxDepth": [3, 5], "minInstancesPerNode": [1, 8]}, train, "SURVIVED", "accuracy", folds=3)
     return models.search_table(spark, found)
 
 
@@ -317,7 +321,7 @@ def o07(spark, d):
 @query("o08_feature_importance", "feature:str, importance:double")
 def o08(spark, d):
     train, _, features = _passenger_split(spark, d)
-    model = models.random_forest("SURVIVED", features, trees=20, max_depth=6).fit(train)
+    model = models.random_forest("SURVIVED", features).fit(train)
     return models.importance(spark, model, features)
 
 

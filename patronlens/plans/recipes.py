@@ -1,61 +1,127 @@
 """Feature recipes: every step is learned on training rows and can be applied to any rows.
 
-What a step learns (levels, limits, means) is a few numbers per column and is put
-into the plan as literals, so applying a recipe is one projection over the data.
+What a step learns (levels, limits, means) is a few numbers per column. A recipe is the list of its steps, each a name and
+learned values, so it can be saved, loaded elsewhere and applied: one chain of projections over the data, without a join.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import encoding, impute, outliers, profile
 from ..operators.binning import cut
 from ..operators.quantiles import exact_quantiles, group_quantiles
-from ..session import materialise
 
-Step = Callable[[DataFrame], DataFrame]
+#: What a step does with its learned values: name -> (rows, values) -> rows.
+APPLY: dict[str, Callable[[DataFrame, dict], DataFrame]] = {}
+
+
+def step(apply: Callable[[DataFrame, dict], DataFrame]) -> Callable[[DataFrame, dict], DataFrame]:
+    APPLY[apply.__name__] = apply
+    return apply
+
+
+def _capped(c: str, up: float) -> Column:
+    return F.when(F.col(c) > up, F.lit(up)).otherwise(F.col(c).cast("double"))
+
+
+def _chosen(text: Column, made: dict) -> Column:
+    """The value that ``text`` is mapped to; NULL for a text that is not known."""
+    return F.create_map(*[F.lit(x) for pair in made.items() for x in pair])[text] if made else F.lit(None)
+
+
+@step
+def cap(df: DataFrame, limits: dict) -> DataFrame:
+    return df.withColumns({c: _capped(c, up) for c, up in limits.items()})
+
+
+@step
+def fill(df: DataFrame, values: dict) -> DataFrame:
+    return df.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in values.items()})
+
+
+@step
+def fill_by_group(df: DataFrame, learned: dict) -> DataFrame:
+    c = learned["column"]
+    return df.withColumn(c, F.coalesce(F.col(c).cast("double"), _chosen(F.col(learned["group"]), learned["values"])))
+
+
+@step
+def label_codes(df: DataFrame, codes: dict) -> DataFrame:
+    """Position among the sorted levels; unseen and missing give NULL."""
+    return df.withColumns({c: _chosen(F.col(c).cast("string"), {v: i for i, v in enumerate(levels)}) for c, levels in codes.items() if levels})
+
+
+@step
+def rare(df: DataFrame, common: dict) -> DataFrame:
+    return encoding.rare_encode(df, list(common), 0.0, common)
+
+
+@step
+def one_hot(df: DataFrame, learned: dict) -> DataFrame:
+    return encoding.one_hot(df, list(learned["levels"]), learned["levels"], learned["drop_first"])
+
+
+@step
+def minmax(df: DataFrame, limits: dict) -> DataFrame:
+    made = {c: (F.col(c) - F.lit(lo)) / F.lit(hi - lo) if hi > lo else F.when(F.col(c).isNotNull(), 0.0) for c, (lo, hi) in limits.items()}
+    return df.withColumns(made)
+
+
+@step
+def zero_to_null(df: DataFrame, learned: dict) -> DataFrame:
+    return df.withColumns({c: F.nullif(F.col(c).cast("double"), F.lit(0.0)) for c in learned["columns"]})
+
+
+@step
+def dropped(df: DataFrame, learned: dict) -> DataFrame:
+    return df.drop(*learned["columns"])
+
+
+@step
+def complete_rows(df: DataFrame, learned: dict) -> DataFrame:
+    return df.na.drop("any")
 
 
 class Recipe:
-    """Steps in order; ``train`` is the training table as the steps so far leave it."""
+    """Steps in order; ``train`` is the training table as the steps so far leave it, and all that they learn from."""
 
-    def __init__(self, train: DataFrame):
+    def __init__(self, train: DataFrame | None = None, steps: Sequence[tuple[str, dict]] = ()):
         self.train = train
-        self.steps: list[Step] = []
+        self.steps: list[tuple[str, dict]] = list(steps)
 
-    def add(self, step: Step) -> "Recipe":
-        self.steps.append(step)
-        self.train = step(self.train)
-        return self
-
-    def settle(self) -> "Recipe":
-        """Write the training table once, before several steps learn from it."""
-        self.train = materialise(self.train)
+    def add(self, name: str, learned: dict | None = None) -> "Recipe":
+        """A step of ``APPLY`` with what it has learned."""
+        self.steps.append((name, learned or {}))
+        self.train = APPLY[name](self.train, learned or {})
         return self
 
     def __call__(self, df: DataFrame) -> DataFrame:
-        for step in self.steps:
-            df = step(df)
+        for name, learned in self.steps:
+            df = APPLY[name](df, learned)
         return df
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One line of text in a folder that Spark writes, so any shared storage will do."""
+        spark.createDataFrame([(json.dumps(self.steps),)], "value string").coalesce(1).write.text(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "Recipe":
+        return Recipe(steps=[(name, learned) for name, learned in json.loads(spark.read.text(path).first()[0])])
+
     # --- learned steps ---------------------------------------------------------------------------
 
     def cap(self, cols: Sequence[str]) -> "Recipe":
         limits = {r.column_name: r.up_limit for r in outliers.outlier_limits(self.train, cols).collect()} if cols else {}
-        made = {
-            c: F.when(F.col(c) > up, F.lit(up)).otherwise(F.col(c).cast("double"))
-            for c, up in limits.items()
-            if up is not None
-        }
-        return self.add(lambda df: df.withColumns(made)) if made else self
+        return self.add("cap", {c: up for c, up in limits.items() if up is not None})
 
     def fill(self, values: dict[str, float | str | None]) -> "Recipe":
-        known = {c: v for c, v in values.items() if v is not None}
-        return self.add(lambda df: df.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in known.items()})) if known else self
+        return self.add("fill", {c: v for c, v in values.items() if v is not None})
 
     def fill_means(self, cols: Sequence[str]) -> "Recipe":
         row = self.train.agg(*[F.avg(c).alias(c) for c in cols]).first()
@@ -67,6 +133,12 @@ class Recipe:
         medians = {r.column_name: r.q[0] for r in exact_quantiles(self.train, cols, [0.5]).collect()}
         return self.fill(medians)
 
+    def fill_group_medians(self, column: str, group: str) -> "Recipe":
+        """The median of each group of the training rows; a group without one leaves its rows as they are."""
+        named = self.train.where(F.col(group).isNotNull())
+        medians = group_quantiles(named, [group], column, {"_median": 0.5}).where("_median IS NOT NULL")
+        return self.add("fill_by_group", {"column": column, "group": group, "values": {r[group]: r["_median"] for r in medians.collect()}})
+
     def fill_modes(self, cols: Sequence[str]) -> "Recipe":
         if not cols:
             return self
@@ -74,18 +146,14 @@ class Recipe:
         return self.fill({c: row[f"mode_{c}"] for c in cols})
 
     def label_encode(self, cols: Sequence[str]) -> "Recipe":
-        if not cols:
-            return self
-        codes = encoding.level_codes(self.train, cols)
-        return self.add(lambda df: encoding.label_encode(df, cols, codes))
+        """For columns of few levels; `encoding.label_encode` joins the codes of many."""
+        return self.add("label_codes", encoding.category_levels(self.train, cols)) if cols else self
 
     def rare_encode(self, cols: Sequence[str], ratio: float = 0.01) -> "Recipe":
-        common = encoding.common_levels(self.train, cols, ratio)
-        return self.add(lambda df: encoding.rare_encode(df, cols, ratio, common)) if cols else self
+        return self.add("rare", encoding.common_levels(self.train, cols, ratio)) if cols else self
 
     def one_hot(self, cols: Sequence[str], drop_first: bool = False) -> "Recipe":
-        levels = encoding.category_levels(self.train, cols)
-        return self.add(lambda df: encoding.one_hot(df, cols, levels, drop_first)) if cols else self
+        return self.add("one_hot", {"levels": encoding.category_levels(self.train, cols), "drop_first": drop_first}) if cols else self
 
     def minmax(self, cols: Sequence[str]) -> "Recipe":
         if not cols:
@@ -93,13 +161,7 @@ class Recipe:
         row = self.train.agg(
             *[F.min(c).cast("double").alias(f"lo_{c}") for c in cols], *[F.max(c).cast("double").alias(f"hi_{c}") for c in cols]
         ).first()
-        made = {}
-        for c in cols:
-            lo, hi = row[f"lo_{c}"], row[f"hi_{c}"]
-            if lo is not None:
-                span = hi - lo
-                made[c] = (F.col(c) - F.lit(lo)) / F.lit(span) if span else F.when(F.col(c).isNotNull(), 0.0)
-        return self.add(lambda df: df.withColumns(made))
+        return self.add("minmax", {c: (row[f"lo_{c}"], row[f"hi_{c}"]) for c in cols if row[f"lo_{c}"] is not None})
 
 
 def upper_names(df: DataFrame) -> DataFrame:
@@ -136,27 +198,24 @@ def passenger_columns(df: DataFrame) -> DataFrame:
     return upper_names(made.drop("Ticket", "Name", "Cabin"))
 
 
+@step
+def passenger_text(df: DataFrame, learned: dict) -> DataFrame:
+    return passenger_columns(df)
+
+
+@step
+def passenger_ages(df: DataFrame, learned: dict) -> DataFrame:
+    age = F.col("AGE")
+    return df.withColumns({"NEW_AGE_PCLASS": age * F.col("PCLASS"), "NEW_AGE_CAT": age_band(age), "NEW_SEX_CAT": sex_band(F.col("SEX"), age)})
+
+
 def passenger_recipe(train: DataFrame, target: str = "SURVIVED", key: str = "PASSENGERID") -> Recipe:
-    recipe = Recipe(train).add(passenger_columns).settle()
-    titled = recipe.train.where(F.col("NEW_TITLE").isNotNull())
-    medians = group_quantiles(titled, ["NEW_TITLE"], "AGE", {"_median": 0.5})
-
-    def ages(df: DataFrame) -> DataFrame:
-        filled = df.join(medians, "NEW_TITLE", "left").withColumn("AGE", F.coalesce(F.col("AGE").cast("double"), "_median"))
-        return filled.drop("_median").withColumns(
-            {
-                "NEW_AGE_PCLASS": F.col("AGE") * F.col("PCLASS"),
-                "NEW_AGE_CAT": age_band(F.col("AGE")),
-                "NEW_SEX_CAT": sex_band(F.col("SEX"), F.col("AGE")),
-            }
-        )
-
-    recipe.add(ages).settle()
+    recipe = Recipe(train).add("passenger_text").fill_group_medians("AGE", "NEW_TITLE").add("passenger_ages")
     recipe.fill_modes(profile.columns_by_levels(recipe.train, 1, 10, "text"))
     numbers = profile.columns_by_levels(recipe.train, 21, None, "numeric")
-    recipe.cap([c for c in numbers if c != key]).settle()
+    recipe.cap([c for c in numbers if c != key])
     recipe.label_encode(profile.columns_by_levels(recipe.train, 2, 2, "text"))
-    recipe.rare_encode(profile.text_columns(recipe.train), 0.01).settle()
+    recipe.rare_encode(profile.text_columns(recipe.train), 0.01)
     recipe.one_hot([c for c in profile.columns_by_levels(recipe.train, 3, 10) if c not in (target, key)])
     return recipe
 
@@ -182,17 +241,19 @@ def patient_bands(df: DataFrame) -> DataFrame:
     )
 
 
+@step
+def patient_groups(df: DataFrame, learned: dict) -> DataFrame:
+    return patient_bands(df)
+
+
 def patient_recipe(train: DataFrame, target: str = "Outcome", key: str | None = None) -> Recipe:
     kept = (target, key)
-    recipe = Recipe(train).add(lambda df: df.withColumns({c: F.nullif(F.col(c).cast("double"), F.lit(0.0)) for c in ZERO_IS_MISSING}))
-    recipe.settle()
-    recipe.fill_means(["Glucose", "BloodPressure"]).fill_medians(["SkinThickness", "Insulin", "BMI"]).settle()
-    recipe.cap([c for c in recipe.train.columns if c not in kept])
-    recipe.add(patient_bands).settle()
+    recipe = Recipe(train).add("zero_to_null", {"columns": ZERO_IS_MISSING})
+    recipe.fill_means(["Glucose", "BloodPressure"]).fill_medians(["SkinThickness", "Insulin", "BMI"])
+    recipe.cap([c for c in recipe.train.columns if c not in kept]).add("patient_groups")
     recipe.label_encode(profile.text_columns(recipe.train))
     recipe.one_hot([c for c in profile.columns_by_levels(recipe.train, 3, 10) if c not in kept])
-    recipe.settle().minmax([c for c in recipe.train.columns if c not in kept])
-    return recipe
+    return recipe.minmax([c for c in recipe.train.columns if c not in kept])
 
 
 # --- players -------------------------------------------------------------------------------------
@@ -233,20 +294,30 @@ def performance_band(years: Column, general: Column, mean_years: Column, mean_ge
     )
 
 
+@step
+def player_sums(df: DataFrame, learned: dict) -> DataFrame:
+    return player_columns(df)
+
+
+@step
+def player_performance(df: DataFrame, means: dict) -> DataFrame:
+    band = performance_band(F.col("Years"), F.col("General Performance"), F.lit(means["years"]), F.lit(means["general"]))
+    return upper_names(df.withColumn("PERFORMANCE", band))
+
+
 def player_recipe(train: DataFrame, target: str = "SALARY", key: str | None = None) -> Recipe:
-    recipe = Recipe(train).add(player_columns).settle()
-    means = recipe.train.agg(F.avg("Years").alias("y"), F.avg("General Performance").alias("g")).first()
-    band = performance_band(F.col("Years"), F.col("General Performance"), F.lit(means.y), F.lit(means.g))
-    recipe.add(lambda df: upper_names(df.withColumn("PERFORMANCE", band))).settle()
+    recipe = Recipe(train).add("player_sums")
+    means = recipe.train.agg(F.avg("Years").alias("years"), F.avg("General Performance").alias("general")).first()
+    recipe.add("player_performance", means.asDict())
     text = profile.text_columns(recipe.train)
     distinct = profile.distinct_up_to(recipe.train, text, 2)
-    recipe.label_encode([c for c in text if distinct[c] == 2]).settle()
+    recipe.label_encode([c for c in text if distinct[c] == 2])
     kept = {target, key}
-    recipe.one_hot([c for c in profile.columns_by_levels(recipe.train, 3, 10) if c not in kept]).settle()
+    recipe.one_hot([c for c in profile.columns_by_levels(recipe.train, 3, 10) if c not in kept])
     numbers = profile.numeric_columns(recipe.train)
     distinct = profile.distinct_up_to(recipe.train, numbers, 20)
     recipe.minmax([c for c in numbers if distinct[c] is None and c not in kept])
-    return recipe.add(lambda df: df.na.drop("any"))
+    return recipe.add("complete_rows")
 
 
 # --- houses --------------------------------------------------------------------------------------
@@ -284,24 +355,24 @@ def house_columns(df: DataFrame) -> DataFrame:
     return df.na.fill("0", [name for name in ABSENT_MEANS_NONE if name in df.columns])
 
 
+@step
+def house_sums(df: DataFrame, thirds: dict) -> DataFrame:
+    names = {"1stFlrSF": "1stFlrSF_cat", "GrLivArea": "GrLivArea_cat", "YearBuilt": "Yearbuilt_cat"}
+    bands = {names[src]: cut(F.col(src).cast("double"), [float("-inf"), *edges, float("inf")], [1, 2, 3]) for src, edges in thirds.items()}
+    return house_columns(df.withColumns(bands))
+
+
 def house_recipe(houses: DataFrame, target: str = "SalePrice", key: str = "Id", car_th: int = 20) -> Recipe:
     """Learned on all houses, with and without a price; the price itself is never used."""
-    recipe = Recipe(houses).settle()
-    thirds = {
-        r.column_name: r.q
-        for r in exact_quantiles(recipe.train, ["1stFlrSF", "GrLivArea", "YearBuilt"], [1 / 3, 2 / 3]).collect()
-    }
-    names = {"1stFlrSF": "1stFlrSF_cat", "GrLivArea": "GrLivArea_cat", "YearBuilt": "Yearbuilt_cat"}
-    bands = {
-        new: cut(F.col(src).cast("double"), [float("-inf"), *thirds[src], float("inf")], [1, 2, 3]) for src, new in names.items()
-    }
-    recipe.add(lambda df: house_columns(df.withColumns(bands))).settle()
+    recipe = Recipe(houses)
+    sources = ["1stFlrSF", "GrLivArea", "YearBuilt"]
+    recipe.add("house_sums", {r.column_name: list(r.q) for r in exact_quantiles(houses, sources, [1 / 3, 2 / 3]).collect()})
     roles = profile.column_roles(recipe.train, car_th=car_th)
     recipe.rare_encode(profile.text_columns(recipe.train), 0.01)
-    dropped = [c for c in NEARLY_CONSTANT if c in recipe.train.columns]
-    recipe.add(lambda df: df.drop(*dropped)).settle()
-    coded = [c for c in roles.categorical + roles.cardinal if c not in {*dropped, *KEPT_AS_NUMBERS, target, key}]
-    recipe.one_hot(coded, drop_first=True).settle()
+    gone = [c for c in NEARLY_CONSTANT if c in recipe.train.columns]
+    recipe.add("dropped", {"columns": gone})
+    coded = [c for c in roles.categorical + roles.cardinal if c not in {*gone, *KEPT_AS_NUMBERS, target, key}]
+    recipe.one_hot(coded, drop_first=True)
     numbers = [c for c in profile.numeric_columns(recipe.train) if c != target]
     recipe.fill_medians(profile.missing_columns(recipe.train, numbers))
     return recipe.cap([c for c in roles.numeric if c not in (target, key)])
