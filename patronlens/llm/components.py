@@ -119,7 +119,7 @@ def links_in_cells(
     First each node is tried with one node, the leader (smallest node) of most of its cells; then with the leaders that
     this has not connected it with. Where a cell still holds nodes of several components, pairs between
     different components are tried in groups of at most 2 * CHUNK nodes: first a forest of those worth a trial, then, in
-    the groups where not all of them were links, all that is not connected by then. Pairs within a component are not needed: they
+    the cells where not all of them were links, all that is not connected by then. Pairs within a component are not needed: they
     connect nothing new. So a large group of copies costs about one trial a copy, not all pairs.
     """
     shared = materialise(shared_cells(rows))
@@ -134,25 +134,34 @@ def links_in_cells(
     apart = apart.filter("coalesce(label_a, a) <> coalesce(label_b, b)").select("a", "b")
     found = first.unionByName(materialise(verify(apart, described).select("a", "b")))
     labels = components(found)
-    labelled = cells.join(labels, "node", "left").select("cell", "node", "leader", F.coalesce("label", "node").alias("label"))
-    mixed = labelled.groupBy("cell").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("n > 2 AND low <> high")
     # the leader has been tried with all; the nodes that it is linked to are one component
-    rest = labelled.filter("node <> leader").join(mixed.select("cell", "n"), "cell")
-    rest = rest.withColumn("chunk", F.expr(f"CAST(pmod(xxhash64(node), CAST(ceil(n / {CHUNK}) AS BIGINT)) AS INT)")).withColumn("chunks", F.expr(f"CAST(ceil(n / {CHUNK}) AS INT)"))
-    dealt = rest.select("cell", "node", "label", "chunk", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other"))
-    dealt = materialise(dealt.select("cell", "node", "label", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk"))
+    mixed = materialise(_mixed(cells.filter("node <> leader").select("cell", "node"), labels))
+    dealt = _dealt(mixed)
     forest = materialise(pairs(dealt, described, True))
     found = found.unionByName(materialise(verify(forest.select("a", "b").distinct(), described).select("a", "b")))
-    labels = materialise(components(found).withColumnRenamed("label", "after"))
-    ends = [labels.select(F.col("node").alias(x), F.col("after").alias(f"label_{x}")) for x in "ab"]
+    labels = materialise(components(found))
+    ends = [labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab"]
     # where the whole forest is connected now, so is all that it stands for
-    open_groups = forest.join(ends[0], "a", "left").join(ends[1], "b", "left").filter("coalesce(label_a, a) <> coalesce(label_b, b)").select("cell", "i", "j").distinct()
-    again = dealt.join(open_groups, ["cell", "i", "j"]).join(labels, "node", "left")
-    again = again.withColumn("label", F.coalesce("after", "label")).drop("after")
+    still = forest.join(ends[0], "a", "left").join(ends[1], "b", "left").filter("coalesce(label_a, a) <> coalesce(label_b, b)").select("cell").distinct()
+    again = _dealt(materialise(_mixed(mixed.select("cell", "node").join(still, "cell"), labels)))
     last = pairs(again, described, False).select("a", "b").distinct().join(forest.select("a", "b").distinct(), ["a", "b"], "left_anti")
     return found.unionByName(materialise(verify(last, described).select("a", "b")))
 
 
+def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(cell, node, label, n) of the cells whose nodes are of several components."""
+    labelled = rows.join(labels, "node", "left").select("cell", "node", F.coalesce("label", "node").alias("label"))
+    kept = labelled.groupBy("cell").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    return labelled.join(kept.select("cell", "n"), "cell")
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """(cell, node, label, i, j, chunk): cells in groups of two chunks of about CHUNK nodes, or of one."""
+    chunks = rows.withColumn("chunks", F.expr(f"CAST(ceil(n / {CHUNK}) AS INT)")).withColumn("chunk", F.expr("CAST(pmod(xxhash64(node), chunks) AS INT)"))
+    each = chunks.select("cell", "node", "label", "chunk", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other"))
+    return each.select("cell", "node", "label", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk")
+
+
 def forest_of(x: np.ndarray, y: np.ndarray, label: np.ndarray, start: int = 0) -> np.ndarray:
     """Numbers of the pairs (x, y) that join two trees as they come; nodes of one label are one tree from the start.
 
