@@ -607,4 +607,4 @@ def h20(spark, d):
     kept = F.when(F.col("l_returnflag") != "R", F.col("p_brand"))
     lines = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     pairs = lines.select("l_orderkey", kept.alias("brand")).distinct()  # at most one row per brand of an order
-    return pairs.groupBy("l_orderkey").agg(C.first_of_sorted(F.collect_list("brand")).alias("first_brand"))
+    return pairs.groupBy("l_orderkey").agg(F.min("brand").alias("first_brand"))
