@@ -83,6 +83,39 @@ def k16(spark, d):
     return _summary(spark, d, recency="since_last", monetary="mean_of_means")
 
 
+def _report_sql(model, loglik: str, rows: str) -> str:
+    """Mean log-likelihood and its differences by each parameter over a step of a thousandth; lgamma is built in, its slope is not."""
+    params = vars(model)
+    parts = []
+    for name, v in params.items():
+        h = v / 1000
+        sides = [loglik.format(**(params | {name: v + k * h})) for k in (-2, -1, 1, 2)]
+        slope = f"(({sides[0]}) - 8 * ({sides[1]}) + 8 * ({sides[2]}) - ({sides[3]})) / {12 * h}"
+        parts.append(f"SELECT '{name}' AS parameter, {v} AS value, avg({loglik.format(**params)}) AS log_likelihood, avg({slope}) AS gradient FROM {rows}")
+    return f"WITH {SUMMARY_SQL} " + " UNION ALL ".join(parts)
+
+
+_BGNBD_LOGLIK = (
+    "lgamma({r} + frequency) - lgamma({r}) + {r} * ln({alpha}) + lgamma({a} + {b}) + lgamma({b} + frequency) - lgamma({b}) - lgamma({a} + {b} + frequency)"
+    " - ({r} + frequency) * ln({alpha} + t_weekly) + ln(1 + {a} / ({b} + frequency - 1) * pow(({alpha} + t_weekly) / ({alpha} + recency_weekly), {r} + frequency))"
+)
+_GAMMA_GAMMA_LOGLIK = (
+    "lgamma({p} * frequency + {q}) - lgamma({p} * frequency) - lgamma({q}) + {q} * ln({v}) + ({p} * frequency - 1) * ln(monetary_avg)"
+    " + {p} * frequency * ln(frequency) - ({p} * frequency + {q}) * ln(frequency * monetary_avg + {v})"
+)
+_REPORT = "parameter:str, value:double4, log_likelihood:double6, gradient:double5"
+
+
+@query("m01_bgnbd_likelihood", _REPORT, _report_sql(BGNBD, _BGNBD_LOGLIK, "input"))
+def m01_likelihood(spark, d):
+    return clv.likelihood_report(BGNBD, _input(spark, d))
+
+
+@query("m03_gamma_gamma_likelihood", _REPORT, _report_sql(GAMMA_GAMMA, _GAMMA_GAMMA_LOGLIK, "input"))
+def m03_likelihood(spark, d):
+    return clv.likelihood_report(GAMMA_GAMMA, _input(spark, d))
+
+
 @query("m01_bgnbd_fit", "r:double3, alpha:double3, a:double3, b:double3")
 def m01(spark, d):
     return spark.createDataFrame([vars(clv.fit_bgnbd(_input(spark, d), 0.001))])

@@ -29,6 +29,26 @@ def log_gamma(x) -> np.ndarray:
     return stirling - np.where(far, 0.0, np.log(product))
 
 
+def polygamma(x) -> tuple[np.ndarray, np.ndarray]:
+    """First and second derivative of log Gamma (digamma, trigamma) for positive arguments, as ``log_gamma`` is summed."""
+    x = np.asarray(x, dtype=float)
+    far = x > 1e6
+    near = np.where(far, 1.0, x)  # far out the series needs no recurrence
+    first, second = np.zeros_like(near), np.zeros_like(near)
+    for i in range(8):
+        step = 1.0 / (near + i)
+        first, second = first + step, second + step * step
+    z = np.where(far, x, x + 8.0)
+    inverse = 1.0 / z
+    square = inverse * inverse
+    slope, bend = np.zeros_like(z), np.zeros_like(z)
+    for k, c in reversed(list(enumerate(_STIRLING, 1))):
+        slope, bend = slope * square + (2 * k - 1) * c, bend * square + (2 * k - 1) * 2 * k * c
+    digamma = np.log(z) - 0.5 * inverse - slope * square - np.where(far, 0.0, first)
+    trigamma = inverse + 0.5 * square + bend * square * inverse + np.where(far, 0.0, second)
+    return digamma, trigamma
+
+
 def hyp2f1(a, b, c, z, max_terms: int = 200_000, tolerance: float = 1e-14) -> np.ndarray:
     """Gauss hypergeometric series for 0 <= z < 1.
 

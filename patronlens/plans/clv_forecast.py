@@ -16,14 +16,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import elapsed_days, weeks
-from ..functions.special import hyp2f1, log_gamma
+from ..functions.special import hyp2f1, log_gamma, polygamma
 from ..operators.binning import minmax, qcut
 from ..session import materialise
-from .fitting import fit
+from .fitting import Derivatives, fit, likelihood_sums
 from .rfm import analysis_date
 
 WEEKS_PER_MONTH = 4.345
 FORECAST_WEEKS_PER_MONTH = 4
+#: Where fits begin: (r, alpha, a, b) for scaled ages, and (p, q, v).
+PURCHASE_STARTS = [(r, al, a, b) for r in (0.3, 1.0, 3.0) for al in (0.3, 1.0, 4.0) for a in (0.1, 0.7) for b in (1.0, 4.0)]
+SPEND_STARTS = [(p, q, v) for p in (0.5, 2.0, 6.0) for q in (0.5, 1.0, 4.0) for v in (0.5, 4.0, 30.0)]
 
 
 @dataclass(frozen=True)
@@ -87,18 +90,42 @@ def model_input(summary: DataFrame, min_frequency: int = 1) -> DataFrame:
     return summary.where((F.col("monetary_avg") > 0) & (F.col("frequency") > min_frequency))
 
 
-def bgnbd_loglik(params: np.ndarray, data: dict[str, np.ndarray]) -> np.ndarray:
+def bgnbd_model(params: np.ndarray, data: dict[str, np.ndarray]) -> Derivatives:
+    """Log-likelihood of (r, alpha, a, b) per customer, with its gradient and second derivatives.
+
+    Two ways lead to a history: the customer is alive, or has gone after the last purchase. The derivatives of their
+    sum weigh those of both by the chance of each.
+    """
     r, alpha, a, b = params
     x, tx, t = data["x"], data["tx"], data["t"]
+    later = b + np.maximum(x, 1.0) - 1.0
     alive = -(r + x) * np.log(alpha + t)
-    gone = np.where(
-        x > 0,
-        math.log(a) - np.log(b + np.maximum(x, 1.0) - 1.0) - (r + x) * np.log(alpha + tx),
-        -np.inf,
-    )
+    gone = np.where(x > 0, math.log(a) - np.log(later) - (r + x) * np.log(alpha + tx), -np.inf)
+    either = np.logaddexp(alive, gone)
+    left = np.exp(gone - either)
     counts = log_gamma(r + x) - log_gamma(r) + r * math.log(alpha)
     dropout = log_gamma(a + b) + log_gamma(b + x) - log_gamma(b) - log_gamma(a + b + x)
-    return counts + dropout + np.logaddexp(alive, gone)
+
+    (rx, rx2), (r1, r2) = polygamma(r + x), polygamma(r)
+    (ab, ab2), (bx, bx2), (b1, b2), (abx, abx2) = polygamma(a + b), polygamma(b + x), polygamma(b), polygamma(a + b + x)
+    none = np.zeros_like(x)
+    if_alive = np.stack([-np.log(alpha + t), -(r + x) / (alpha + t), none, none])
+    if_gone = np.stack([-np.log(alpha + tx), -(r + x) / (alpha + tx), none + 1.0 / a, -1.0 / later])
+    slope = (1.0 - left) * if_alive + left * if_gone
+    slope += np.stack([rx - r1 + math.log(alpha), none + r / alpha, ab - abx, ab + bx - b1 - abx])
+
+    apart = if_alive - if_gone
+    bend = left * (1.0 - left) * apart[:, None] * apart[None, :]
+    bend[0, 0] += rx2 - r2
+    mixed = 1.0 / alpha - (1.0 - left) / (alpha + t) - left / (alpha + tx)
+    bend[0, 1] += mixed
+    bend[1, 0] += mixed
+    bend[1, 1] += (1.0 - left) * (r + x) / (alpha + t) ** 2 + left * (r + x) / (alpha + tx) ** 2 - r / alpha**2
+    bend[2, 2] += ab2 - abx2 - left / a**2
+    bend[2, 3] += ab2 - abx2
+    bend[3, 2] += ab2 - abx2
+    bend[3, 3] += ab2 + bx2 - b2 - abx2 + left / later**2
+    return counts + dropout + either, slope, bend
 
 
 def fit_bgnbd(
@@ -111,50 +138,89 @@ def fit_bgnbd(
 ) -> BgNbd:
     """Fit (r, alpha, a, b).
 
-    Customers with equal history are counted together; with recency and age in
-    days their number depends on the length of the period, not on the customers.
-    Times are scaled so that the highest age is ``scaled_age`` while fitting: the
-    penalty then does not depend on the time unit. ``None`` leaves them as they are.
+    Customers with equal history are counted together. Times are scaled so that the highest age is ``scaled_age`` while
+    fitting: the penalty then does not depend on the time unit. ``None`` leaves them as they are. Where nobody ever drops
+    out, a goes to 0, a limit of the model; any other parameter without a finite optimum is an error.
     """
-    grouped = summary.groupBy(
-        F.col(frequency).cast("double").alias("x"), F.col(recency).cast("double").alias("tx"), F.col(age).cast("double").alias("t")
-    ).agg(F.count(F.lit(1)).cast("double").alias("w"))
-    table = materialise(grouped)
+    table = materialise(bgnbd_histories(summary, frequency, recency, age))
     scale = 1.0
     if scaled_age:
         oldest = table.agg(F.max("t")).first()[0]
         scale = scaled_age / oldest if oldest else 1.0
     scaled = table.select("x", (F.col("tx") * scale).alias("tx"), (F.col("t") * scale).alias("t"), "w")
-    starts = [(r, al, a, b) for r in (0.3, 1.0, 3.0) for al in (0.3, 1.0, 4.0) for a in (0.1, 0.7) for b in (1.0, 4.0)]
-    r, alpha, a, b = fit(scaled, bgnbd_loglik, starts, penalizer)
+    r, alpha, a, b = fit(scaled, bgnbd_model, PURCHASE_STARTS, penalizer, vanishing=[2]).params
     return BgNbd(float(r), float(alpha / scale), float(a), float(b))
 
 
-def gamma_gamma_loglik(params: np.ndarray, data: dict[str, np.ndarray]) -> np.ndarray:
+def bgnbd_histories(summary: DataFrame, frequency: str = "frequency", recency: str = "recency_weekly", age: str = "t_weekly") -> DataFrame:
+    """(x, tx, t, w): histories and the number of customers with each.
+
+    With recency and age in days their number depends on the length of the period, not on the customers.
+    """
+    return summary.groupBy(
+        F.col(frequency).cast("double").alias("x"), F.col(recency).cast("double").alias("tx"), F.col(age).cast("double").alias("t")
+    ).agg(F.count(F.lit(1)).cast("double").alias("w"))
+
+
+def gamma_gamma_model(params: np.ndarray, data: dict[str, np.ndarray]) -> Derivatives:
+    """Log-likelihood of (p, q, v) per customer, with its gradient and second derivatives."""
     p, q, v = params
     x, m = data["x"], data["m"]
-    px = p * x
-    return (
+    px, spent = p * x, x * m + v
+    value = (
         log_gamma(px + q) - log_gamma(px) - log_gamma(q)
-        + q * math.log(v) + (px - 1.0) * np.log(m) + px * np.log(x) - (px + q) * np.log(x * m + v)
+        + q * math.log(v) + (px - 1.0) * np.log(m) + px * np.log(x) - (px + q) * np.log(spent)
     )
+    (both, both2), (px1, px2), (q1, q2) = polygamma(px + q), polygamma(px), polygamma(q)
+    slope = np.stack([
+        x * (both - px1 + np.log(m) + np.log(x) - np.log(spent)),
+        both - q1 + math.log(v) - np.log(spent),
+        q / v - (px + q) / spent,
+    ])
+    bend = np.empty((3, 3, len(x)))
+    bend[0, 0] = x * x * (both2 - px2)
+    bend[0, 1] = bend[1, 0] = x * both2
+    bend[0, 2] = bend[2, 0] = -x / spent
+    bend[1, 1] = both2 - q2
+    bend[1, 2] = bend[2, 1] = 1.0 / v - 1.0 / spent
+    bend[2, 2] = (px + q) / spent**2 - q / v**2
+    return value, slope, bend
 
 
 def fit_gamma_gamma(
     summary: DataFrame, penalizer: float = 0.01, frequency: str = "frequency", monetary: str = "monetary_avg"
 ) -> GammaGamma:
     """Fit (p, q, v); q may be below 1."""
-    usable = summary.where((F.col(frequency) > 0) & (F.col(monetary) > 0))
-    table = materialise(
-        usable.select(
-            F.col(frequency).cast("double").alias("x"), F.col(monetary).cast("double").alias("m"), F.lit(1.0).alias("w")
-        )
-    )
-    starts = [(p, q, v) for p in (0.5, 2.0, 6.0) for q in (0.5, 1.0, 4.0) for v in (0.5, 4.0, 30.0)]
-    p, q, v = fit(table, gamma_gamma_loglik, starts, penalizer)
+    table = materialise(spend_histories(summary, frequency, monetary))
+    p, q, v = fit(table, gamma_gamma_model, SPEND_STARTS, penalizer).params
     return GammaGamma(float(p), float(q), float(v))
 
 
+def spend_histories(summary: DataFrame, frequency: str = "frequency", monetary: str = "monetary_avg") -> DataFrame:
+    """(x, m, w) of the customers with orders and positive spend."""
+    usable = summary.where((F.col(frequency) > 0) & (F.col(monetary) > 0))
+    return usable.select(F.col(frequency).cast("double").alias("x"), F.col(monetary).cast("double").alias("m"), F.lit(1.0).alias("w"))
+
+
+def likelihood_report(model: BgNbd | GammaGamma, summary: DataFrame) -> DataFrame:
+    """(parameter, value, log_likelihood, gradient), one row per parameter: how a model fits a table.
+
+    log_likelihood and gradient are means per customer. Where a fit without penalty has converged, the gradient is 0.
+    """
+    params = vars(model)
+    if isinstance(model, BgNbd):
+        table, kernel = bgnbd_histories(summary), bgnbd_model
+    else:
+        table, kernel = spend_histories(summary), gamma_gamma_model
+    table = materialise(table)
+    n = table.agg(F.sum("w")).first()[0]
+    if not n:
+        raise ValueError("no customers to compare the model with")
+    value, slope, _ = likelihood_sums(table, kernel, [np.array(list(params.values()))])[0]
+    rows = [(name, float(v), float(value / n), float(g / n)) for (name, v), g in zip(params.items(), slope)]
+    return summary.sparkSession.createDataFrame(rows, "parameter string, value double, log_likelihood double, gradient double")
+
+
 def expected_values(model: BgNbd, x, tx, t, horizons: Sequence[float]) -> np.ndarray:
     """Expected purchases within each horizon, shape (customers, horizons).
 

@@ -1,110 +1,126 @@
 """Maximum likelihood where every evaluation is one distributed sum.
 
-The driver holds a handful of numbers only: it proposes parameter vectors, Spark
-returns the log-likelihood sum of each, several vectors per pass over the table.
+The driver holds a handful of numbers only: it proposes parameter vectors, Spark returns for each the sums of the
+log-likelihood, of its gradient and of its second derivatives, several vectors per pass over the table.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LogLik = Callable[[np.ndarray, dict[str, np.ndarray]], np.ndarray]
+#: Per row: log-likelihood (n), gradient (d, n), second derivatives (d, d, n).
+Derivatives = tuple[np.ndarray, np.ndarray, np.ndarray]
+Model = Callable[[np.ndarray, dict[str, np.ndarray]], Derivatives]
+#: Multiples of a Newton step that are tried in one pass.
+STEPS = (4.0, 1.0, 0.25, 1 / 16)
 
 
-def likelihood_sums(table: DataFrame, loglik: LogLik, candidates: Sequence[np.ndarray]) -> np.ndarray:
-    """Weighted log-likelihood sum of every candidate; ``table`` has a weight column ``w``."""
+@dataclass(frozen=True)
+class Fit:
+    """``limits`` are the numbers of parameters that went to a limit of the model; ``gradient`` is that of the
+    objective by the logarithms of the parameters, ``passes`` the number of passes over the table."""
+
+    params: np.ndarray
+    objective: float
+    gradient: np.ndarray
+    limits: tuple[int, ...]
+    passes: int
+
+
+def likelihood_sums(table: DataFrame, model: Model, candidates: Sequence[np.ndarray]) -> list[Derivatives]:
+    """Weighted sums of the log-likelihood and its derivatives for every candidate; ``table`` has a weight column ``w``."""
     vectors = [np.asarray(c, dtype=float) for c in candidates]
+    d = len(vectors[0])
+    width = 1 + d + d * d
 
     def partial(batches):
-        totals = np.zeros(len(vectors))
+        totals = np.zeros((len(vectors), width))
         for pdf in batches:
             data = {c: pdf[c].to_numpy(dtype=float) for c in pdf.columns}
-            for i, v in enumerate(vectors):
-                totals[i] += float((data["w"] * loglik(v, data)).sum())
-        yield pd.DataFrame({"k": np.arange(len(vectors), dtype="int32"), "ll": totals})
+            with np.errstate(all="ignore"):  # a vector far off may overflow; its sum is then not finite and is never chosen
+                for i, v in enumerate(vectors):
+                    value, slope, bend = model(v, data)
+                    totals[i] += np.concatenate([(data["w"] * value).sum(keepdims=True), slope @ data["w"], (bend @ data["w"]).ravel()])
+        places = np.arange(totals.size, dtype="int32")
+        yield pd.DataFrame({"place": places, "total": totals.ravel()})
 
-    sums = table.mapInPandas(partial, "k int, ll double").groupBy("k").agg(F.sum("ll").alias("ll"))
-    out = np.full(len(vectors), -np.inf)
-    for row in sums.collect():  # one row per candidate
-        out[row.k] = row.ll
-    return out
+    sums = table.mapInPandas(partial, "place int, total double").groupBy("place").agg(F.sum("total").alias("total"))
+    flat = np.full(len(vectors) * width, np.nan)
+    for row in sums.collect():  # 1 + d + d * d rows per candidate
+        flat[row.place] = row.total
+    return [(v[0], v[1 : 1 + d], v[1 + d :].reshape(d, d)) for v in flat.reshape(-1, width)]
 
 
 def fit(
     table: DataFrame,
-    loglik: LogLik,
+    model: Model,
     starts: Sequence[Sequence[float]],
     penalizer: float = 0.0,
-    tolerance: float = 1e-5,
-    max_passes: int = 60,
+    tolerance: float = 1e-6,
+    max_passes: int = 40,
     bound: float = 12.0,
-) -> np.ndarray:
+    vanishing: Sequence[int] = (),
+) -> Fit:
     """Positive parameters that minimise ``-mean log-likelihood + penalizer * sum(parameters ** 2)``.
 
-    Newton steps on the logarithms of the parameters; gradient and curvature are
-    differences between vectors that were all evaluated in the same pass.
+    Newton steps on the logarithms of the parameters, which stay within ``bound``; one pass sums value, gradient and second
+    derivatives for all starts, and then for several lengths of each step. ``vanishing``: parameters that may go to 0,
+    which is a limit of the model. A fit that ends on any other bound, at no optimum or not at all raises an error.
     """
     weight = table.agg(F.sum("w")).first()[0]
     if not weight:
         raise ValueError("nothing to fit")
-
-    def objective(points: Sequence[np.ndarray]) -> np.ndarray:
-        params = [np.exp(p) for p in points]
-        ll = likelihood_sums(table, loglik, params)
-        penalty = np.array([penalizer * float((p**2).sum()) for p in params])
-        values = -ll / weight + penalty
-        return np.where(np.isfinite(values), values, np.inf)
-
-    seeds = [np.log(np.asarray(s, dtype=float)) for s in starts]
-    point = seeds[int(np.argmin(objective(seeds)))]
-    d, h = len(point), 1e-3
-    pairs = list(itertools.combinations(range(d), 2))
-
-    def stencil(p: np.ndarray) -> list[np.ndarray]:
-        e = np.eye(d) * h
-        out = [p] + [p + s * e[i] for i in range(d) for s in (1, -1)]
-        return out + [p + s * e[i] + t * e[j] for i, j in pairs for s in (1, -1) for t in (1, -1)]
-
-    values = objective(stencil(point))
-    radius = 1.0
-    for _ in range(max_passes):
-        f0 = values[0]
-        gradient = np.array([(values[1 + 2 * i] - values[2 + 2 * i]) / (2 * h) for i in range(d)])
+    passes = 0
+
+    def evaluate(points: Sequence[np.ndarray]) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
+        """The best of the points with its value and derivatives."""
+        nonlocal passes
+        passes += 1
+        out = []
+        for at, (ll, slope, bend) in zip(points, likelihood_sums(table, model, [np.exp(p) for p in points])):
+            p = np.exp(at)
+            by_log = p * (-slope / weight + 2 * penalizer * p)
+            curve = np.outer(p, p) * (-bend / weight + 2 * penalizer * np.eye(len(p))) + np.diag(by_log)
+            value = -ll / weight + penalizer * float((p**2).sum())
+            usable = np.isfinite(value) and np.isfinite(by_log).all() and np.isfinite(curve).all()
+            out.append((at, value if usable else np.inf, by_log, curve))
+        return min(out, key=lambda o: o[1])
+
+    point, value, gradient, curve = evaluate([np.log(np.asarray(s, dtype=float)) for s in starts])
+    if not np.isfinite(value):
+        raise ValueError("the likelihood is not finite at any start")
+    shrink, free = 1.0, np.arange(len(point))
+    while passes < max_passes:
         # parameters that rest on a bound and would leave it stay there
-        held = ((point >= bound) & (gradient < 0)) | ((point <= -bound) & (gradient > 0))
-        free = np.flatnonzero(~held)
+        free = np.flatnonzero(~(((point >= bound) & (gradient < 0)) | ((point <= -bound) & (gradient > 0))))
         if not free.size or np.abs(gradient[free]).max() < tolerance:
             break
-        curve = np.diag([(values[1 + 2 * i] - 2 * f0 + values[2 + 2 * i]) / h**2 for i in range(d)])
-        for k, (i, j) in enumerate(pairs):
-            pp, pm, mp, mm = values[1 + 2 * d + 4 * k : 5 + 2 * d + 4 * k]
-            curve[i, j] = curve[j, i] = (pp - pm - mp + mm) / (4 * h * h)
         size, axes = np.linalg.eigh(curve[np.ix_(free, free)])
-        step = np.zeros(d)
-        step[free] = -axes @ ((axes.T @ gradient[free]) / np.maximum(np.abs(size), 1e-6))
-        accepted = False
-        while not accepted and radius > 1e-7:
-            scaled = step * min(1.0, radius / max(np.linalg.norm(step), 1e-300))
-            trial = np.clip(point + scaled, -bound, bound)
-            fresh = objective(stencil(trial))
-            if fresh[0] < f0:
-                accepted = True
-                point, values = trial, fresh
-                radius = min(radius * 3.0, 6.0)
-            else:
-                radius = min(radius, float(np.linalg.norm(scaled))) / 4.0
-        if not accepted:
-            if np.abs(gradient[free]).max() > 1e-3:
-                raise RuntimeError("the fit has stopped at a point that is no optimum")
-            break
-        if abs(f0 - values[0]) < 1e-9 * max(abs(f0), 1.0):
+        step = np.zeros(len(point))
+        step[free] = -axes @ ((axes.T @ gradient[free]) / np.maximum(np.abs(size), 1e-9))
+        step *= min(1.0, 3.0 / np.linalg.norm(step)) * shrink
+        best = evaluate([np.clip(point + k * step, -bound, bound) for k in STEPS])
+        if best[1] < value:
+            gained = value - best[1]
+            (point, value, gradient, curve), shrink = best, 1.0
+            if gained < 1e-14 * max(abs(value), 1.0):
+                break
+        elif shrink < 1e-6:
             break
+        else:
+            shrink /= 256.0
     else:
         raise RuntimeError(f"the fit has not converged in {max_passes} passes")
-    return np.exp(point)
+    if free.size and np.abs(gradient[free]).max() > 1e-4:
+        raise RuntimeError("the fit has stopped at a point that is no optimum")
+    limits = tuple(i for i in range(len(point)) if abs(point[i]) >= bound)
+    lost = [i for i in limits if point[i] > 0 or i not in vanishing]
+    if lost:
+        raise RuntimeError(f"no finite optimum: parameters {lost} (counted from 0) went to a bound")
+    return Fit(np.exp(point), value, gradient, limits, passes)
