@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from patronlens.llm.common import sliced
 from patronlens.session import materialise
 
 #: Signs and the letters they may stand for (fixed values).
@@ -243,7 +244,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, max_labelled: i
 
     def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(model)
-        for batch in batches:
+        for batch in sliced(batches, 2):
             words = [sorted(restored_words(t.as_py().lower(), decoder)[0]) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(words, pa.list_(pa.string()))], names=["order", "toxic", "words"])
 
@@ -284,7 +285,7 @@ def score(docs: DataFrame, keep: list[str], model: np.ndarray, scorer: Scorer, t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder, collapsed = Decoder(model), scorer.collapsed
-        for batch in batches:
+        for batch in sliced(batches, len(keep)):
             scores, restored = [], []
             for value in batch.column(batch.num_columns - 1):
                 words, readings = restored_words((value.as_py() or "").lower(), decoder, collapsed)
