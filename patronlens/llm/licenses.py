@@ -10,8 +10,10 @@ Each text is handled by itself, so there is no exchange and no group that could
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -80,19 +82,26 @@ class Scanner:
     def scan(self, text: str) -> tuple[int, list[dict], list[dict], float]:
         words = LETTER_WORD.findall(lower_ascii(text))
         joined = f" {' '.join(words)} "
+        blanks: list[int] = []
         base, spans, tried = [], {}, set()
         for end, (length, uses) in self.automaton.iter(joined):
             first = end - length + 1
             for notice, at in uses:
                 if notice is None:
-                    base.append({"label": at, "word": joined.count(" ", 0, first)})
+                    blanks = blanks or self._blanks(words)
+                    base.append({"label": at, "word": bisect_left(blanks, first)})
                 elif (notice, first - at) not in tried:
                     tried.add((notice, first - at))
                     self._verify(joined, notice, first - at, spans)
-        matches = self._located(text, joined, spans) if spans else []
+        matches = self._located(text, blanks or self._blanks(words), spans) if spans else []
         score = 1.0 if base else max((1 - m["edits"] / len(m["notice"]) for m in matches), default=0.0)
         return len(words), base, matches, score
 
+    @staticmethod
+    def _blanks(words: list[str]) -> list[int]:
+        """Places of the blanks before, between and after the words; a place's word number is a binary search in them."""
+        return list(accumulate((len(w) + 1 for w in words), initial=0))
+
     def _verify(self, joined: str, i: int, start: int, spans: dict) -> None:
         """Keep the best match of notice ``i`` that starts within its edits of ``start``."""
         notice = self.notices[i]
@@ -103,13 +112,13 @@ class Scanner:
             if key not in spans or edits < spans[key][0]:
                 spans[key] = (edits, m.end())
 
-    def _located(self, text: str, joined: str, spans: dict) -> list[dict]:
+    def _located(self, text: str, blanks: list[int], spans: dict) -> list[dict]:
         """Matches with their words and their characters in the text itself; overlapping ones of a notice are one."""
         at = [(m.start(), m.end()) for m in LETTER_WORD.finditer(lower_ascii(text))]
         out, last = [], {}
         for (i, start), (edits, end) in sorted(spans.items()):
-            word = joined.count(" ", 0, start) - 1
-            n = joined.count(" ", start, end) + 1
+            word = bisect_left(blanks, start) - 1
+            n = bisect_left(blanks, end) - word
             found = {"label": self.notices[i].label, "notice": self.notices[i].words, "edits": edits, "word": word, "n_words": n, "start": at[word][0], "stop": at[min(word + n, len(at)) - 1][1]}
             if i in last and word < last[i]["word"] + last[i]["n_words"]:
                 if edits < last[i]["edits"]:

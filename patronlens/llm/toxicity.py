@@ -35,8 +35,8 @@ OTHER, EDGE, CLASSES = 26, 27, 28
 PREFIXES = (4, 6)
 #: Labels that the score is fitted on at most (those with the smallest hash of the id).
 MAX_LABELLED = 50_000
-#: Marks kept at most, strongest first, and the number of toxic texts that a mark needs.
-MAX_MARKS, MIN_TEXTS = 20_000, 5
+#: Toxic texts that a mark needs.
+MIN_TEXTS = 5
 THRESHOLD = 0.3
 #: Readings remembered by a task.
 CACHE = 200_000
@@ -211,8 +211,7 @@ def _marks(counts: dict[str, tuple[int, int]], n_clean: int, n_toxic: int) -> Sc
             bound = math.log(cells[0] * cells[3] / (cells[1] * cells[2])) - 2 * math.sqrt(sum(1 / c for c in cells))
             if bound > 0.5:
                 weights[mark] = bound
-    kept = sorted(weights, key=lambda m: (-weights[m], m))[:MAX_MARKS]
-    return Scorer({m: weights[m] for m in kept if m[-1] != "^"}, {m[:-1]: weights[m] for m in kept if m[-1] == "^"})
+    return Scorer({m: w for m, w in weights.items() if m[-1] != "^"}, {m[:-1]: w for m, w in weights.items() if m[-1] == "^"})
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, ...]:
@@ -278,7 +277,8 @@ def score(docs: DataFrame, keep: list[str], model: np.ndarray, scorer: Scorer, t
     """Columns ``keep`` with score (0 to 1), predicted (1 from ``threshold`` on) and restored (array of stretch and reading).
 
     A null or empty text has no marks and gets the curve's lowest score. restored lists the readings that differ from
-    what is written. Repeated rows are scored alike and all returned; an empty table gives none.
+    what is written. Repeated rows are scored alike and all returned; an empty table gives none. ``keep`` may hold any
+    columns but the three added.
     """
     pair = pa.list_(pa.struct([("written", pa.string()), ("read", pa.string())]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields) + ", score double, predicted int, restored array<struct<written:string,read:string>>"

@@ -85,6 +85,14 @@ def test_license_base_places(spark):
     assert licenses.digest(docs.limit(0)).count() == 0
 
 
+def test_license_places_in_a_long_text():
+    """The cost follows the length of the text: 400,000 places are numbered one by one."""
+    scanner = licenses.Scanner(licenses.NOTICES, licenses.BASE)
+    n, base, matches, _ = scanner.scan("cc by " * 400_000 + "all rights reservd")
+    assert n == 800_003 and [b["word"] for b in base] == list(range(0, 800_000, 2))
+    assert [(m["word"], m["n_words"], m["edits"]) for m in matches] == [(800_000, 3, 1)]
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

@@ -278,6 +278,31 @@ def test_pipeline_drops_near_copies(spark):
     assert {r.doc_id for r in got} == want
 
 
+def test_stages_carry_columns_of_any_name(spark):
+    """Columns named like those the operators add come through unchanged, with nulls, empty texts and repeated rows."""
+    names = "label node predicted score restored row_key removed n_lines leaks text_hash _text judged_text _key carried_0".split()
+    texts = [(1, "one plain line of words here"), (1, "one plain line of words here"), (2, None), (3, ""), (None, "words without an id\nand a line")]
+    rows = [(i, t, None if t is None else len(t), *[f"{n}-{k}" for n in names]) for k, (i, t) in enumerate(texts)]
+    schema = "doc_id bigint, text string, n_chars int, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, FOLDER)
+        assert got.schema.simpleString() == docs.schema.simpleString(), name
+        carried = [tuple(r)[3:] for r in got.collect()]
+        assert len(carried) == (4 if name == "jaccard_join" else 5) and set(carried) <= {r[3:] for r in rows}, name
+        assert stage(spark, docs.limit(0), FOLDER).count() == 0, name
+
+
+def test_short_items_and_small_shares(spark):
+    """Items of one and two words are found, and a tiny share of a large corpus still names a sample."""
+    corpus = [(i, " ".join(random.Random(i).choices(PLAIN, k=60))) for i in range(300)]
+    corpus += [(1000, "some more words zyxwort qwertzu and more"), (1001, "nothing but onlyword among others")]
+    docs = spark.createDataFrame(corpus, "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "zyxwort qwertzu"), (2, "onlyword")], "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.digest(docs, items).collect()} == {(1000, 1), (1001, 2)}
+    assert decontamination.fit(docs, [(1, "the river runs over stones")], fit_passages=1e-6).project.shape[0] > 0
+
+
 def _texts(values):
     import pyarrow as pa
 
