@@ -2,11 +2,15 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last return the columns of
 documents. A stage's result is Parquet in the shared folder, read again as the next stage's documents, so a lost executor
-costs at most a part of one stage.
+costs at most a part of one stage. Documents may have any further columns, also of names that the operators use; an empty
+table, null and empty texts, missing ids and repeated rows pass through as each stage states.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,14 +20,31 @@ from patronlens.session import materialise
 
 #: Near copies: words of a shingle, and the least percentage of all shingles of two texts that they share.
 NEAR_WIDTH, NEAR_PERCENT = 5, 80
+#: Columns that stages read; all others are carried.
+READ = ("doc_id", "text", "n_chars")
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def carrying_any_names(stage: Stage) -> Stage:
+    """The stage on documents whose carried columns have plain names, so that none meets a name the stage uses itself."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        plain = docs.toDF(*[c if c in READ else f"carried_{i}" for i, c in enumerate(docs.columns)])
+        return stage(spark, plain, sf_dir).toDF(*docs.columns)
+
+    return run_stage
 
 
+@carrying_any_names
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity scorer does not predict as toxic. It learns from the labelled documents of the folder."""
     model, scorer = queries.learned_toxicity(spark, sf_dir)
     return toxicity.score(docs, docs.columns, model, scorer).filter("predicted = 0").select(*docs.columns)
 
 
+@carrying_any_names
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that an equal or near line precedes; n_chars follows the text."""
     kept = line_dedup.dedup(docs, bands=line_dedup.BANDS)
@@ -31,6 +52,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return kept.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
+@carrying_any_names
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar texts: the one with the smallest id, of repeated rows one. Texts without words stay."""
     labelled = materialise(jaccard_join.similar(docs, docs.columns, width=NEAR_WIDTH, percent=NEAR_PERCENT).withColumn("row_key", F.monotonically_increasing_id()))
@@ -39,6 +61,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return stays.select(*docs.columns).unionByName(labelled.filter("label IS NULL").select(*docs.columns))
 
 
+@carrying_any_names
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark item leaks into."""
     return decontamination.scan(docs, table(spark, sf_dir, "benchmark")).filter(F.size("leaks") == 0).select(*docs.columns)
