@@ -390,6 +390,17 @@ def g03(spark, d):
     return basket.basket_matrix(_items(spark, d, "p_type"), _TYPES)
 
 
+@query(
+    "g03_basket_cells",
+    "basket:str, cells:str",
+    f"""WITH {BASKET_SQL.format(item='p_brand')} SELECT basket, string_agg(item || '=' || CASE WHEN net > 0 THEN 1 ELSE 0 END, '|' ORDER BY item) AS cells
+        FROM net GROUP BY basket""",
+)
+def g03_cells(spark, d):
+    cells = basket.basket_cells(_items(spark, d, "p_brand"))
+    return cells.withColumn("cells", F.expr("array_join(transform(cells, x -> concat(x.level, '=', x.value)), '|')"))
+
+
 ITEMSETS_SQL = f"""{BRAND_SQL},
 one AS (SELECT item, count(*) AS f FROM held GROUP BY item HAVING count(*) >= 0.01 * (SELECT n FROM n)),
 freq AS (SELECT basket, item FROM held SEMI JOIN one USING (item)),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import ordering, profile
 from ..operators.quantiles import exact_quantiles
+from ..operators.reshaping import sparse_cells
 from ..plans import cohort, rfm
 from ..sources.retail import RETAIL_SQL, retail_lines, table
 from .customers import SALES_SQL, SEGMENTS_SQL, _USERS_SQL, _sales, purchases, users
@@ -468,6 +469,16 @@ def g02(spark, d):
     return cohort.retention_matrix(cohort.cohort_table(lines), _PERIODS)
 
 
+@query("g02_period_cells", "cohort:date, cells:str",
+       """WITH m AS (SELECT o_custkey AS c, date_trunc('month', o_orderdate) AS om FROM orders GROUP BY ALL), f AS (SELECT c, min(om) AS cohort FROM m GROUP BY 1),
+          t AS (SELECT cohort, (year(om) - year(cohort)) * 12 + month(om) - month(cohort) AS p, count(*) AS n FROM m JOIN f USING (c) GROUP BY 1, 2)
+          SELECT cohort, string_agg(p || '=' || n, '|' ORDER BY p) AS cells FROM t GROUP BY cohort""")
+def g02_cells(spark, d):
+    lines = table(spark, d, "orders").select(F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("invoice_date"))
+    cells = sparse_cells(cohort.cohort_table(lines), ["cohort"], "period_number", F.sum("n_customers"))
+    return cells.withColumn("cells", F.expr("array_join(transform(cells, x -> concat(x.level, '=', x.value)), '|')"))
+
+
 @query("g05_flat_aggregate_names", "p_type:str, price_mean:double2, price_max:double2, size_sum:long", "SELECT p_type, avg(p_retailprice) AS price_mean, max(p_retailprice) AS price_max, sum(p_size) AS size_sum FROM part GROUP BY 1")
 def g05(spark, d):
     return table(spark, d, "part").groupBy("p_type").agg(

@@ -464,3 +464,17 @@ CANDIDATES = [5.0, 10.0, 25.0, 50.0, 100.0, 200.0]
 )
 def k25(spark, d):
     return pricing.price_scenarios(table(spark, d, "events"), "event_type", "value", CANDIDATES)
+
+
+@query(
+    "k25_price_table",
+    "event_type:str, candidate:double2, buyers:long, income:double2",
+    """WITH c AS (SELECT DISTINCT event_type, floor(value) AS p FROM events WHERE event_type IS NOT NULL AND value IS NOT NULL),
+       s AS (SELECT event_type, floor(value) AS p, count(*) AS n FROM events GROUP BY ALL)
+       SELECT c.event_type, c.p AS candidate, sum(s.n) AS buyers, c.p * sum(s.n) AS income
+       FROM c JOIN s ON s.event_type = c.event_type AND s.p >= c.p GROUP BY 1, 2""",
+)
+def k25_table(spark, d):
+    events = table(spark, d, "events")
+    whole = events.select("event_type", F.floor("value").cast("double").alias("candidate"))
+    return pricing.price_table_scenarios(events, "event_type", "value", whole)

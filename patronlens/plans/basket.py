@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.binning import minmax, qcut
+from ..operators.reshaping import levels_of, sparse_cells, wide_cells
 from ..session import materialise
 from .itemsets import grouped_itemsets, least_counts
 
@@ -39,10 +40,15 @@ def basket_sets(items: DataFrame) -> DataFrame:
     return held.groupBy("basket").agg(F.array_sort(F.collect_list("item")).alias("items"))
 
 
-def basket_matrix(items: DataFrame, columns: list[str]) -> DataFrame:
-    """0/1 view of chosen items, for display; mining uses the sparse form."""
-    wide = items.groupBy("basket").pivot("item", columns).agg(F.max("in_basket"))
-    return wide.na.fill(0, columns)
+def basket_matrix(items: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """0/1 view of chosen items, or of all items of the data, for display; mining uses the sparse form."""
+    columns = levels_of(items, "item") if columns is None else columns
+    return wide_cells(items, ["basket"], "item", F.max("in_basket"), columns).na.fill(0, columns)
+
+
+def basket_cells(items: DataFrame) -> DataFrame:
+    """(basket, cells): the same view for any number of items, a sorted array of (item, 0/1) per basket."""
+    return sparse_cells(items, ["basket"], "item", F.max("in_basket"))
 
 
 @dataclass(frozen=True)

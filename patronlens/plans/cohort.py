@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import month_of, months_apart, ratio
+from ..operators.reshaping import levels_of, wide_cells
 
 
 def first_per_key(df: DataFrame, key: str, column: str, name: str) -> DataFrame:
@@ -55,7 +56,8 @@ def retention(cohorts: DataFrame) -> DataFrame:
     return sized.withColumn("retention", ratio("n_customers", "cohort_size"))
 
 
-def retention_matrix(cohorts: DataFrame, periods: Sequence[int]) -> DataFrame:
-    """Wide retention, one column ``period_<k>`` per wanted period; an absent month is NULL."""
-    wide = retention(cohorts).groupBy("cohort").pivot("period_number", list(periods)).agg(F.first("retention"))
+def retention_matrix(cohorts: DataFrame, periods: Sequence[int] | None = None) -> DataFrame:
+    """Wide retention, one column ``period_<k>`` per wanted period, or per period of the data; an absent month is NULL."""
+    periods = levels_of(cohorts, "period_number") if periods is None else periods
+    wide = wide_cells(retention(cohorts), ["cohort"], "period_number", F.first("retention"), periods)
     return wide.withColumnsRenamed({str(p): f"period_{p}" for p in periods})

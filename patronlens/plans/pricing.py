@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.quantiles import group_quantiles
+from ..operators.ordering import segmented_totals
+from ..operators.quantiles import group_quantiles, quoted
 from .abtest import mean_intervals, pairwise_mann_whitney
 
 
@@ -63,3 +64,21 @@ def price_scenarios(df: DataFrame, category: str, price: str, candidates: Sequen
     )
     long = counted.select(category, F.explode(cells).alias("cell")).select(category, "cell.*")
     return long.withColumn("income", F.col("buyers") * F.col("candidate"))
+
+
+def price_table_scenarios(df: DataFrame, category: str, price: str, candidates: DataFrame) -> DataFrame:
+    """(category, candidate, buyers, income) for a table (category, candidate) of any number of prices.
+
+    Sales are counted per price, and one running total from the highest price down passes sales and candidates alike: a
+    candidate reads how many sales came before it. Rows are those of the distinct prices and candidates, no pair of them is
+    formed, and a category of many prices is scanned by ranges. Missing prices and candidates play no part; a candidate of
+    a category without sales has 0 buyers.
+    """
+    paid = F.expr(f"nanvl(CAST({quoted(price)} AS DOUBLE), CAST(NULL AS DOUBLE))").alias("candidate")
+    sold = df.select(F.col(category).alias("_category"), paid).dropna().groupBy("_category", "candidate").agg(F.count(F.lit(1)).alias("_n"))
+    asked = candidates.select(F.col(category).alias("_category"), F.col("candidate").cast("double").alias("candidate")).dropna().distinct()
+    rows = sold.withColumn("_asked", F.lit(0)).unionByName(asked.select("*", F.lit(0).cast("long").alias("_n"), F.lit(1).alias("_asked")))
+    told = segmented_totals(rows, "_category", [F.col("candidate").desc(), F.col("_asked").asc()], {"buyers": "_n"})
+    return told.where("_asked = 1").select(
+        F.col("_category").alias(category), "candidate", "buyers", (F.col("buyers") * F.col("candidate")).alias("income")
+    )

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import io
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +68,28 @@ def work_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Paths written since the innermost ``temporary_tables`` began; None outside of one.
+_written: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("written", default=None)
+
+
+@contextlib.contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables that ``materialise`` writes inside the block are deleted when it ends, also after an error.
+
+    Results that read them must be used inside the block. Only paths written in the block are deleted, through the
+    file system of the shared folder. Blocks may be nested; each deletes its own.
+    """
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield paths
+    finally:
+        _written.reset(token)
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
@@ -73,6 +98,8 @@ def materialise(df: DataFrame) -> DataFrame:
     and gives the optimizer its true size.
     """
     path = f"{work_dir(df.sparkSession)}/patronlens/{uuid.uuid4().hex}"
+    if (paths := _written.get()) is not None:
+        paths.append(path)  # before the write, so that a failed one is deleted too
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
