@@ -2,8 +2,8 @@
 
 Texts are overlapping passages of words; benchmark items are the queries. TF-IDF weights over the words of the items, with
 document frequencies from all passages of the corpus, are projected onto the span of all items of a block and beside it
-the directions of a randomised singular value decomposition, which is fitted on all items and a bounded sample of passages
-in distributed passes. Passages whose cosine with an item reaches ``COSINE`` are candidates; a longest common subsequence of words verifies near-literal copies, and together with the
+the directions of a randomised singular value decomposition, which is fitted on all items and all passages: one distributed
+pass counts which words meet in a passage, and the rounds of the decomposition read these counts. Passages whose cosine with an item reaches ``COSINE`` are candidates; a longest common subsequence of words verifies near-literal copies, and together with the
 item's most telling words (its answer) paraphrases.
 
 An item of more than ``WHOLE`` words is searched by its passages, each a row of its own, and verified as a whole.
@@ -31,8 +31,8 @@ HALF = 24
 #: Latent dimensions of the corpus, and extra ones of the random start. The items' own directions come beside them.
 RANK, EXTRA = 224, 16
 POWER_ROUNDS = 2
-#: Corpus passages that the decomposition is fitted on, about.
-FIT_PASSAGES = 50_000
+#: Pairs of words whose counts a task holds before it gives them out.
+HELD_PAIRS = 1 << 21
 #: Rows of the items in a block, about.
 BLOCK = 200
 #: Words of an item that is searched as one row. A longer one is searched by passages like those of the texts, and still
@@ -152,15 +152,69 @@ def _product(sparse: tuple[np.ndarray, np.ndarray, np.ndarray], dense: np.ndarra
     return out
 
 
+def _pairs_within(row: np.ndarray, term: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(smaller term and larger term as one number, product of their times) for all pairs of a row's terms, each with itself too.
+
+    Entries are sorted by row; a row has a term once.
+    """
+    keys, products = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    at, apart = np.arange(len(row)), 0
+    while len(at):
+        a, b = term[at], term[at + apart]
+        keys.append(np.minimum(a, b) << 32 | np.maximum(a, b))
+        products.append(times[at] * times[at + apart])
+        apart += 1
+        at = at[at + apart < len(row)]
+        at = at[row[at + apart] == row[at]]
+    return np.concatenate(keys), np.concatenate(products)
+
+
+def _summed(keys: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys, numbers = keys[order], numbers[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[starts], np.add.reduceat(numbers, starts) if len(starts) else numbers
+
+
+def co_occurrences(rows: DataFrame) -> DataFrame:
+    """(a, b, n) for a <= b: the products of the times of terms a and b, summed over all rows (terms, times).
+
+    Tasks sum what they read and hold a bounded number of pairs; the result has a row for each pair of terms at most.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(keys: np.ndarray, numbers: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(keys >> 32), pa.array(keys & 0xFFFFFFFF), pa.array(numbers)], names=["a", "b", "n"])
+
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column(0)).to_numpy()
+            term, times = (pc.list_flatten(batch.column(k)).to_numpy() for k in (0, 1))
+            held.append(_pairs_within(np.repeat(np.arange(len(sizes)), sizes), term, times))
+            size += len(held[-1][0])
+            if size > HELD_PAIRS:
+                held = [_summed(*map(np.concatenate, zip(*held)))]
+                size = len(held[0][0])
+                if size > HELD_PAIRS // 2:
+                    yield told(*held[0])
+                    held, size = [], 0
+        if held:
+            yield told(*_summed(*map(np.concatenate, zip(*held))))
+
+    return rows.select("terms", "times").mapInArrow(run, "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
 def randomised_svd(sample: DataFrame, items: tuple, weights: np.ndarray, rank: int = RANK, seed: int = SEED) -> np.ndarray:
     """Leading right singular vectors (terms x rank) of the TF-IDF rows of ``sample`` (terms, times) and of the items.
 
-    Each round multiplies a thin matrix by transpose(A) A: every task does so for its rows, the driver adds one thin matrix
-    for each of a fixed number of tasks.
+    Each round multiplies a thin matrix by transpose(A) A, which is summed once over all rows: every task does so for its
+    pairs of terms, the driver adds one thin matrix for each of a fixed number of tasks.
     """
     n = len(weights)
     width = min(rank + EXTRA, n)
     thin = np.linalg.qr(np.random.default_rng(seed).standard_normal((n, width)))[0]
+    together = materialise(co_occurrences(sample).repartition(8, "a").sortWithinPartitions("a"))
 
     def multiplied(by: np.ndarray) -> np.ndarray:
         by = by.astype(np.float32)
@@ -168,13 +222,18 @@ def randomised_svd(sample: DataFrame, items: tuple, weights: np.ndarray, rank: i
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros_like(by)
             for batch in batches:
-                sizes = pc.list_value_length(batch.column(0)).to_numpy()
-                term = pc.list_flatten(batch.column(0)).to_numpy()
-                value = pc.list_flatten(batch.column(1)).to_numpy() * weights[term]
-                total += _product((np.repeat(np.arange(len(sizes)), sizes), term, value.astype(np.float32)), by)
+                a, b, count = (batch.column(k).to_numpy() for k in range(3))
+                value = (count * weights[a] * weights[b]).astype(np.float32)
+                apart = a != b
+                for x, y, v in ((a, b, value), (b[apart], a[apart], value[apart])):
+                    order = np.argsort(x, kind="stable")
+                    x, y, v = x[order], y[order], v[order]
+                    starts = np.flatnonzero(np.append(True, x[1:] != x[:-1])[: len(x)])
+                    if len(starts):
+                        total[x[starts]] += np.add.reduceat(by[y] * v[:, None], starts, axis=0)
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
 
-        parts = sample.mapInArrow(run, "part binary").toArrow().column("part").to_pylist()
+        parts = together.coalesce(8).mapInArrow(run, "part binary").toArrow().column("part").to_pylist()
         row, term, times = items
         total = _product((row, term, (times * weights[term]).astype(np.float32)), by).astype(float)
         for part in parts:
@@ -226,9 +285,11 @@ def search_rows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return item, start, np.where(whole, sizes[item], stop)
 
 
-def fit(docs: DataFrame, items: list[tuple[int, str]], text: str = "text", rank: int = RANK, fit_passages: int = FIT_PASSAGES) -> Index:
-    """The index of a block of items. Document frequencies cover all passages; the decomposition sees all items and the
-    passages of texts whose hash lies in the share that gives about ``fit_passages``."""
+def fit(docs: DataFrame, items: list[tuple[int, str]], text: str = "text", rank: int = RANK, fit_passages: float | None = None) -> Index:
+    """The index of a block of items. Document frequencies and the decomposition cover all items and all passages.
+
+    With ``fit_passages`` the decomposition sees only the passages of texts whose hash lies in the share that gives about so many.
+    """
     hashes, bounds = words_of(pa.array([t for _, t in items], pa.string()))
     words = [hashes[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
     vocabulary = np.unique(hashes)
@@ -242,7 +303,6 @@ def fit(docs: DataFrame, items: list[tuple[int, str]], text: str = "text", rank:
         if seldom[mine].sum() < TELLING:
             telling[mine] = True
     vocabulary, weights = vocabulary[telling], all_weights[telling]
-    share = min(1.0, fit_passages / max(n, 1))
     hash_bits = 62
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,9 +311,11 @@ def fit(docs: DataFrame, items: list[tuple[int, str]], text: str = "text", rank:
             cuts = np.append(np.flatnonzero(np.append(True, passage[1:] != passage[:-1])), len(passage)) if len(passage) else np.zeros(1, np.int64)
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(v.astype(np.int64))) for v in (term, times)], names=["terms", "times"])
 
-    hashed = F.xxhash64(text).bitwiseAND(F.lit((1 << hash_bits) - 1))
-    chosen = docs.filter(hashed < F.lit(int(share * (1 << hash_bits)))).select(text)
-    sample = materialise(chosen.mapInArrow(rows, "terms array<bigint>, times array<bigint>").coalesce(8))
+    chosen = docs.select(text)
+    if fit_passages is not None:
+        hashed = F.xxhash64(text).bitwiseAND(F.lit((1 << hash_bits) - 1))
+        chosen = chosen.filter(hashed < F.lit(int(min(1.0, fit_passages / max(n, 1)) * (1 << hash_bits))))
+    sample = chosen.mapInArrow(rows, "terms array<bigint>, times array<bigint>")
     term = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
     known = vocabulary[term] == hashes
     item, start, stop = search_rows(np.diff(bounds))

@@ -307,3 +307,27 @@ def _texts(values):
     import pyarrow as pa
 
     return pa.array(values, pa.string())
+
+
+def test_decomposition_covers_all_passages(spark, monkeypatch):
+    """More passages than the bounded sample of former times had; all of them are counted, and their sums are exact."""
+    seen = []
+
+    def spied(sample, items, weights, *more):
+        seen.append(sample.count())
+        return svd(sample, items, weights, *more)
+
+    svd = decontamination.randomised_svd
+    monkeypatch.setattr(decontamination, "randomised_svd", spied)
+    docs = spark.range(120_000).selectExpr("concat('river ', 'a', id % 97, ' b', id % 89) AS text")
+    decontamination.fit(docs, [(1, " ".join(f"a{i} b{i}" for i in range(80)))])
+    assert seen[0] == docs.filter("cast(substring(split(text, ' ')[1], 2) AS int) < 80 OR cast(substring(split(text, ' ')[2], 2) AS int) < 80").count()
+
+    rng = np.random.default_rng(4)
+    dense = rng.poisson(0.3, (300, 30))
+    rows = spark.createDataFrame([([int(t) for t in np.flatnonzero(x)], [int(v) for v in x[x > 0]]) for x in dense], "terms array<bigint>, times array<bigint>")
+    for held in (1 << 21, 50):
+        monkeypatch.setattr(decontamination, "HELD_PAIRS", held)
+        got = {(r.a, r.b): r.n for r in decontamination.co_occurrences(rows).collect()}
+        gram = dense.T @ dense
+        assert got == {(a, b): gram[a, b] for a in range(30) for b in range(a, 30) if gram[a, b]}
