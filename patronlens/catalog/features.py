@@ -230,7 +230,8 @@ def _passenger_split(spark, d):
     train, test = models.holdout(derive(spark, d, PASSENGERS), "PassengerId", 0.30)
     recipe = recipes.passenger_recipe(train)
     ready = materialise(recipe.train.na.fill(0))
-    return ready, recipe(test).na.fill(0), models.feature_names(ready, ["SURVIVED", "PASSENGERID"])
+    features = models.feature_names(ready, ["SURVIVED", "PASSENGERID"])
+    return models.evenly(ready, features), recipe(test).na.fill(0), features
 
 
 def _house_split(spark, d):
@@ -238,7 +239,8 @@ def _house_split(spark, d):
     known, unknown = recipes.split_by_target(ready, "SalePrice")
     known = known.withColumn("LogPrice", F.log1p("SalePrice"))
     features = models.feature_names(known, ["SalePrice", "LogPrice", "Id"])
-    return (*models.holdout(known, "Id", 0.25, 32), unknown, features)
+    train, test = models.holdout(known, "Id", 0.25, 32)
+    return models.evenly(train, features), test, unknown, features
 
 
 @query("o01_holdout_split", "n_train:long, n_test:long, n_shared:long")
@@ -253,7 +255,8 @@ def o02(spark, d):
     train, test = models.holdout(derive(spark, d, PATIENTS), "Id", 0.30)
     recipe = recipes.patient_recipe(train, key="Id")
     ready = materialise(recipe.train.na.fill(0))
-    model = models.decision_tree("Outcome", models.feature_names(ready, ["Outcome", "Id"])).fit(ready)
+    features = models.feature_names(ready, ["Outcome", "Id"])
+    model = models.decision_tree("Outcome", features).fit(models.evenly(ready, features))
     scored = materialise_scores(model.transform(recipe(test).na.fill(0)), "Outcome")
     return models.classification_report(scored, "Outcome").withColumn("auc", F.lit(models.roc_auc(scored, "Outcome", "score")))
 

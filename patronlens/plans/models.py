@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _BUCKETS = 10_000
+#: Bytes of feature vectors in a partition of the training rows, about.
+FIT_BYTES = 64 << 20
 
 
 def holdout(df: DataFrame, key: str, share: float, seed: int = 17) -> tuple[DataFrame, DataFrame]:
@@ -27,6 +29,15 @@ def feature_names(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c not in set(exclude)]
 
 
+def evenly(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``df`` in partitions of about ``FIT_BYTES`` of feature vectors at most, for a fit that keeps and reads them again and again.
+
+    Columns of few values take far less room in a file than in vectors, so partitions by file size would grow too large.
+    """
+    wanted = -(-df.count() * 8 * len(features) // FIT_BYTES)
+    return df.repartition(wanted) if wanted > df.rdd.getNumPartitions() else df
+
+
 def _with_vector(estimator, features: Sequence[str]) -> Pipeline:
     safe = [c for c in features]
     return Pipeline(stages=[VectorAssembler(inputCols=safe, outputCol="features", handleInvalid="keep"), estimator])

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from patronlens.plans import recipes
+from patronlens.plans import models, recipes
 
 
 def passengers(spark, n, shift=0):
@@ -53,3 +53,14 @@ def test_steps_on_nulls_unseen_and_constant_columns(spark):
 @pytest.mark.parametrize("name", sorted(recipes.APPLY))
 def test_every_step_is_known_by_its_name(name):
     assert recipes.APPLY[name].__name__ == name
+
+
+def test_training_rows_are_dealt_by_the_size_of_their_vectors(spark, monkeypatch):
+    """Many alike columns are a small file; a fit reads them as vectors, so their size sets the partitions."""
+    wide = spark.range(0, 4000, 1, 2).select("id", *[(F.col("id") % 3).alias(f"c{i}") for i in range(10)])
+    features = [f"c{i}" for i in range(10)]
+    assert models.evenly(wide, features) is wide
+    monkeypatch.setattr(models, "FIT_BYTES", 16_000)
+    dealt = models.evenly(wide, features)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) * 80 <= 1.5 * 16_000 and rows(dealt) == rows(wide)
