@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from patronlens.session import materialise
 
-#: Nodes of a cell that are compared with each other in one group.
-CHUNK = 256
+#: Nodes of a chunk of a cell. A group that is compared at once has two chunks.
+CHUNK = 1024
 #: What a group of a cell says of its pairs.
 PAIRS = "cell bigint, i int, j int, a bigint, b bigint"
 
@@ -118,7 +118,7 @@ def links_in_cells(
 
     First each node is tried with one node, the leader (smallest node) of most of its cells; then with the leaders that
     this has not connected it with. Where a cell still holds nodes of several components, pairs between
-    different components are tried in groups of at most 2 * CHUNK nodes: first a forest of those worth a trial, then, in
+    different components are tried in groups of about 2 * CHUNK nodes at most: first a forest of those worth a trial, then, in
     the cells where not all of them were links, all that is not connected by then. Pairs within a component are not needed: they
     connect nothing new. So a large group of copies costs about one trial a copy, not all pairs.
     """
@@ -156,18 +156,26 @@ def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    """(cell, node, label, i, j, chunk): cells in groups of two chunks of about CHUNK nodes, or of one."""
-    chunks = rows.withColumn("chunks", F.expr(f"CAST(ceil(n / {CHUNK}) AS INT)")).withColumn("chunk", F.expr("CAST(pmod(xxhash64(node), chunks) AS INT)"))
-    each = chunks.select("cell", "node", "label", "chunk", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other"))
+    """(cell, node, label, i, j, chunk): cells in groups of two chunks of about CHUNK nodes, or of one.
+
+    In a cell of more than CHUNK nodes the largest component has chunks of its own, after those of the rest, and no two of them
+    meet: a large component costs the rest's chunks times its nodes, not its square.
+    """
+    sizes = rows.groupBy("cell", "label").agg(F.count("*").alias("m"), F.first("n").alias("n"))
+    large = sizes.filter(F.col("n") > CHUNK).groupBy("cell").agg(F.max(F.struct("m", "label")).alias("large")).select("cell", "large.*")
+    parts = rows.join(large.withColumnRenamed("label", "largest"), "cell", "left").withColumn("own", F.expr("coalesce(label = largest, false)"))
+    parts = parts.withColumn("rest", F.expr(f"CAST(ceil((n - coalesce(m, 0)) / {CHUNK}) AS INT)")).withColumn("chunks", F.expr(f"rest + CAST(ceil(coalesce(m, 0) / {CHUNK}) AS INT)"))
+    placed = parts.withColumn("chunk", F.expr("CAST(IF(own, rest + pmod(xxhash64(node), chunks - rest), pmod(xxhash64(node), rest)) AS INT)"))
+    each = placed.select("cell", "node", "label", "chunk", F.explode(F.expr("sequence(0, IF(own, rest, chunks) - 1)")).alias("other"))
     return each.select("cell", "node", "label", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk")
 
 
-def forest_of(x: np.ndarray, y: np.ndarray, label: np.ndarray, start: int = 0) -> np.ndarray:
+def forest_of(x: np.ndarray, y: np.ndarray, label: np.ndarray, start: int = 0, tree: dict[int, int] | None = None) -> np.ndarray:
     """Numbers of the pairs (x, y) that join two trees as they come; nodes of one label are one tree from the start.
 
-    ``label`` has the nodes from ``start`` on.
+    ``label`` has the nodes from ``start`` on. ``tree`` carries the trees from call to call.
     """
-    tree: dict[int, int] = {}
+    tree = {} if tree is None else tree
 
     def root(of: int) -> int:
         while of in tree:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from patronlens.llm import lm
 from patronlens.llm.common import UPPER, sliced
 from patronlens.llm.components import PAIRS, components, forest_of, links_in_cells, told, whole_groups
-from patronlens.session import materialise
+from patronlens.session import materialise, temporary_tables
 
 WIDTH = 4
 #: Link: 100 * intersection >= PERCENT * union.
@@ -158,8 +158,8 @@ def bounded(sizes_a, points_a, sizes_b, points_b, percent: int = PERCENT, cut: n
     return np.minimum(points_a, points_b).sum(axis=-1) + cut >= least_common(sizes_a + sizes_b, percent)
 
 
-def tree_join(sizes: np.ndarray, points: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i < j) of points that may be linked, by a packed tree over the points.
+def tree_pairs(sizes: np.ndarray, points: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i < j) of points that may be linked, by a packed tree over the points, leaf by leaf.
 
     Leaves are runs of LEAF points in order of size; a leaf holds its coordinate maxima and smallest size. A pair of leaves
     whose maxima share too little is skipped with all its points.
@@ -170,18 +170,25 @@ def tree_join(sizes: np.ndarray, points: np.ndarray, percent: int = PERCENT) ->
     low = np.minimum.reduceat(sizes[order], starts) if len(order) else sizes
     cut = sizes - points.sum(axis=1)
     most_cut = np.maximum.reduceat(cut[order], starts) if len(order) else cut
-    left, right = [], []
     for x in range(len(starts)):
         may = np.flatnonzero(bounded(low[x], top[x], low[x:], top[x:], percent, np.minimum(most_cut[x], most_cut[x:]))) + x
         mine = order[starts[x] : starts[x] + LEAF]
+        left, right = [], []
         for y in may:
             other = order[starts[y] : starts[y] + LEAF]
             i, j = (m.ravel() for m in np.meshgrid(mine, other, indexing="ij"))
             ok = bounded(sizes[i], points[i], sizes[j], points[j], percent, np.minimum(cut[i], cut[j])) & ((i < j) if x == y else True)
             left.append(np.minimum(i, j)[ok])
             right.append(np.maximum(i, j)[ok])
+        if left:
+            yield np.concatenate(left), np.concatenate(right)
+
+
+def tree_join(sizes: np.ndarray, points: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of ``tree_pairs``."""
     none = np.zeros(0, np.int64)
-    return np.concatenate(left or [none]), np.concatenate(right or [none])
+    left, right = zip(*tree_pairs(sizes, points, percent), (none, none))
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _described(width: int):
@@ -272,12 +279,14 @@ def _tree_pairs(percent: int, forest: bool):
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 if (label[a:b] == label[a]).all():
                     continue
-                x, y = (k + a for k in tree_join(size[a:b], folded(points[a:b]), percent))
-                ok = np.flatnonzero((label[x] != label[y]) & (one[a] | (chunk[x] != chunk[y])))
-                if forest:
-                    ok = ok[forest_of(x[ok], y[ok], label)]
-                if len(ok):
-                    yield from told(table.slice(a, 1), np.minimum(node[x], node[y])[ok], np.maximum(node[x], node[y])[ok]).to_batches()
+                trees: dict[int, int] = {}
+                for x, y in tree_pairs(size[a:b], folded(points[a:b]), percent):
+                    x, y = x + a, y + a
+                    ok = np.flatnonzero((label[x] != label[y]) & (one[a] | (chunk[x] != chunk[y])))
+                    if forest:
+                        ok = ok[forest_of(x[ok], y[ok], label, tree=trees)]
+                    if len(ok):
+                        yield from told(table.slice(a, 1), np.minimum(node[x], node[y])[ok], np.maximum(node[x], node[y])[ok]).to_batches()
 
     return run
 
@@ -291,33 +300,34 @@ def similar(docs: DataFrame, keep: list[str], text: str = "text", width: int = W
     gives an empty one. Columns outside ``keep`` play no part; ``keep`` must not hold the three new names or ``text_hash``.
     """
     source = docs.select(*keep, F.col(text).alias("_text"), F.xxhash64(text).alias("text_hash"))
-    described = materialise(source.select("text_hash", "_text").mapInArrow(_described(width), "node bigint, text_hash bigint, n bigint, point binary").distinct())
-    nodes = materialise(described.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.min("n").alias("n"), F.min("point").alias("point")))
-    points = nodes.select("node", "n", "point")
-
-    def describe(asked: DataFrame) -> DataFrame:
-        wanted = nodes.join(asked, "node").select("text_hash").distinct()
-        sets = source.join(wanted, "text_hash").select("_text").mapInArrow(_with_sets(width, percent), SETS)
-        return materialise(sets.dropDuplicates(["node"]))
-
-    def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        sides = [points.toDF(x, f"n{x}", f"p{x}") for x in "ab"]
-        near = pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_near(percent), "a bigint, b bigint")
-        full = [sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab"]
-        return near.join(full[0], "a").join(full[1], "b").mapInArrow(_linked(percent), "a bigint, b bigint")
-
-    def pairs(dealt: DataFrame, sets: DataFrame, forest: bool) -> DataFrame:
-        groups = dealt.join(points, "node").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-        return groups.select("cell", "i", "j", "node", "label", "chunk", "n", "point").mapInArrow(_tree_pairs(percent, forest), PAIRS)
-
-    def allowance(sets: DataFrame) -> DataFrame:
-        return sets.select("node", F.inline("parts"))
-
-    entered = source.select("_text").mapInArrow(_in_cells(width, percent), "cell bigint, node bigint")
-    found = links_in_cells(entered, describe, verify, pairs, allowance)
-    labels = components(found)
-    label = F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label")
-    named = described.join(labels, "node", "left").select("text_hash", "node", F.col("n").alias("n_shingles"), label)
+    with temporary_tables(docs.sparkSession):
+        described = materialise(source.select("text_hash", "_text").mapInArrow(_described(width), "node bigint, text_hash bigint, n bigint, point binary").distinct())
+        nodes = materialise(described.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.min("n").alias("n"), F.min("point").alias("point")))
+        points = nodes.select("node", "n", "point")
+
+        def describe(asked: DataFrame) -> DataFrame:
+            wanted = nodes.join(asked, "node").select("text_hash").distinct()
+            sets = source.join(wanted, "text_hash").select("_text").mapInArrow(_with_sets(width, percent), SETS)
+            return materialise(sets.dropDuplicates(["node"]))
+
+        def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+            sides = [points.toDF(x, f"n{x}", f"p{x}") for x in "ab"]
+            near = pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_near(percent), "a bigint, b bigint")
+            full = [sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab"]
+            return near.join(full[0], "a").join(full[1], "b").mapInArrow(_linked(percent), "a bigint, b bigint")
+
+        def pairs(dealt: DataFrame, sets: DataFrame, forest: bool) -> DataFrame:
+            groups = dealt.join(points, "node").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+            return groups.select("cell", "i", "j", "node", "label", "chunk", "n", "point").mapInArrow(_tree_pairs(percent, forest), PAIRS)
+
+        def allowance(sets: DataFrame) -> DataFrame:
+            return sets.select("node", F.inline("parts"))
+
+        entered = source.select("_text").mapInArrow(_in_cells(width, percent), "cell bigint, node bigint")
+        found = links_in_cells(entered, describe, verify, pairs, allowance)
+        labels = components(found)
+        label = F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label")
+        named = materialise(described.join(labels, "node", "left").select("text_hash", "node", F.col("n").alias("n_shingles"), label), outlives=True)
     return source.drop("_text").join(named, "text_hash").drop("text_hash")
 
 

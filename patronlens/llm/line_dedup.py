@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from patronlens.llm import lm
 from patronlens.llm.common import sliced
 from patronlens.llm.components import PAIRS, components, forest_of, links_in_cells, told, whole_groups
-from patronlens.session import materialise
+from patronlens.session import materialise, temporary_tables
 
 #: Edits (code points inserted, deleted or replaced) between linked lines.
 EDITS = 2
@@ -36,6 +36,8 @@ BANDS = ((15, 1), (40, 2), (200, 3), (400, 4))
 BUCKETS = 1 << 22
 #: Code points of line pairs compared at once.
 BATCH = 1 << 20
+#: Line pairs of many groups that are compared side by side.
+PAIRS_AT_ONCE = 1 << 18
 
 _U = np.uint64
 
@@ -250,7 +252,8 @@ def _near_pairs(bands: Bands):
                 tried = [k[forest_of(x[k], y[k], label)] if forest else k for x, y in found for k in [np.flatnonzero(label[x] != label[y])]]
                 pairs = [(x[k], y[k]) for (x, y), k in zip(found, tried)]
                 left, right = (np.concatenate(side) for side in zip(*pairs))
-                ok = linked([lines[k] for k in left.tolist()], [lines[k] for k in right.tolist()], bands)
+                cuts = [slice(k, k + PAIRS_AT_ONCE) for k in range(0, max(1, len(left)), PAIRS_AT_ONCE)]
+                ok = np.concatenate([linked([lines[k] for k in left[cut].tolist()], [lines[k] for k in right[cut].tolist()], bands) for cut in cuts])
                 ends = np.cumsum([0, *(len(x) for x, _ in pairs)])
                 for (a, b), (x, y), start, stop in zip(groups, pairs, ends[:-1], ends[1:]):
                     x, y = x[ok[start:stop]], y[ok[start:stop]]
@@ -315,18 +318,19 @@ def dedup(docs: DataFrame, text: str = "text", edits: int = EDITS, least: int =
     one empty. Repeated rows are one document: both lose the same lines. No row is dropped.
     """
     lines = lines_of(docs, text)
-    labels = components(line_links(lines, bands or ((least, edits),)))
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "pos")
-    narrow = materialise(lines.select("doc_id", "text_hash", "pos", "node"))
-    nodes = narrow.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(labels, "node", "left")
-    nodes = materialise(nodes.select("node", "first", "n", F.coalesce("label", "node").alias("label")))
-    classes = nodes.groupBy("label").agg(F.min("first").alias("stays"), F.sum("n").alias("in_class")).filter("in_class > 1")
-    later = nodes.join(classes, "label").select("node", "stays")
-    gone = narrow.join(later, "node").filter(~place.eqNullSafe(F.col("stays")))
-    counts = narrow.groupBy("doc_id", "text_hash").agg(F.countDistinct("pos").alias("n_lines"))
-    removed = gone.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("pos")).alias("removed"))
-    told = counts.alias("c").join(removed.alias("r"), F.col("c.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("c.text_hash") == F.col("r.text_hash")), "left")
-    told = materialise(told.select("c.doc_id", "c.text_hash", "n_lines", "removed").toDF("_id", "_hash", "n_lines", "removed"))
+    with temporary_tables(docs.sparkSession):
+        labels = components(line_links(lines, bands or ((least, edits),)))
+        place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "pos")
+        narrow = materialise(lines.select("doc_id", "text_hash", "pos", "node"))
+        nodes = narrow.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(labels, "node", "left")
+        nodes = materialise(nodes.select("node", "first", "n", F.coalesce("label", "node").alias("label")))
+        classes = nodes.groupBy("label").agg(F.min("first").alias("stays"), F.sum("n").alias("in_class")).filter("in_class > 1")
+        later = nodes.join(classes, "label").select("node", "stays")
+        gone = narrow.join(later, "node").filter(~place.eqNullSafe(F.col("stays")))
+        counts = narrow.groupBy("doc_id", "text_hash").agg(F.countDistinct("pos").alias("n_lines"))
+        removed = gone.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("pos")).alias("removed"))
+        told = counts.alias("c").join(removed.alias("r"), F.col("c.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("c.text_hash") == F.col("r.text_hash")), "left")
+        told = materialise(told.select("c.doc_id", "c.text_hash", "n_lines", "removed").toDF("_id", "_hash", "n_lines", "removed"), outlives=True)
     clean = docs.drop("n_lines", "removed")
     keyed = clean.select("*", document_key(text)[1].alias("_key"))
     joined = keyed.join(told, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")), "left")

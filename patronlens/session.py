@@ -68,8 +68,8 @@ def work_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-#: Paths written since the innermost ``temporary_tables`` began; None outside of one.
-_written: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("written", default=None)
+#: Paths written in each open block of ``temporary_tables``, the innermost last.
+_written: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("written", default=())
 
 
 @contextlib.contextmanager
@@ -77,10 +77,11 @@ def temporary_tables(spark: SparkSession) -> Iterator[list[str]]:
     """Tables that ``materialise`` writes inside the block are deleted when it ends, also after an error.
 
     Results that read them must be used inside the block. Only paths written in the block are deleted, through the
-    file system of the shared folder. Blocks may be nested; each deletes its own.
+    file system of the shared folder. Blocks may be nested; each deletes its own. A table written with ``outlives`` belongs
+    to the block around this one, or to none.
     """
     paths: list[str] = []
-    token = _written.set(paths)
+    token = _written.set((*_written.get(), paths))
     try:
         yield paths
     finally:
@@ -90,16 +91,16 @@ def temporary_tables(spark: SparkSession) -> Iterator[list[str]]:
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, outlives: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
     Used where a result is read many times (model fits) or must not change
     between two reads (row positions). Being a table, it survives lost executors
-    and gives the optimizer its true size.
+    and gives the optimizer its true size. ``outlives``: the table stays when the innermost ``temporary_tables`` ends.
     """
     path = f"{work_dir(df.sparkSession)}/patronlens/{uuid.uuid4().hex}"
-    if (paths := _written.get()) is not None:
-        paths.append(path)  # before the write, so that a failed one is deleted too
+    if blocks := _written.get()[: -1 if outlives else None]:
+        blocks[-1].append(path)  # before the write, so that a failed one is deleted too
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

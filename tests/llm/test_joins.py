@@ -254,3 +254,19 @@ def test_forest_connects_what_the_pairs_connect():
             return closed(ends[0], lambda a, b: any({a, b} == {int(label[p - 5]), int(label[q - 5])} for p, q in pairs))
 
         assert joined(list(zip(x, y))) == joined(list(zip(x[tree], y[tree]))) and len(tree) < len(ends[0])
+
+
+def test_large_component_meets_only_the_rest(spark, monkeypatch):
+    """A cell of one large component and few other nodes is dealt in proportion to its nodes, and each pair of different components meets."""
+    monkeypatch.setattr(components, "CHUNK", 8)
+    for large, rest in ((400, 5), (40, 30), (6, 2), (1, 30)):
+        label = {node: 1 if node <= large else node for node in range(1, large + rest + 1)}
+        n = len(label)
+        rows = spark.createDataFrame([(7, node, of, n) for node, of in label.items()], "cell bigint, node bigint, label bigint, n bigint")
+        groups = {}
+        dealt = components._dealt(rows).collect()
+        for r in dealt:
+            groups.setdefault((r.cell, r.i, r.j), []).append(r)
+        met = {frozenset((a.node, b.node)) for (_, i, j), g in groups.items() for a in g for b in g if a.node < b.node and (i == j or a.chunk != b.chunk)}
+        assert met >= {frozenset((a, b)) for a in label for b in label if label[a] != label[b]}
+        assert len(dealt) <= 2 * n + 2 * rest * (n // 8 + 2)
