@@ -31,6 +31,10 @@ HALF = 24
 #: Latent dimensions of the corpus, and extra ones of the random start. The items' own directions come beside them.
 RANK, EXTRA = 224, 16
 POWER_ROUNDS = 2
+#: Bytes of texts whose words are hashed at once.
+PIECE = 1 << 17
+#: Bits of a word's hash that tell whether it may be one of the vocabulary.
+VOCABULARY_BITS = 20
 #: Pairs of words whose counts a task holds before it gives them out.
 HELD_PAIRS = 1 << 21
 #: Rows of the items in a block, about.
@@ -64,13 +68,45 @@ _LEAK = pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("common_w
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, first word of each text and the end): letters, digits and all beyond ASCII, lower-cased."""
-    words, docs = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
-    for part in lm.stretches(pc.utf8_lower(texts.cast(pa.large_string())), fold=_FOLD):
-        h, d = lm.word_hashes(part)
-        real = h != lm.END_WORD
-        words.append(h[real])
-        docs.append(d[real])
-    return np.concatenate(words), np.searchsorted(np.concatenate(docs), np.arange(len(texts) + 1))
+    texts = pc.utf8_lower(texts.cast(pa.large_string())).fill_null("")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    words, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    start, end = int(offsets[0]), int(offsets[-1])
+    while start < end:
+        # texts of about PIECE bytes together; a longer one in parts that are cut between words
+        stop = int(offsets[np.searchsorted(offsets, start + PIECE, side="right") - 1])
+        if stop <= start:
+            text_end = int(offsets[np.searchsorted(offsets, start, side="right")])
+            stop = min(start + PIECE, text_end)
+            while stop < text_end and _FOLD[data[stop - 1]] != lm.BLANK:
+                stop += 1
+        inside = offsets[np.searchsorted(offsets, start, side="right") : np.searchsorted(offsets, stop)]
+        hashed, first = _hashed_words(_FOLD[data[start:stop]], inside - start)
+        words.append(hashed)
+        starts.append(first + start)
+        start = stop
+    return np.concatenate(words), np.searchsorted(np.concatenate(starts), offsets)
+
+
+def _hashed_words(symbols: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first symbol) of the words between blanks and ``cuts``; the hashes of ``lm.word_hashes``."""
+    word = symbols != lm.BLANK
+    opens, closes = word.copy(), word.copy()
+    opens[1:] &= ~word[:-1]
+    closes[:-1] &= ~word[1:]
+    opens[cuts], closes[cuts - 1] = word[cuts], word[cuts - 1]
+    start, stop = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    with np.errstate(over="ignore"):
+        power = lm._powers(len(symbols) + 1)
+        total = np.zeros(len(symbols) + 1, np.uint64)
+        np.cumsum(lm._MIX[symbols] * power[: len(symbols)], out=total[1:])
+        # a word's hash counts the blank after it
+        hashed = (total[stop] - total[start]) * lm._inverse_powers(len(symbols))[start] + lm._MIX[lm.BLANK] * power[stop - start]
+        hashed ^= hashed >> np.uint64(29)
+        hashed *= np.uint64(0xBF58476D1CE4E5B9)
+        hashed ^= hashed >> np.uint64(32)
+    return hashed.view(np.int64), start
 
 
 @dataclass
@@ -87,11 +123,16 @@ def halves_of(words: np.ndarray, bounds: np.ndarray, vocabulary: np.ndarray) ->
     sizes = np.diff(bounds)
     count = -(-sizes // HALF)
     first = np.concatenate([[0], np.cumsum(count)])
-    at = np.searchsorted(vocabulary, words)
-    at[at == len(vocabulary)] = 0
-    known = np.flatnonzero(vocabulary[at] == words) if len(vocabulary) else np.zeros(0, np.int64)
+    # few words share their last bits with one of the vocabulary; only these are searched for
+    held = np.zeros(1 << VOCABULARY_BITS, bool)
+    held[vocabulary & (len(held) - 1)] = True
+    known = np.flatnonzero(held[words & (len(held) - 1)])
+    at = np.searchsorted(vocabulary, words[known])
+    found = at < len(vocabulary)
+    found[found] = vocabulary[at[found]] == words[known[found]]
+    known, at = known[found], at[found]
     doc = np.searchsorted(bounds, known, side="right") - 1
-    return Halves(np.repeat(np.arange(len(sizes)), count), first, first[doc] + (known - bounds[doc]) // HALF, at[known])
+    return Halves(np.repeat(np.arange(len(sizes)), count), first, first[doc] + (known - bounds[doc]) // HALF, at)
 
 
 def passages(halves: Halves) -> tuple[np.ndarray, np.ndarray]:
@@ -262,7 +303,8 @@ def latent_basis(items: np.ndarray, corpus: np.ndarray) -> tuple[np.ndarray, int
 @dataclass
 class Index:
     """Items in latent space and what verifies a candidate. The first ``own`` dimensions span the items' rows; ``item`` has
-    the item of each row."""
+    the item of each row. ``row`` and ``share`` have, from ``begin`` of a term on, the rows that hold it and the share of the
+    row's own length that it brings a passage."""
 
     vocabulary: np.ndarray
     project: np.ndarray
@@ -274,6 +316,9 @@ class Index:
     answers: list[frozenset]
     kinds: list[frozenset]
     lengths: np.ndarray
+    begin: np.ndarray
+    row: np.ndarray
+    share: np.ndarray
     fewest: int = FEWEST
 
 
@@ -332,8 +377,13 @@ def fit(docs: DataFrame, items: list[tuple[int, str]], text: str = "text", rank:
     latent = np.zeros((len(item), project.shape[1]), np.float32)
     np.add.at(latent, row, project[column] * times[:, None])
     norms = np.linalg.norm(latent, axis=1, keepdims=True)
+    latent /= np.maximum(norms, 1e-9)
+    by_term = np.argsort(column, kind="stable")
+    begin, holder = np.searchsorted(column[by_term], np.arange(len(weights) + 1)), row[by_term]
+    # a passage's product with a row, by terms: what the basis of all rows gives too
+    share = (times * weights[column] ** 2)[by_term] / np.maximum(norms[:, 0].astype(float) ** 2, 1e-18)[holder]
     answers = [frozenset(sorted(set(w.tolist()), key=lambda h: (-order[h], h))[:ANSWER_WORDS]) for w in words]
-    return Index(vocabulary, project, own, latent / np.maximum(norms, 1e-9), item, [i for i, _ in items], words, answers, [frozenset(w.tolist()) for w in words], norms[:, 0], fewest)
+    return Index(vocabulary, project, own, latent, item, [i for i, _ in items], words, answers, [frozenset(w.tolist()) for w in words], norms[:, 0], begin, holder, share, fewest)
 
 
 def common_words(item: np.ndarray, window: list[int]) -> int:
@@ -350,6 +400,30 @@ def common_words(item: np.ndarray, window: list[int]) -> int:
     return len(item) - row.bit_count()
 
 
+def _ranges(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the range, place) for all places of all ranges."""
+    sizes = stop - start
+    return np.repeat(np.arange(len(start)), sizes), np.arange(sizes.sum()) + np.repeat(start - np.cumsum(sizes) + sizes, sizes)
+
+
+def reaching(index: Index, half: np.ndarray, term: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Numbers of the passages that may reach REACH of a row's length (a little less, for sums are rounded). ``half`` is sorted."""
+    rows = len(index.lengths)
+    largest = np.zeros(len(index.begin) - 1)
+    np.maximum.at(largest, np.repeat(np.arange(len(largest)), np.diff(index.begin)), index.share)
+    start, stop = np.searchsorted(half, first), np.searchsorted(half, last, side="right")
+    total = np.append(0.0, np.cumsum(largest[term]))
+    may = np.flatnonzero(total[stop] - total[start] >= 0.99 * REACH)
+    found, step = [np.zeros(0, np.int64)], max(1, (1 << 19) // max(1, rows))
+    for a in range(0, len(may), step):
+        now = may[a : a + step]
+        passage, entry = _ranges(start[now], stop[now])
+        of, place = _ranges(index.begin[term[entry]], index.begin[term[entry] + 1])
+        shares = np.bincount(passage[of] * rows + index.row[place], weights=index.share[place], minlength=len(now) * rows)
+        found.append(now[shares.reshape(len(now), rows).max(axis=1) >= 0.99 * REACH])
+    return np.concatenate(found)
+
+
 def candidates(index: Index, halves: Halves, cosine: float = COSINE) -> Iterator[tuple[int, int, int, int, float]]:
     """(text, first half, last half, item, cosine) of passages near a row of an item."""
     n, own = len(halves.doc), index.own
@@ -369,6 +443,14 @@ def candidates(index: Index, halves: Halves, cosine: float = COSINE) -> Iterator
     held = np.bincount(halves.half, minlength=n)
     enough = held[first] + np.where(last > first, held[last], 0) >= index.fewest
     first, last = first[enough], last[enough]
+    # most passages reach no item's share, which a few products of their terms tell
+    keep = reaching(index, half, term, first, last)
+    first, last = first[keep], last[keep]
+    if not len(first):
+        return
+    asked = np.zeros(n, bool)
+    asked[first] = asked[last] = True
+    half, term = half[asked[half]], term[asked[half]]
     # the items' dimensions give every product with an item, and a cosine that is never too small; the others are looked at
     # only for the halves of passages that reach an item there
     place = placed(np.ascontiguousarray(index.project[:, :own]), half, term)
