@@ -1,12 +1,12 @@
 """Line dedup by a segment-partition edit join.
 
-Two lines within ``edits`` edits: cut the shorter one into edits + 1 segments, and the longer one holds one of
-them unchanged, near its place. Every line is entered under its own segments and looked up with the substrings that
-could match a segment of a line of its length or up to ``edits`` shorter (length-aware, multi-match-aware choice of
-starts). Lines that meet are verified with a banded bit-parallel edit distance, many pairs side by side.
+Two lines within ``edits`` edits: of edits + 1 segments of the one, the other holds one unchanged, near its place. Lines are
+grouped by length; segments are as long in all lines of a group, the first ones counted from the line's start, the others from its
+end. Every line is entered under a few substrings of each segment, so many that lines meet wherever it has moved to
+(``marks``). Lines that meet are verified with a banded bit-parallel edit distance, many pairs side by side.
 
-How many edits link two lines follows from the length of the shorter one (``BANDS``); a line is entered for each length
-that a shorter partner may have, cut as that length asks for.
+How many edits link two lines follows from the length of the shorter one (``BANDS``); a line is entered in each group
+that a shorter partner may be in, cut as that group asks for.
 
 Linked lines form classes; of each class the first line stays.
 """
@@ -55,36 +55,40 @@ def _bands(edits: int | Bands) -> Bands:
     return ((0, edits),) if isinstance(edits, int) else edits
 
 
-def segments(length: int, edits: int = EDITS) -> list[tuple[int, int]]:
-    """(start, stop) of the edits + 1 segments of a line, as even as can be, shorter ones first."""
-    parts = edits + 1
-    cuts = [0]
-    for k in range(parts):
-        cuts.append(cuts[-1] + length // parts + (k >= parts - length % parts))
-    return list(zip(cuts, cuts[1:]))
+def length_groups(edits: int | Bands, most: int) -> Iterator[tuple[int, int, int]]:
+    """(least length, end, edits) of groups of lengths up to ``most``; all lengths of a group are of one band."""
+    bands = _bands(edits)
+    for (low, e), (end, _) in zip(bands, [*bands[1:], (most + 1, 0)]):
+        while low < end and low <= most:
+            high = min(end, low + max(2 * (e + 1), low // 8))
+            yield low, high, e
+            low = high
 
 
-def probes(length: int, edits: int | Bands = EDITS) -> list[tuple[int, int, int, int]]:
-    """(length class, segment, start, stop) of the substrings that a line of ``length`` enters or looks up.
+def marks(least: int, edits: int) -> list[tuple[int, bool, int, int]]:
+    """(segment, whether counted from the end, first place, length) of the substrings that stand for a line.
 
-    Segment k of a line that is ``shift`` shorter starts within k places of its own start (edits to its left), and within
-    edits - k places of its start counted from the end. The shorter line's length gives the edits.
+    The edits + 1 segments are as long as the shortest line of the group allows; the first ones are counted from the line's start, the
+    others from its end. Of two lines within ``edits`` edits, some segment k of one is unchanged in the other, after at most k edits
+    and before at most edits - k (the first k that as many edits precede). So it is moved by at most ``shift``, the smaller of
+    both, from the end it is counted from; substrings ``shift`` shorter, from ``shift`` + 1 places in both lines, meet at any such move.
     """
-    out = []
-    bands = _bands(edits)
-    for shift in range(min(length, max(e for _, e in bands)) + 1):
-        most = int(edits_for(np.array([length - shift]), bands)[0])
-        if shift > most:
-            continue
-        for k, (start, stop) in enumerate(segments(length - shift, most)):
-            low = max(0, start - k, start + shift - (most - k))
-            high = min(length - (stop - start), start + k, start + shift + (most - k))
-            out += [(length - shift, k, at, at + stop - start) for at in range(low, high + 1)]
+    width, out = least // (edits + 1), []
+    for k in range(edits + 1):
+        shift, back = min(k, edits - k), k > edits - k
+        first = (edits + 1 - k if back else k) * width
+        if width <= shift:
+            out.append((k, False, 0, 0))  # so short that all lines of the group meet
+        else:
+            out += [(k, back, first - at if back else first + at, width - shift) for at in range(shift + 1)]
     return out
 
 
 def line_cells(lines: list[str], edits: int | Bands = EDITS) -> tuple[np.ndarray, np.ndarray]:
-    """(number of line, cell) for all probes of all lines, from prefix sums of hashed code points."""
+    """(number of line, cell) for all marks of all lines, from prefix sums of hashed code points.
+
+    A line is entered in the group of its length and in those of shorter lines that may be linked with it.
+    """
     lengths = np.fromiter(map(len, lines), np.int64, len(lines))
     codes = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4").astype(_U)
     first = np.concatenate([[0], np.cumsum(lengths)])
@@ -95,12 +99,14 @@ def line_cells(lines: list[str], edits: int | Bands = EDITS) -> tuple[np.ndarray
         total = np.append(_U(0), np.cumsum(codes * lm._powers(len(codes))[: len(codes)], dtype=_U))
         inverse = lm._inverse_powers(len(codes) + 1)
         owners, cells = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for length in np.unique(lengths).tolist():
-            mine = np.flatnonzero(lengths == length)
-            at = np.array(probes(length, edits), np.int64).reshape(-1, 4)
-            start, stop = first[mine][:, None] + at[:, 2], first[mine][:, None] + at[:, 3]
-            key = (total[stop] - total[start]) * inverse[start]
-            key = (key ^ (key >> _U(31))) + (at[:, 0] * 64 + at[:, 1]).astype(_U) * _U(0x9E3779B97F4A7C15)
+        for least, end, e in length_groups(edits, int(lengths.max(initial=-1))):
+            mine = np.flatnonzero((lengths >= least) & (lengths < end + e))
+            if not len(mine):
+                continue
+            segment, back, at, size = np.array(marks(least, e), np.int64).T
+            start = np.where(back, first[mine + 1][:, None] - at, first[mine][:, None] + at)
+            key = (total[start + size] - total[start]) * inverse[start]
+            key = (key ^ (key >> _U(31))) + (least * 64 + segment).astype(_U) * _U(0x9E3779B97F4A7C15)
             key = (key ^ (key >> _U(29))) * _U(0xBF58476D1CE4E5B9)
             owners.append(np.repeat(mine, len(at)))
             cells.append((key ^ (key >> _U(32))).view(np.int64).ravel())
