@@ -106,15 +106,15 @@ def links_in_cells(
     describe: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame, DataFrame], DataFrame],
     pairs: Callable[[DataFrame, DataFrame, bool], DataFrame],
-    allowance: Callable[[DataFrame], DataFrame] | None = None,
+    allowance: DataFrame | None = None,
 ) -> DataFrame:
     """Links (a, b) that connect what the cells' true links connect.
 
     rows (cell, node): two nodes that are linked meet in a cell. ``describe`` gives what is to be compared for the nodes that
-    share a cell; ``verify`` keeps the linked ones of pairs (a, b), given that; ``pairs`` gives the pairs (cell, i, j, a, b) worth
+    share a cell which has to be looked at; ``verify`` keeps the linked ones of pairs (a, b), given that; ``pairs`` gives the pairs (cell, i, j, a, b) worth
     a trial in groups (cell, i, j) of nodes with label and chunk: those of different labels and, where i < j, of different chunks.
     With ``forest`` it gives only as many of them as connect what all of them connect.
-    ``allowance`` of what is described: see ``least_crowded``.
+    ``allowance`` of the nodes: see ``least_crowded``.
 
     First each node is tried with one node, the leader (smallest node) of most of its cells; then with the leaders that
     this has not connected it with. Where a cell still holds nodes of several components, pairs between
@@ -123,8 +123,8 @@ def links_in_cells(
     connect nothing new. So a large group of copies costs about one trial a copy, not all pairs.
     """
     shared = materialise(shared_cells(rows))
-    described = describe(shared.select("node").distinct())
-    cells = materialise(least_crowded(shared, allowance(described) if allowance else None))
+    cells = materialise(least_crowded(shared, allowance))
+    described = describe(cells.select("node").distinct())
     led = materialise(cells.filter("node <> leader").groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("n")))
     best = led.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select("best.a", "b")
     first = materialise(verify(best, described).select("a", "b"))

@@ -122,6 +122,26 @@ def spared(differ: int) -> int:
     return 2 + differ // 4
 
 
+def _grouped(shingles: np.ndarray, percent: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, int]]:
+    """For each class of a set: (class, groups, mixed shingles, their groups, empty groups left out, how many cells it may leave out besides)."""
+    with np.errstate(over="ignore"):
+        mixed = _mix(shingles + np.uint64(0x632BE59BD9B4E019))
+    for k, high in length_classes(len(shingles), percent):
+        differ = most_different(high, percent)
+        if not differ:
+            continue  # linked sets of this class are equal, and equal sets are one node
+        spare = spared(differ)
+        groups = differ + 1 + spare
+        of = (mixed % np.uint64(groups)).astype(np.int64)
+        empty = np.flatnonzero(np.bincount(of, minlength=groups) == 0)
+        yield k, groups, mixed, of, empty[:spare], max(0, spare - len(empty))
+
+
+def may_leave_out(shingles: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """(class, spare) of ``cells`` for each class of a set, without the cells."""
+    return [(k % 256, spare) for k, _, _, _, _, spare in _grouped(shingles, percent)]
+
+
 def cells(shingles: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Cells of a set, hashes of (class, group, the group's shingles), and (class, spare) for each class.
 
@@ -130,23 +150,14 @@ def cells(shingles: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, lis
     beyond s of them is entered. The class is the cell's last byte.
     """
     out, parts = [], []
-    for k, high in length_classes(len(shingles), percent):
-        differ = most_different(high, percent)
-        if not differ:
-            continue  # linked sets of this class are equal, and equal sets are one node
-        spare = spared(differ)
-        groups = differ + 1 + spare
+    for k, groups, mixed, of, empty, spare in _grouped(shingles, percent):
         with np.errstate(over="ignore"):
-            mixed = _mix(shingles + np.uint64(0x632BE59BD9B4E019))
-            of = (mixed % np.uint64(groups)).astype(np.int64)
             content = np.zeros(groups, np.uint64)
             np.add.at(content, of, _mix(mixed))
-            size = np.bincount(of, minlength=groups)
             keys = _mix(_mix(content + np.uint64(k)) + (np.arange(groups) * (1 << 20) + k).astype(np.uint64))
-        empty = np.flatnonzero(size == 0)
-        keys = np.delete(keys, empty[:spare])
+        keys = np.delete(keys, empty)
         out.append(keys & ~np.uint64(255) | np.uint64(k % 256))
-        parts.append((k % 256, max(0, spare - len(empty))))
+        parts.append((k % 256, spare))
     return np.concatenate(out) if out else np.zeros(0, np.uint64), parts
 
 
@@ -191,19 +202,25 @@ def tree_join(sizes: np.ndarray, points: np.ndarray, percent: int = PERCENT) ->
     return np.concatenate(left), np.concatenate(right)
 
 
-def _described(width: int):
+DESCRIBED = "node bigint, text_hash bigint, n bigint, point binary, parts array<struct<part:int,spare:int>>"
+_PARTS = pa.list_(pa.struct([("part", pa.int32()), ("spare", pa.int32())]))
+
+
+def _described(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(text_hash, text) -> (node, text_hash, n, point)."""
+        """(text_hash, text) -> (node, text_hash, n, point, how many cells of each class it may leave out)."""
         for batch in sliced(batches, 1):
             sets = shingle_sets(batch.column(1), width)
+            parts = [[{"part": k, "spare": n} for k, n in may_leave_out(s, percent)] if len(s) else [] for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([node_id(s) for s in sets], pa.int64()),
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([point(s).tobytes() for s in sets], pa.binary()),
+                    pa.array(parts, _PARTS),
                 ],
-                names=["node", "text_hash", "n", "point"],
+                names=["node", "text_hash", "n", "point", "parts"],
             )
 
     return run
@@ -227,17 +244,12 @@ def _in_cells(width: int, percent: int):
     return run
 
 
-SETS = "node bigint, shingles binary, parts array<struct<part:int,spare:int>>"
-_PARTS = pa.list_(pa.struct([("part", pa.int32()), ("spare", pa.int32())]))
-
-
-def _with_sets(width: int, percent: int):
+def _with_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """text -> (node, shingles as bytes, how many cells of each class it may leave out)."""
+        """text -> (node, shingles as bytes)."""
         for batch in sliced(batches, 0):
             sets = shingle_sets(batch.column(0), width)
-            parts = [[{"part": k, "spare": n} for k, n in cells(s, percent)[1]] for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array([node_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(parts, _PARTS)], names=["node", "shingles", "parts"])
+            yield pa.RecordBatch.from_arrays([pa.array([node_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
 
     return run
 
@@ -301,13 +313,13 @@ def similar(docs: DataFrame, keep: list[str], text: str = "text", width: int = W
     """
     source = docs.select(*keep, F.col(text).alias("_text"), F.xxhash64(text).alias("text_hash"))
     with temporary_tables(docs.sparkSession):
-        described = materialise(source.select("text_hash", "_text").mapInArrow(_described(width), "node bigint, text_hash bigint, n bigint, point binary").distinct())
-        nodes = materialise(described.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.min("n").alias("n"), F.min("point").alias("point")))
+        described = materialise(source.select("text_hash", "_text").mapInArrow(_described(width, percent), DESCRIBED).distinct())
+        nodes = materialise(described.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.min("n").alias("n"), F.min("point").alias("point"), F.min("parts").alias("parts")))
         points = nodes.select("node", "n", "point")
 
         def describe(asked: DataFrame) -> DataFrame:
             wanted = nodes.join(asked, "node").select("text_hash").distinct()
-            sets = source.join(wanted, "text_hash").select("_text").mapInArrow(_with_sets(width, percent), SETS)
+            sets = source.join(wanted, "text_hash").select("_text").mapInArrow(_with_sets(width), "node bigint, shingles binary")
             return materialise(sets.dropDuplicates(["node"]))
 
         def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -320,11 +332,8 @@ def similar(docs: DataFrame, keep: list[str], text: str = "text", width: int = W
             groups = dealt.join(points, "node").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
             return groups.select("cell", "i", "j", "node", "label", "chunk", "n", "point").mapInArrow(_tree_pairs(percent, forest), PAIRS)
 
-        def allowance(sets: DataFrame) -> DataFrame:
-            return sets.select("node", F.inline("parts"))
-
         entered = source.select("_text").mapInArrow(_in_cells(width, percent), "cell bigint, node bigint")
-        found = links_in_cells(entered, describe, verify, pairs, allowance)
+        found = links_in_cells(entered, describe, verify, pairs, nodes.select("node", F.inline("parts")))
         labels = components(found)
         label = F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label")
         named = materialise(described.join(labels, "node", "left").select("text_hash", "node", F.col("n").alias("n_shingles"), label), outlives=True)

@@ -91,16 +91,36 @@ def temporary_tables(spark: SparkSession) -> Iterator[list[str]]:
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Spark's setting that removes a query's shuffle files when the query ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries run in the block leave no shuffle files; otherwise those stay until the driver's garbage collector meets them."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialise(df: DataFrame, outlives: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
     Used where a result is read many times (model fits) or must not change
     between two reads (row positions). Being a table, it survives lost executors
     and gives the optimizer its true size. ``outlives``: the table stays when the innermost ``temporary_tables`` ends.
+    The write's shuffle files are removed with its end: nothing reads them again.
     """
     path = f"{work_dir(df.sparkSession)}/patronlens/{uuid.uuid4().hex}"
     if blocks := _written.get()[: -1 if outlives else None]:
         blocks[-1].append(path)  # before the write, so that a failed one is deleted too
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
